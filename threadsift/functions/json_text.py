@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .text import strip
 
 _END = "\\u0000end"
-RESPONSE = (
-    "output_text string, "
-    "output array<struct<content:array<struct<type:string,text:string>>>>"
-)
 REQUIRED_TEXT = ["platform", "post_url", "post_title", "summary"]
 OPTIONAL_TEXT = ["author_handle", "posted_at"]
 TEXT_LISTS = ["categories", "competitors"]
@@ -27,48 +23,55 @@ def strict_json(text: Column) -> Column:
     return F.when(complete, F.try_variant_get(wrapped, "$.v", "variant"))
 
 
-def response_text(payload: Column) -> Column:
+def with_response_text(df: DataFrame, payload: str, target: str) -> DataFrame:
     """Text of a model response (a JSON string): ``output_text`` if it is a
     string, else the text items joined by line breaks, else NULL."""
-    parsed = strict_json(payload)
+    parsed = df.withColumn("_parsed", strict_json(F.col(payload)))
     direct = F.when(
-        F.schema_of_variant(F.try_variant_get(parsed, "$.output_text", "variant")) == "STRING",
-        F.try_variant_get(parsed, "$.output_text", "string"),
+        kind(member(F.col("_parsed"), "output_text")) == "STRING",
+        F.try_variant_get("_parsed", "$.output_text", "string"),
     )
-    items = F.filter(
-        F.flatten(
-            F.transform(
-                F.filter(
-                    F.try_variant_get(
-                        parsed, "$.output", "array<struct<content:array<struct<type:string,text:string>>>>"
-                    ),
-                    lambda i: i["content"].isNotNull(),
-                ),
-                lambda i: i["content"],
-            )
+    contents = F.filter(
+        F.try_variant_get(
+            "_parsed", "$.output", "array<struct<content:array<struct<type:string,text:string>>>>"
         ),
+        lambda i: i["content"].isNotNull(),
+    )
+    items = F.filter(
+        F.flatten(F.transform(contents, lambda i: i["content"])),
         lambda c: c["type"].isin("output_text", "text") & c["text"].isNotNull(),
     )
+    staged = parsed.withColumns({"_direct": direct, "_items": items})
     joined = F.when(
-        F.size(items) > 0, F.array_join(F.transform(items, lambda c: c["text"]), "\n")
+        F.size("_items") > 0, F.array_join(F.transform("_items", lambda c: c["text"]), "\n")
+    )
+    return staged.withColumn(target, F.coalesce("_direct", joined)).drop(
+        "_parsed", "_direct", "_items"
     )
-    return F.coalesce(direct, joined)
 
 
-def json_in_text(text: Column) -> Column:
-    """The JSON value in ``text``: the text without code fences if that parses,
+def with_json(df: DataFrame, source: str, target: str) -> DataFrame:
+    """The JSON value in a text: the text without code fences if that parses,
     else everything from the first ``{`` to the last ``}``, else NULL."""
-    stripped = strip(text)
-    bare = F.btrim(stripped, F.lit("`"))
+    bare = F.btrim("_stripped", F.lit("`"))
     unfenced = F.when(
-        stripped.startswith("```"),
+        F.col("_stripped").startswith("```"),
         F.when(
             F.lower(F.left(bare, F.lit(4))) == "json",
             strip(F.substring(bare, 5, 2**31 - 1)),
         ).otherwise(bare),
-    ).otherwise(stripped)
-    inner = F.nullif(F.regexp_extract(unfenced, r"(?s)(\{.*\})", 1), F.lit(""))
-    return F.coalesce(strict_json(unfenced), strict_json(inner))
+    ).otherwise(F.col("_stripped"))
+    inner = F.nullif(F.regexp_extract("_unfenced", r"(?s)(\{.*\})", 1), F.lit(""))
+    return (
+        df.withColumn("_stripped", strip(F.col(source)))
+        .withColumn("_unfenced", unfenced)
+        .withColumn("_direct", strict_json(F.col("_unfenced")))
+        .withColumn(
+            "_inner", strict_json(F.when(F.col("_direct").isNull(), inner))
+        )
+        .withColumn(target, F.coalesce("_direct", "_inner"))
+        .drop("_stripped", "_unfenced", "_direct", "_inner")
+    )
 
 
 def kind(v: Column) -> Column:
@@ -80,28 +83,36 @@ def member(v: Column, name: str) -> Column:
     return F.try_variant_get(v, f"$.{name}", "variant")
 
 
-def string_list(v: Column) -> Column:
-    return F.try_variant_get(v, "$", "array<string>")
+def record_kinds(record: Column) -> Column:
+    """The kind of the record and of each of its fields, as a struct. A list of
+    strings only has the kind TEXTS."""
+
+    def list_kind(name: str) -> Column:
+        value = member(record, name)
+        texts = F.forall(
+            F.try_variant_get(value, "$", "array<variant>"),
+            lambda e: F.coalesce(F.schema_of_variant(e), F.lit("VOID")) == "STRING",
+        )
+        return F.when(texts, F.lit("TEXTS")).otherwise(kind(value))
+
+    single = [*REQUIRED_TEXT, *OPTIONAL_TEXT, "opportunity"]
+    return F.struct(
+        kind(record).alias("record"),
+        *[kind(member(record, name)).alias(name) for name in single],
+        *[list_kind(name).alias(name) for name in TEXT_LISTS],
+    )
 
 
-def record_fault(record: Column) -> Column:
+def record_fault(kinds: Column) -> Column:
     """Name of the first field that breaks the record's types, NULL for a valid
     record. Numbers are no strings; an explicit null is valid only where a
     missing value is."""
-    fault = F.when(kind(record) != "OBJECT", F.lit("record"))
+    fault = F.when(kinds["record"] != "OBJECT", F.lit("record"))
     for name in REQUIRED_TEXT:
-        fault = fault.when(
-            ~F.coalesce(kind(member(record, name)) == "STRING", F.lit(False)), name
-        )
+        fault = fault.when(F.coalesce(kinds[name], F.lit("")) != "STRING", name)
     for name in OPTIONAL_TEXT:
-        fault = fault.when(~kind(member(record, name)).isin("STRING", "VOID"), name)
-    fault = fault.when(kind(member(record, "opportunity")) != "STRING", "opportunity")
+        fault = fault.when(~kinds[name].isin("STRING", "VOID"), name)
+    fault = fault.when(kinds["opportunity"] != "STRING", "opportunity")
     for name in TEXT_LISTS:
-        value = member(record, name)
-        elements = F.try_variant_get(value, "$", "array<variant>")
-        fault = fault.when(
-            (kind(value) != "ARRAY")
-            | F.exists(elements, lambda e: F.coalesce(kind(e), F.lit("VOID")) != "STRING"),
-            name,
-        )
+        fault = fault.when(kinds[name] != "TEXTS", name)
     return fault

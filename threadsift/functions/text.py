@@ -89,13 +89,6 @@ def _literal_map(pairs: dict[str, str]) -> Column:
     return F.create_map(*flat)
 
 
-def contains_any(c: Column, words: list[str]) -> Column:
-    found = F.lit(False)
-    for word in words:
-        found = found | c.contains(word)
-    return found
-
-
 def fingerprint(message: Column, stack: Column) -> Column:
     """Letters and digits of base64("message|second line of the stack"), 64 at most."""
     frame = F.coalesce(F.try_element_at(F.split(stack, "\n"), F.lit(2)), F.lit(""))

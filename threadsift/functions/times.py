@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, functions as F
 
-from .text import blank_to_null
+from .sqltext import quote, stripped
 
 # ISO 8601 date, extended or basic, with an optional time and an optional
 # offset. Week dates are not taken.
@@ -16,6 +16,8 @@ _ISO = (
     r"(?:(:?)([0-5]\d)(?:\6([0-5]\d)(?:[.,](\d+))?)?)?"
     r"([+-](?:[01]\d|2[0-3])(?::?[0-5]\d(?::?[0-5]\d(?:\.\d+)?)?)?)?)?$"
 )
+# offset|date|hour|minute|second|fraction
+_LAID_OUT = "$10|$1-$3-$4|$5|$7|$8|$9"
 
 
 def as_timestamp(when: str | dt.datetime | Column) -> Column:
@@ -38,45 +40,34 @@ def iso_string(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssxxx")
 
 
-def _normal(c: Column) -> Column:
-    return F.replace(blank_to_null(c), F.lit("Z"), F.lit("+00:00"))
-
-
-def iso_instant(c: Column) -> Column:
+def instant_steps(source: str, target: str, prefix: str = "_iso") -> list[str]:
     """The instant an ISO 8601 string names, NULL for any other string. A string
-    without an offset is UTC."""
-    text = _normal(c)
-
-    def part(i: int) -> Column:
-        return F.regexp_extract(text, _ISO, i)
-
-    def or_zero(x: Column) -> Column:
-        return F.when(x == "", F.lit("00")).otherwise(x)
-
-    local = F.concat(
-        part(1), F.lit("-"), part(3), F.lit("-"), part(4), F.lit(" "),
-        or_zero(part(5)), F.lit(":"), or_zero(part(7)), F.lit(":"), or_zero(part(8)),
-        F.lit("."), F.rpad(F.left(part(9), F.lit(6)), 6, "0"),
-    ).try_cast("timestamp")
-    digits = F.replace(F.substring(part(10), 2, 8), F.lit(":"), F.lit(""))
-    digits = F.rpad(digits, 6, "0")
-    seconds = (
-        F.substring(digits, 1, 2).cast("int") * 3600
-        + F.substring(digits, 3, 2).cast("int") * 60
-        + F.substring(digits, 5, 2).cast("int")
-    )
-    shift = F.when(part(10) == "", F.lit(0)).when(
-        part(10).startswith("-"), -seconds
-    ).otherwise(seconds)
-    return F.when(
-        text.rlike(_ISO),
-        F.timestamp_micros(F.unix_micros(local) - shift.cast("long") * 1_000_000),
-    )
-
-
-def valid_iso(c: Column) -> Column:
-    """The stripped string itself where it is ISO 8601, else NULL."""
-    return F.when(iso_instant(c).isNotNull(), blank_to_null(c))
+    without an offset is UTC. One pass of the pattern lays the parts out."""
+    p = prefix
+
+    def two(i: int) -> str:
+        return f"if({p}[{i}] = '', '00', {p}[{i}])"
+
+    def seconds(at: int, unit: int) -> str:
+        return f"cast(substr({p}_offset, {at}, 2) AS int) * {unit}"
+
+    return [
+        f"nullif(replace({stripped(source)}, 'Z', '+00:00'), '') AS {p}_text",
+        f"""CASE WHEN {p}_text RLIKE {quote(_ISO)} THEN
+            split(regexp_replace({p}_text, {quote(_ISO)}, '{_LAID_OUT}'), '[|]') END AS {p}""",
+        f"""try_cast(concat({p}[1], ' ', {two(2)}, ':', {two(3)}, ':', {two(4)}, '.',
+            rpad(left({p}[5], 6), 6, '0')) AS timestamp) AS {p}_local""",
+        f"rpad(replace({p}[0], ':', ''), 7, '0') AS {p}_offset",
+        f"""CASE WHEN {p}[0] = '' THEN 0 ELSE if(startswith({p}[0], '-'), -1, 1) *
+            ({seconds(2, 3600)} + {seconds(4, 60)} + {seconds(6, 1)}) END AS {p}_shift""",
+        f"timestamp_micros(unix_micros({p}_local) - {p}_shift * 1000000L) AS {target}",
+    ]
+
+
+def with_instant(df, source: str, target: str):
+    """``df`` with the instant of an ISO 8601 string as a new column."""
+    staged = df.selectExpr("*", *instant_steps(source, "_instant"))
+    return staged.selectExpr(*df.columns, f"_instant AS {target}")
 
 
 def day_of(ts: Column) -> Column:

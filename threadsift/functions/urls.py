@@ -2,77 +2,69 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame
 
 from .. import refdata
-from .text import strip
+from .sqltext import listed, quote, stripped
 
-# The generic split of RFC 3986, appendix B, with a strict scheme.
-_PARTS = (
-    r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
-)
 # Schemes that are written with // even when the host is empty.
 _HOST_SCHEMES = ["http", "https", "ftp", "sftp", "file", "ws", "wss"]
+_PARTS = ["_given", "_whole", "_base", "_prefix", "_scheme", "_rest", "_host", "_path", "_query"]
 
 
-def _decode(c: Column) -> Column:
+def _decoded(segment: str) -> str:
     """Form decoding; a percent sign that starts no escape stands for itself."""
-    return F.url_decode(F.regexp_replace(c, "%(?![0-9A-Fa-f]{2})", "%25"))
+    return f"url_decode(regexp_replace({segment}, '%(?![0-9A-Fa-f]{{2}})', '%25'))"
 
 
-def _encode(c: Column) -> Column:
-    return F.replace(
-        F.replace(F.url_encode(c), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~")
-    )
+def _encoded(field: str) -> str:
+    return f"replace(replace(url_encode({field}), '*', '%2A'), '%7E', '~')"
 
 
-def _query(raw: Column, tracking: list[str]) -> Column:
+def _kept_query(raw: str, tracking: list[str]) -> str:
     """The query without tracking parameters, in its order, encoded anew."""
-    segments = F.filter(F.split(raw, "&"), lambda s: s != "")
-    pairs = F.transform(
-        segments,
-        lambda s: F.struct(
-            _decode(F.substring_index(s, "=", 1)).alias("k"),
-            _decode(F.regexp_replace(s, r"(?s)^[^=]*=?", "")).alias("v"),
-        ),
-    )
-    kept = F.filter(pairs, lambda p: ~F.lower(p["k"]).isin(tracking))
-    return F.array_join(
-        F.transform(kept, lambda p: F.concat(_encode(p["k"]), F.lit("="), _encode(p["v"]))),
-        "&",
-    )
-
-
-def normalize_url(
-    c: Column, tracking: list[str] = refdata.TRACKING_PARAMS
-) -> Column:
+    key = "substring_index(s, '=', 1)"
+    pairs = f"""transform(filter(split({raw}, '&'), s -> s <> ''), s -> named_struct(
+        'k', {_decoded(key)}, 'v', {_decoded(f"substr(s, length({key}) + 2)")}))"""
+    kept = f"filter({pairs}, p -> lower(p.k) NOT IN ({listed(tracking)}))"
+    return f"array_join(transform({kept}, p -> concat({_encoded('p.k')}, '=', {_encoded('p.v')})), '&')"
+
+
+def normal_url_steps(
+    source: str, target: str, tracking: list[str] = refdata.TRACKING_PARAMS
+) -> list[str]:
     """Lower-case scheme, host as given, no fragment, no tracking parameters and
     no trailing slash (one slash only, and never the root). Empty stays empty;
     a host with an unbalanced bracket gives NULL."""
-    url = strip(F.coalesce(c, F.lit("")))
-    url = F.regexp_replace(F.regexp_replace(url, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
-    scheme = F.lower(F.regexp_extract(url, _PARTS, 1))
-    host = F.regexp_extract(url, _PARTS, 2)
-    path = F.regexp_extract(url, _PARTS, 3)
-    query = _query(F.regexp_extract(url, _PARTS, 4), tracking)
-
-    path = F.when(
-        (F.length(path) > 1) & path.endswith("/"),
-        F.left(path, F.length(path) - 1),
-    ).otherwise(path)
-    slashes = (
-        (host != "")
-        | path.startswith("//")
-        | (scheme.isin(_HOST_SCHEMES) & ((path == "") | path.startswith("/")))
-    )
-    built = F.concat(
-        F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(""),
-        F.when(slashes, F.concat(F.lit("//"), host)).otherwise(""),
-        path,
-        F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""),
-    )
-    unbalanced = host.contains("[") != host.contains("]")
-    return F.when(unbalanced, F.lit(None).cast("string")).otherwise(built)
+    bare = f"regexp_replace({stripped(f"coalesce({source}, '')")}, {quote('^[\\x00-\\x20]+')}, '')"
+    slashes = f"""_host <> '' OR startswith(_path, '//')
+        OR (_scheme IN ({listed(_HOST_SCHEMES)}) AND (_path = '' OR startswith(_path, '/')))"""
+    return [
+        f"translate({bare}, '\\t\\r\\n', '') AS _given",
+        "substring_index(_given, '#', 1) AS _whole",
+        "substring_index(_whole, '?', 1) AS _base",
+        f"regexp_extract(_base, {quote('^([A-Za-z][A-Za-z0-9+.-]*:)')}, 1) AS _prefix",
+        "lower(rtrim(':', _prefix)) AS _scheme",
+        "substr(_base, length(_prefix) + 1) AS _rest",
+        "if(startswith(_rest, '//'), substring_index(substr(_rest, 3), '/', 1), '') AS _host",
+        "if(startswith(_rest, '//'), substr(_rest, length(_host) + 3), _rest) AS _path",
+        f"""CASE WHEN length(_whole) > length(_base) + 1
+            THEN {_kept_query("substr(_whole, length(_base) + 2)", tracking)}
+            ELSE '' END AS _query""",
+        f"""CASE WHEN contains(_host, '[') <> contains(_host, ']') THEN NULL ELSE concat(
+            if(_scheme <> '', concat(_scheme, ':'), ''),
+            if({slashes}, concat('//', _host), ''),
+            if(length(_path) > 1 AND endswith(_path, '/'), left(_path, length(_path) - 1), _path),
+            if(_query <> '', concat('?', _query), '')) END AS {target}""",
+    ]
+
+
+def with_normal_url(
+    df: DataFrame, source: str, tracking: list[str] = refdata.TRACKING_PARAMS
+) -> DataFrame:
+    """``df`` with the URL column in canonical form."""
+    staged = df.selectExpr("*", *normal_url_steps(source, "_normal", tracking))
+    return staged.selectExpr(*[f"_normal AS {source}" if c == source else c for c in df.columns])
 
 
 def is_web_url(c: Column) -> Column:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .. import refdata
+from .. import refdata, schemas
 from ..functions import tags, text, times, urls
+from ..functions.sqltext import quote, stripped
+from ..functions.stage import once
 
 
 def vendor_too_old(platform: Column, posted: Column, as_of, days: int) -> Column:
@@ -29,42 +31,50 @@ def judge(
 
     One narrow pass without a shuffle. The first broken rule names the reason.
     """
-    staged = raw.withColumns(
-        {
-            "platform": tags.canonical_platform(F.col("platform")),
-            "post_url": urls.normalize_url(F.col("post_url"), tracking),
-            "categories": tags.known_categories(F.col("categories"), categories),
-            "competitors": tags.canonical_competitors(F.col("competitors"), competitors),
-            "post_title": text.strip(F.coalesce("post_title", F.lit(""))),
-            "summary": text.strip(F.coalesce("summary", F.lit(""))),
-            "opportunity": text.strip(F.coalesce("opportunity", F.lit(""))),
-            "author_handle": text.blank_to_null(F.col("author_handle")),
-            "_instant": times.iso_instant(F.col("posted_at")),
-        }
+    staged = raw.selectExpr(
+        "*",
+        *urls.normal_url_steps("post_url", "_url", tracking),
+        *times.instant_steps("posted_at", "_instant"),
+        f"{stripped("coalesce(post_title, '')")} AS _title",
     )
-    tagged = (
-        (F.size("categories") > 0)
-        | (F.size("competitors") > 0)
-        | (F.col("platform") == refdata.PRIORITY_PLATFORM)
+    given = [c for c in raw.columns if c not in schemas.POST_FIELDS]
+    canonical = staged.select(
+        *given,
+        tags.canonical_platform("platform").alias("platform"),
+        F.col("_url").alias("post_url"),
+        F.col("_title").alias("post_title"),
+        text.blank_to_null(F.col("author_handle")).alias("author_handle"),
+        F.expr(f"CASE WHEN _instant IS NOT NULL THEN {stripped('posted_at')} END").alias("posted_at"),
+        F.expr(stripped("coalesce(summary, '')")).alias("summary"),
+        F.expr(stripped("coalesce(opportunity, '')")).alias("opportunity"),
+        tags.known_categories("categories", categories).alias("categories"),
+        tags.canonical_competitors("competitors", competitors).alias("competitors"),
+        "_instant",
     )
     late = vendor_too_old(F.col("platform"), F.col("_instant"), as_of, vendor_days)
     reason = (
-        F.when(~F.coalesce(urls.is_web_url(F.col("post_url")), F.lit(False)), "bad_url")
-        .when(~tagged, "untagged")
+        F.when(
+            F.expr("NOT coalesce(post_url LIKE 'https://%' OR post_url LIKE 'http://%', false)"),
+            "bad_url",
+        )
+        .when(
+            F.expr(
+                "size(categories) = 0 AND size(competitors) = 0 "
+                f"AND platform <> {quote(refdata.PRIORITY_PLATFORM)}"
+            ),
+            "untagged",
+        )
         .when(F.col("post_title") == "", "no_title")
         .when(~text.is_latin(F.col("post_title")), "not_latin")
         .when(F.col("summary") == "", "no_summary")
         .when(late, "stale_vendor")
     )
-    return staged.withColumns(
-        {
-            "reject_reason": reason,
-            "post_title": F.left("post_title", F.lit(refdata.TITLE_CHARS)),
-            "posted_at": F.when(
-                F.col("_instant").isNotNull(), text.strip(F.col("posted_at"))
-            ),
-        }
-    ).drop("_instant")
+    out = [*given, *schemas.POST_FIELDS]
+    cut = {"post_title": F.left("post_title", F.lit(refdata.TITLE_CHARS))}
+    return once(
+        canonical.withColumn("reject_reason", reason).drop("_instant"),
+        {**{c: cut.get(c, F.col(c)) for c in out}, "reject_reason": F.col("reject_reason")},
+    )
 
 
 def kept(judged: DataFrame) -> DataFrame:

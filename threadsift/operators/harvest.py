@@ -142,9 +142,8 @@ def harvest_micro_posts(
 ) -> DataFrame:
     """Microblog posts by keyword, without accounts labelled as bots. Here a post
     without text does not mark its link."""
-    recent = posts.withColumns(
-        {"_at": times.iso_instant(F.col("record.createdAt")), "_words": F.col("record.text")}
-    ).filter(_since(F.col("_at"), as_of, hours, strict=False))
+    dated = times.with_instant(posts, "record.createdAt", "_at")
+    recent = dated.withColumn("_words", F.col("record.text")).filter(_since(F.col("_at"), as_of, hours, strict=False))
     top = newest_per_query(match_phrases(recent, "_words", keywords), k, "_at", "uri")
     human = ~F.coalesce(
         F.exists("author.labels", lambda label: label["val"] == "bot"), F.lit(False)

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import json_text as J
+from ..functions.stage import once
 from .dedup import with_snippets
 
 ASKED = ["platform", "post_url", "post_title", "author_handle", "posted_at", "body"]
@@ -17,14 +18,16 @@ ANSWERED = ["post_url", "summary", "opportunity", "categories"]
 def parse_batches(responses: DataFrame, payload: str, batch_id: str) -> DataFrame:
     """Every response with its parsed batch ``_batch`` and ``fault``: ``no_text``,
     ``no_json``, ``no_object``, or NULL for a readable batch."""
-    parsed = responses.withColumn("_text", J.response_text(F.col(payload)))
-    parsed = parsed.withColumn("_batch", J.json_in_text(F.col("_text")))
-    return parsed.withColumn(
-        "fault",
+    read = J.with_response_text(responses.select(batch_id, payload), payload, "_text")
+    parsed = J.with_json(read, "_text", "_json").select(batch_id, "_text", "_json")
+    fault = (
         F.when(F.col("_text").isNull(), "no_text")
-        .when(F.col("_batch").isNull(), "no_json")
-        .when(J.kind(F.col("_batch")) != "OBJECT", "no_object"),
-    ).select(batch_id, "_batch", "fault")
+        .when(F.col("_json").isNull(), "no_json")
+        .when(J.kind(F.col("_json")) != "OBJECT", "no_object")
+    )
+    return once(parsed, {"_batch": F.col("_json"), "fault": fault}).select(
+        batch_id, "_batch", "fault"
+    )
 
 
 def batch_faults(parsed: DataFrame, batch_id: str) -> DataFrame:
@@ -43,7 +46,8 @@ def batch_records(parsed: DataFrame, batch_id: str) -> DataFrame:
     each = parsed.filter(F.col("fault").isNull()).select(
         batch_id, F.posexplode(listed).alias("pos", "_record")
     )
-    faulted = each.withColumn("fault", J.record_fault(F.col("_record")))
+    kinds = each.withColumn("_kinds", J.record_kinds(F.col("_record")))
+    faulted = once(kinds, {"fault": J.record_fault(F.col("_kinds"))})
     text = {
         c: F.try_variant_get("_record", f"$.{c}", "string").alias(c)
         for c in [*J.REQUIRED_TEXT, *J.OPTIONAL_TEXT]

@@ -26,13 +26,14 @@ def new_rows(batch: DataFrame, store: DataFrame, as_of) -> DataFrame:
     """Rows of the batch the store lacks, with the table's defaults. The batch
     holds each URL once (see ``merge_copies``)."""
     null = F.lit(None)
-    return not_stored(batch, store).select(
+    fresh = times.with_instant(not_stored(batch, store), "posted_at", "_posted")
+    return fresh.select(
         stable_id(F.col("post_url")).alias("id"),
         "platform",
         "post_url",
         "post_title",
         "author_handle",
-        times.iso_instant(F.col("posted_at")).alias("posted_at"),
+        F.col("_posted").alias("posted_at"),
         "summary",
         text.empty_to_null(F.col("opportunity")).alias("opportunity"),
         tags.or_empty(F.col("categories")).alias("categories"),

@@ -72,10 +72,8 @@ def strip_html_snippet(spark, sf):
 
 @query
 def url_canonical(spark, sf):
-    url = urls.normalize_url(F.col("url"))
-    return fx.table(spark, sf, "pages").select(
-        "page_id", url.alias("url"), urls.is_web_url(url).alias("is_web")
-    )
+    pages = urls.with_normal_url(fx.table(spark, sf, "pages").select("page_id", "url"), "url")
+    return pages.withColumn("is_web", urls.is_web_url(F.col("url")))
 
 
 @query
@@ -86,7 +84,7 @@ def url_dedup(spark, sf):
 @query
 def platform_canonical(spark, sf):
     return fx.posts_raw(spark, sf).select(
-        "seq", tags.canonical_platform(F.col("platform")).alias("platform")
+        "seq", tags.canonical_platform("platform").alias("platform")
     )
 
 
@@ -103,13 +101,11 @@ def language_guard(spark, sf):
 
 @query
 def posted_at_valid(spark, sf):
-    return plain(
-        fx.posts_raw(spark, sf).select(
-            "seq",
-            times.valid_iso(F.col("posted_at")).alias("posted_at"),
-            times.iso_instant(F.col("posted_at")).alias("instant"),
-        )
+    dated = times.with_instant(
+        fx.posts_raw(spark, sf).select("seq", "posted_at"), "posted_at", "instant"
     )
+    valid = F.when(F.col("instant").isNotNull(), text.strip(F.col("posted_at")))
+    return plain(dated.withColumn("posted_at", valid))
 
 
 @query
@@ -128,8 +124,8 @@ def taxonomy_and_competitors(spark, sf):
     return plain(
         fx.posts_raw(spark, sf).select(
             "seq",
-            tags.known_categories(F.col("categories")).alias("categories"),
-            tags.canonical_competitors(F.col("competitors")).alias("competitors"),
+            tags.known_categories("categories").alias("categories"),
+            tags.canonical_competitors("competitors").alias("competitors"),
         )
     )
 
@@ -396,8 +392,9 @@ def run_errors(spark, sf):
 
 @query
 def zero_volume_days(spark, sf):
+    """Days on which one author had no completed post."""
     quiet = fx.posts(spark, sf).filter(
-        (F.col("platform") == "hackernews") & F.array_contains("categories", "ADE")
+        (F.col("author_handle") == "u1") & (F.col("status") == "completed")
     )
     return health.zero_volume_days(reports.posts_per_day(quiet), AS_OF)
 

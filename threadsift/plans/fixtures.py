@@ -121,11 +121,13 @@ def stored_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     early = events(spark, sf_dir).filter(F.col("ts") < times.as_timestamp(STORE_CUTOFF)).select(
         F.col("event_id").alias("seq"), F.col("ts").alias("_ts")
     )
-    first = batch(spark, sf_dir).join(early, "seq")
+    first = times.with_instant(
+        batch(spark, sf_dir).join(early, "seq"), "posted_at", "_posted"
+    )
     return first.select(
         _str("s", F.col("seq")).alias("id"),
         "platform", "post_url", "post_title", "author_handle",
-        times.iso_instant(F.col("posted_at")).alias("posted_at"),
+        F.col("_posted").alias("posted_at"),
         "summary",
         text.empty_to_null(F.col("opportunity")).alias("opportunity"),
         "categories",
