@@ -19,7 +19,7 @@ from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, GroupedData, Window, functions as F
 
 from ..session import checkpointed
 
@@ -27,6 +27,24 @@ FIRST_SLOTS = 4096
 FINER = 16
 
 
+def _by_bucket(df: DataFrame, *order: str) -> GroupedData:
+    """Rows grouped into buckets of whole keys, sorted by key and ``order``.
+
+    The grouping states that keys must stay together, so no later change of the
+    plan splits them (a bare ``repartition`` is dropped where the input already
+    has that partitioning, and then nothing protects it). Groups reach Python
+    as a stream of batches, never whole.
+    """
+    spark = df.sparkSession
+    buckets = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        df.withColumn("_b", F.pmod(F.xxhash64("_k"), F.lit(buckets)))
+        .repartition("_b")
+        .sortWithinPartitions("_b", "_k", *order)
+        .groupBy("_b")
+    )
+
+
 def _walk(cap: int, window_us: int):
     """Decides rows that come sorted by (key, time, id), batch by batch."""
 
@@ -90,13 +108,9 @@ def _thin(events: DataFrame, cap: int, window_us: int, width: int) -> DataFrame:
     """Drops events of slots that cannot hold an accepted one."""
     slotted = events.withColumn("_slot", F.floor(F.col("_t") / width).cast("long"))
     counts = slotted.groupBy("_k", "_slot").agg(F.count("*").alias("n"))
-    live = (
-        counts.repartition("_k")
-        .sortWithinPartitions("_k", "_slot")
-        .mapInPandas(
-            _live_slots(cap, window_us // width, -(-window_us // width)),
-            "_k string, _slot long",
-        )
+    live = _by_bucket(counts, "_slot").applyInPandas(
+        _live_slots(cap, window_us // width, -(-window_us // width)),
+        "_k string, _slot long",
     )
     return slotted.join(live, ["_k", "_slot"], "left_semi").drop("_slot")
 
@@ -147,10 +161,8 @@ def accepted_keys(
     window_us = int(window_seconds * 1_000_000)
     if hot_rows is not None:
         events = thin_hot_keys(events, cap, window_us, hot_rows, first_slots)
-    return (
-        events.repartition("_k")
-        .sortWithinPartitions("_k", "_t", "_id")
-        .mapInPandas(_walk(cap, window_us), "_k string, _t long, _id long")
+    return _by_bucket(events, "_t", "_id").applyInPandas(
+        _walk(cap, window_us), "_k string, _t long, _id long"
     )
 
 

@@ -11,7 +11,10 @@ from ..functions import tags, text, times, urls
 from ..operators import (
     clean, dedup, errors, harvest, health, ratelimit, records, reports, runs, store, views,
 )
-from . import fixtures as fx
+from ..session import work_dir
+from ..sources import landed
+from ..streaming import ingest, intake
+from . import fixtures as fx, jobs
 
 AS_OF = fx.AS_OF
 MONTH_AGO = "2024-01-01 00:00:00"
@@ -560,3 +563,59 @@ def platform_breakdown(spark, sf):
     return reports.platform_breakdown(
         dedup.not_stored(fx.batch(spark, sf), fx.stored_before(spark, sf))
     )
+
+
+# Streams -------------------------------------------------------------------------------
+
+
+def _land_in_two(df: DataFrame, at: DataFrame, folder: str, fmt: str):
+    """Writes the rows before the cutoff, yields, then writes the others: two
+    landings that two runs of a stream pick up."""
+    early = F.col("_ts") < times.as_timestamp(fx.STORE_CUTOFF)
+    dated = df.join(at, "seq")
+    for part in (dated.filter(early), dated.filter(~early)):
+        part.drop("_ts").write.mode("append").format(fmt).save(folder)
+        yield
+
+
+@query
+def stream_ingest(spark, sf):
+    """Two incremental runs over landed candidates: the store they leave."""
+    work = work_dir(spark, "ingest")
+    at = fx.events(spark, sf).select(F.col("event_id").alias("seq"), F.col("ts").alias("_ts"))
+    posts = jobs.post_table(spark, f"{work}/posts")
+    for _ in _land_in_two(fx.posts_raw(spark, sf), at, f"{work}/landing", "json"):
+        ingest.ingest_now(posts, f"{work}/landing", f"{work}/checkpoint", AS_OF)
+    return plain(posts.read().select("platform", "post_url", "post_title", "categories", "competitors"))
+
+
+@query
+def stream_rate_limit(spark, sf):
+    """Two incremental runs over landed events, twice an hour per event type."""
+    work = work_dir(spark, "intake")
+    events = fx.events(spark, sf).withColumnRenamed("event_id", "seq")
+    at = events.select("seq", F.col("ts").alias("_ts"))
+    for _ in _land_in_two(events, at, f"{work}/landing", "parquet"):
+        stream = landed.report_stream(spark, f"{work}/landing", events.schema)
+        intake.limited_stream(
+            stream, f"{work}/accepted", f"{work}/checkpoint",
+            keys=["event_type"], at="ts", order="seq", cap=2, window_seconds=3600,
+        ).awaitTermination()
+    return spark.read.parquet(f"{work}/accepted").select(
+        F.col("seq").alias("event_id"), "event_type"
+    )
+
+
+@query
+def stream_digest(spark, sf):
+    """Two digests of landed error rows, one per run."""
+    work = work_dir(spark, "digest")
+    table = fx.client_errors(spark, sf)
+    rows = table.withColumn("seq", F.col("id").cast("long"))
+    at = rows.select("seq", F.col("occurred_at").alias("_ts"))
+    schema = table.schema
+    for _ in _land_in_two(rows, at, f"{work}/landing", "parquet"):
+        stream = landed.report_stream(spark, f"{work}/landing", schema)
+        intake.digest_stream(stream, f"{work}/digests", f"{work}/checkpoint").awaitTermination()
+    shown = spark.read.parquet(f"{work}/digests")
+    return plain(shown.select("batch", "fingerprint", "occurrences", "first_seen", "first_id"))

@@ -691,4 +691,34 @@ UNION ALL SELECT 'new', platform, count(*) FROM batch
 c AS (SELECT platform, count(*) AS n, min(seq) AS first FROM batch
   WHERE post_url NOT IN (SELECT post_url FROM stored) GROUP BY platform)
 SELECT coalesce(string_agg(n || ' ' || platform, ', ' ORDER BY n DESC, first), 'none') AS by_platform FROM c""",
+        "stream_ingest": f"""WITH {JUDGED},
+phased AS (SELECT *, ts >= {CUTOFF} AS late FROM good),
+named AS (
+  SELECT post_url, late, list(name ORDER BY moment) AS names FROM (
+    SELECT post_url, late, name, min({{'s': seq, 'p': pos}}) AS moment FROM (
+      SELECT post_url, late, seq, unnest(competitors) AS name,
+        generate_subscripts(competitors, 1) AS pos FROM phased) GROUP BY ALL) GROUP BY ALL),
+landed AS (
+  SELECT p.late, p.post_url, p.post_title, p.categories, coalesce(n.names, []) AS competitors,
+    CASE WHEN bool_or(platform = 'ade') OVER (PARTITION BY p.post_url, p.late)
+      THEN 'ade' ELSE platform END AS platform
+  FROM phased p LEFT JOIN named n ON n.post_url = p.post_url AND n.late = p.late
+  QUALIFY row_number() OVER (PARTITION BY p.post_url, p.late ORDER BY seq) = 1),
+first AS (SELECT * FROM landed WHERE NOT late),
+second AS (SELECT * FROM landed WHERE late)
+SELECT f.platform, f.post_url, f.post_title, {_join('f.categories')} AS categories,
+  {_join("""CASE WHEN len(list_filter(coalesce(s.competitors, []),
+      lambda c: NOT list_contains(f.competitors, c))) > 0
+    THEN list_sort(list_distinct(list_concat(f.competitors, s.competitors))) ELSE f.competitors END""")} AS competitors
+FROM first f LEFT JOIN second s USING (post_url)
+UNION ALL
+SELECT platform, post_url, post_title, {_join('categories')}, {_join('competitors')}
+FROM second WHERE post_url NOT IN (SELECT post_url FROM first)""",
+        "stream_rate_limit": f"""WITH RECURSIVE {_greedy('w', 'events', 'event_type', 'ts', 'event_id', 2, 3600)}
+SELECT id AS event_id, k AS event_type FROM w WHERE ok""",
+        "stream_digest": f"""WITH {CLIENT}
+SELECT CASE WHEN occurred_at < {CUTOFF} THEN 0 ELSE 1 END AS batch, fingerprint,
+  count(*) AS occurrences, min(occurred_at) AS first_seen,
+  arg_min(id, {{'t': occurred_at, 'i': id}}) AS first_id
+FROM client WHERE alerted_at IS NULL GROUP BY ALL""",
     }
