@@ -12,21 +12,23 @@ OPTIONAL_TEXT = ["author_handle", "posted_at"]
 TEXT_LISTS = ["categories", "competitors"]
 
 
-def strict_json(text: Column) -> Column:
-    """The variant that ``text`` holds, NULL where it is not exactly one JSON
-    value. The parser stops after the first value, so a marker member behind it
-    shows that nothing else followed."""
-    wrapped = F.try_parse_json(
-        F.concat(F.lit('{"v":'), text, F.lit(f',"{_END}":1}}'))
+def with_strict_json(df: DataFrame, source: str, target: str) -> DataFrame:
+    """The variant that a text holds, NULL where it is not exactly one JSON value.
+    The parser stops after the first value, so a marker member behind it shows
+    that nothing else followed."""
+    wrapped = F.concat(F.lit('{"v":'), F.col(source), F.lit(f',"{_END}":1}}'))
+    whole = F.try_variant_get("_wrapped", "$['\x00end']", "int") == 1
+    return (
+        df.withColumn("_wrapped", F.try_parse_json(wrapped))
+        .withColumn(target, F.when(whole, F.try_variant_get("_wrapped", "$.v", "variant")))
+        .drop("_wrapped")
     )
-    complete = F.try_variant_get(wrapped, "$['\x00end']", "int") == 1
-    return F.when(complete, F.try_variant_get(wrapped, "$.v", "variant"))
 
 
 def with_response_text(df: DataFrame, payload: str, target: str) -> DataFrame:
     """Text of a model response (a JSON string): ``output_text`` if it is a
     string, else the text items joined by line breaks, else NULL."""
-    parsed = df.withColumn("_parsed", strict_json(F.col(payload)))
+    parsed = with_strict_json(df, payload, "_parsed")
     direct = F.when(
         kind(member(F.col("_parsed"), "output_text")) == "STRING",
         F.try_variant_get("_parsed", "$.output_text", "string"),
@@ -61,16 +63,14 @@ def with_json(df: DataFrame, source: str, target: str) -> DataFrame:
             strip(F.substring(bare, 5, 2**31 - 1)),
         ).otherwise(bare),
     ).otherwise(F.col("_stripped"))
-    inner = F.nullif(F.regexp_extract("_unfenced", r"(?s)(\{.*\})", 1), F.lit(""))
-    return (
-        df.withColumn("_stripped", strip(F.col(source)))
-        .withColumn("_unfenced", unfenced)
-        .withColumn("_direct", strict_json(F.col("_unfenced")))
-        .withColumn(
-            "_inner", strict_json(F.when(F.col("_direct").isNull(), inner))
-        )
-        .withColumn(target, F.coalesce("_direct", "_inner"))
-        .drop("_stripped", "_unfenced", "_direct", "_inner")
+    braced = F.nullif(F.regexp_extract("_unfenced", r"(?s)(\{.*\})", 1), F.lit(""))
+    cut = df.withColumn("_stripped", strip(F.col(source))).withColumn("_unfenced", unfenced)
+    direct = with_strict_json(cut, "_unfenced", "_direct")
+    inner = with_strict_json(
+        direct.withColumn("_inner", F.when(F.col("_direct").isNull(), braced)), "_inner", "_second"
+    )
+    return inner.withColumn(target, F.coalesce("_direct", "_second")).drop(
+        "_stripped", "_unfenced", "_direct", "_inner", "_second"
     )
 
 

@@ -72,10 +72,12 @@ def is_latin(
 ) -> Column:
     """True where less than ``limit`` of the letters lie above ``latin_end``, or
     there are no letters at all."""
-    letters = F.regexp_replace(c, r"[^\p{L}]", "")
-    beyond = F.regexp_replace(letters, rf"[\x{{0}}-\x{{{latin_end:X}}}]", "")
-    return (F.length(letters) == 0) | (
-        F.length(beyond) / F.nullif(F.length(letters), F.lit(0)) < F.lit(limit)
+    letters = F.regexp_replace(c, r"[^\p{L}]+", "")
+    beyond = F.regexp_replace(letters, rf"[\x{{0}}-\x{{{latin_end:X}}}]+", "")
+    share = F.length(beyond) / F.nullif(F.length(letters), F.lit(0))
+    # As many bytes as characters: plain ASCII, nothing to count.
+    return F.when(F.octet_length(c) == F.length(c), F.lit(True)).otherwise(
+        F.coalesce(share < F.lit(limit), c.isNotNull())
     )
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .sqltext import quote, stripped
+from .stage import once
 
 # ISO 8601 date, extended or basic, with an optional time and an optional
 # offset. Week dates are not taken.
@@ -64,10 +65,13 @@ def instant_steps(source: str, target: str, prefix: str = "_iso") -> list[str]:
     ]
 
 
-def with_instant(df, source: str, target: str):
-    """``df`` with the instant of an ISO 8601 string as a new column."""
+def with_instant(df: DataFrame, source: str, target: str) -> DataFrame:
+    """``df`` with the instant of an ISO 8601 string as a new column. Filters on
+    it do not parse the string again."""
     staged = df.selectExpr("*", *instant_steps(source, "_instant"))
-    return staged.selectExpr(*df.columns, f"_instant AS {target}")
+    return once(staged.select(*df.columns, "_instant"), {target: F.col("_instant")}).select(
+        *df.columns, target
+    )
 
 
 def day_of(ts: Column) -> Column:

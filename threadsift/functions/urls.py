@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import refdata
 from .sqltext import listed, quote, stripped
+from .stage import once
 
 # Schemes that are written with // even when the host is empty.
 _HOST_SCHEMES = ["http", "https", "ftp", "sftp", "file", "ws", "wss"]
-_PARTS = ["_given", "_whole", "_base", "_prefix", "_scheme", "_rest", "_host", "_path", "_query"]
 
 
 def _decoded(segment: str) -> str:
@@ -62,9 +62,11 @@ def normal_url_steps(
 def with_normal_url(
     df: DataFrame, source: str, tracking: list[str] = refdata.TRACKING_PARAMS
 ) -> DataFrame:
-    """``df`` with the URL column in canonical form."""
+    """``df`` with the URL column in canonical form. Filters on it do not build
+    it again."""
     staged = df.selectExpr("*", *normal_url_steps(source, "_normal", tracking))
-    return staged.selectExpr(*[f"_normal AS {source}" if c == source else c for c in df.columns])
+    kept = [c for c in df.columns if c != source]
+    return once(staged.select(*kept, "_normal"), {source: F.col("_normal")}).select(*df.columns)
 
 
 def is_web_url(c: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import refdata, schemas
 from ..functions import text, times
+from ..functions.stage import once
 from .dedup import first_seen
 
 
@@ -21,33 +22,47 @@ def _literals(words: list[str]) -> Column:
 
 
 def match_phrases(df: DataFrame, on: str, phrases: list[str]) -> DataFrame:
-    """One row per item and phrase its text contains, in any case. The phrases
-    are literals: no join, and each text is read once and whole."""
-    low = [p.lower() for p in phrases]
+    """One row per item and phrase its text contains, in any case; the text column
+    goes away. The phrases are literals, so there is no join, and each text is
+    read whole and lower-cased once."""
+    low = once(df, {on: F.lower(on)})
     hits = F.filter(
-        _literals(low), lambda q: F.contains(F.col("_text"), q["kw"])
+        _literals([p.lower() for p in phrases]), lambda q: F.contains(F.col(on), q["kw"])
     )
-    found = df.withColumn("_text", F.lower(on)).withColumn("_hits", hits).drop("_text")
-    return found.withColumn("_hit", F.explode("_hits")).select(
-        *df.columns,
-        F.col("_hit.query").alias("query"),
-        F.element_at(F.array(*map(F.lit, phrases)), F.col("_hit.query") + 1).alias("keyword"),
+    kept = [c for c in df.columns if c != on]
+    return low.select(*kept, F.explode(hits).alias("_hit")).select(
+        *kept, F.col("_hit.query").alias("query")
     )
 
 
 def match_tags(df: DataFrame, on: str, tags: list[str]) -> DataFrame:
-    """One row per item and listed tag."""
+    """One row per item and listed tag; the tag column goes away."""
     hits = F.filter(_literals(tags), lambda q: F.array_contains(F.col(on), q["kw"]))
-    return df.withColumn("_hit", F.explode(hits)).select(
-        *df.columns, F.col("_hit.query").alias("query"), F.col("_hit.kw").alias("keyword")
+    kept = [c for c in df.columns if c != on]
+    return df.select(*kept, F.explode(hits).alias("_hit")).select(
+        *kept, F.col("_hit.query").alias("query")
     )
 
 
-def newest_per_query(df: DataFrame, k: int, at: str, tiebreak: str) -> DataFrame:
-    """The ``k`` newest items of each query, with their ``rank``. Spark keeps only
-    ``k`` rows per query and input partition before the shuffle."""
-    w = Window.partitionBy("query").orderBy(F.desc(at), F.asc(tiebreak))
-    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+def newest_per_query(matched: DataFrame, k: int, key: str) -> DataFrame:
+    """The ``k`` newest keys of each query with their ``rank``, from (query, key,
+    _at). An item that landed many times counts once, with its newest time. Both
+    steps shrink the rows before they are shuffled."""
+    hits = matched.groupBy("query", key).agg(F.max("_at").alias("_at"))
+    w = Window.partitionBy("query").orderBy(F.desc("_at"), F.asc(key))
+    return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def pick_items(items: DataFrame, top: DataFrame, key: str) -> DataFrame:
+    """The items behind the top keys, with the first (query, rank) of each key.
+
+    ``top`` has at most k rows per query, so it is small enough to broadcast, and
+    texts and other payload never take part in sorting or ranking.
+    """
+    first = top.groupBy(key, "_at").agg(F.min(F.struct("query", "rank")).alias("_q"))
+    return items.join(F.broadcast(first), [key, "_at"]).withColumns(
+        {"query": F.col("_q.query"), "rank": F.col("_q.rank")}
+    )
 
 
 def _since(at: Column, as_of, hours: int, strict: bool) -> Column:
@@ -79,16 +94,14 @@ def harvest_stories(
     keywords: list[str] = refdata.KEYWORDS,
 ) -> DataFrame:
     """Stories by keyword. A hit without a title still marks its link as seen."""
-    words = F.concat_ws("\n", "title", "story_title", "story_text")
     recent = hits.withColumn("_at", times.epoch_to_timestamp(F.col("created_at_i"))).filter(
         _since(F.col("_at"), as_of, hours, strict=True)
     )
-    top = newest_per_query(
-        match_phrases(recent.withColumn("_words", words), "_words", keywords),
-        k, "_at", "objectID",
-    )
+    words = F.concat_ws("\n", "title", "story_title", "story_text").alias("_words")
+    matched = match_phrases(recent.select("objectID", "_at", words), "_words", keywords)
+    top = newest_per_query(matched, k, "objectID")
     found = _skeleton(
-        top.filter(text.empty_to_null(F.col("objectID")).isNotNull()),
+        pick_items(recent, top.filter(text.empty_to_null(F.col("objectID")).isNotNull()), "objectID"),
         platform=F.lit("hackernews"),
         post_url=text.story_link(F.col("objectID")),
         post_title=text.title(text.first_nonempty(F.col("title"), F.col("story_title"), F.lit(""))),
@@ -96,7 +109,7 @@ def harvest_stories(
         posted_at=F.col("created_at"),
         body=text.empty_to_null(text.html_snippet(F.col("story_text"))),
     )
-    return first_seen(found, "post_url", "query", "rank").filter(
+    return first_seen(found, "post_url", "query", "rank", "post_title").filter(
         text.blank_to_null(F.col("post_title")).isNotNull()
     )
 
@@ -115,11 +128,12 @@ def harvest_questions(
     recent = items.withColumns(
         {"_at": times.epoch_to_timestamp(F.col("creation_date")), "_link": text.strip(F.col("link"))}
     ).filter(_since(F.col("_at"), as_of, hours, strict=False))
-    by_tag = newest_per_query(match_tags(recent, "tags", tags), k, "_at", "_link")
-    by_title = newest_per_query(match_phrases(recent, "title", phrases), k, "_at", "_link")
-    both = by_tag.unionByName(by_title.withColumn("query", F.col("query") + len(tags)))
+    by_tag = match_tags(recent.select("_link", "_at", "tags"), "tags", tags)
+    by_title = match_phrases(recent.select("_link", "_at", "title"), "title", phrases)
+    matched = by_tag.unionByName(by_title.withColumn("query", F.col("query") + len(tags)))
+    top = newest_per_query(matched, k, "_link")
     found = _skeleton(
-        both.filter(text.empty_to_null(F.col("_link")).isNotNull()),
+        pick_items(recent, top.filter(text.empty_to_null(F.col("_link")).isNotNull()), "_link"),
         platform=F.lit("stackoverflow"),
         post_url=F.col("_link"),
         post_title=text.title(F.col("title")),
@@ -127,7 +141,7 @@ def harvest_questions(
         posted_at=times.iso_string(F.col("_at")),
         body=text.tag_snippet(F.col("tags")),
     )
-    return first_seen(found, "post_url", "query", "rank").filter(
+    return first_seen(found, "post_url", "query", "rank", "post_title").filter(
         text.empty_to_null(F.col("post_title")).isNotNull()
     )
 
@@ -142,9 +156,11 @@ def harvest_micro_posts(
 ) -> DataFrame:
     """Microblog posts by keyword, without accounts labelled as bots. Here a post
     without text does not mark its link."""
-    dated = times.with_instant(posts, "record.createdAt", "_at")
-    recent = dated.withColumn("_words", F.col("record.text")).filter(_since(F.col("_at"), as_of, hours, strict=False))
-    top = newest_per_query(match_phrases(recent, "_words", keywords), k, "_at", "uri")
+    recent = times.with_instant(posts, "record.createdAt", "_at").filter(
+        _since(F.col("_at"), as_of, hours, strict=False)
+    )
+    words = F.col("record.text").alias("_words")
+    matched = match_phrases(recent.select("uri", "_at", words), "_words", keywords)
     human = ~F.coalesce(
         F.exists("author.labels", lambda label: label["val"] == "bot"), F.lit(False)
     )
@@ -154,7 +170,7 @@ def harvest_micro_posts(
         & text.blank_to_null(F.col("record.text")).isNotNull()
     )
     found = _skeleton(
-        top.filter(human & complete),
+        pick_items(recent, newest_per_query(matched, k, "uri"), "uri").filter(human & complete),
         platform=F.lit("bluesky"),
         post_url=text.micro_link(F.col("uri"), F.col("author.handle")),
         post_title=text.title(F.col("record.text")),
@@ -162,7 +178,7 @@ def harvest_micro_posts(
         posted_at=F.col("record.createdAt"),
         body=F.lit(None).cast("string"),
     )
-    return first_seen(found, "post_url", "query", "rank")
+    return first_seen(found, "post_url", "query", "rank", "post_title")
 
 
 def in_source_order(*pools: DataFrame) -> DataFrame:

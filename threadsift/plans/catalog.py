@@ -11,6 +11,7 @@ from ..functions import tags, text, times, urls
 from ..operators import (
     clean, dedup, errors, harvest, health, ratelimit, records, reports, runs, store, views,
 )
+from ..functions.stage import once
 from ..session import work_dir
 from ..sources import landed
 from ..streaming import ingest, intake
@@ -97,9 +98,9 @@ def language_guard(spark, sf):
     shown = F.when(
         F.col("doc_id") % 3 == 0, F.translate("text", "aeos", "аеоѕ")
     ).otherwise(F.translate("text", "z", "ж"))
-    return fx.table(spark, sf, "documents").select(
-        "doc_id", text.is_latin(shown).alias("is_latin")
-    )
+    given = fx.spread(fx.table(spark, sf, "documents").select("doc_id", "text"))
+    shown_once = once(given.select("doc_id", shown.alias("shown")), {"shown": F.col("shown")})
+    return shown_once.select("doc_id", text.is_latin(F.col("shown")).alias("is_latin"))
 
 
 @query

@@ -29,6 +29,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a table in fewer files than there are cores, dealt out to all of
+    them before costly expressions. Larger tables stay as they are read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def pick(values: list[str], index: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), (index + 1).cast("int"))
 
@@ -60,7 +67,7 @@ def posts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(n % 6 == 5, F.concat(F.date_format(ts, iso), F.lit("+02:00")))
     )
     none = F.lit(None).cast("string")
-    return events(spark, sf_dir).select(
+    return spread(events(spark, sf_dir)).select(
         n.alias("seq"),
         pick(PLATFORM_SPELLINGS, (n * 3 + user) % 10).alias("platform"),
         url.alias("post_url"),
@@ -312,7 +319,7 @@ def story_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stories out of documents: the whole text, an hour between two of them."""
     n = F.col("doc_id")
     at = F.unix_seconds(times.as_timestamp(AS_OF)) - (n + 1) * 3600
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         n.cast("string").alias("objectID"),
         F.when(n % 11 == 0, "").otherwise(_str(" Story ", n)).alias("title"),
         F.when(n % 22 != 0, _str("Told ", n)).alias("story_title"),
@@ -360,4 +367,6 @@ def model_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     )
-    return events(spark, sf_dir).select(n.alias("response_id"), payload.alias("payload"))
+    return spread(events(spark, sf_dir)).select(
+        n.alias("response_id"), payload.alias("payload")
+    )

@@ -401,29 +401,30 @@ story_pool AS (SELECT * FROM stories WHERE post_title <> '')"""
 
 QUESTIONS = f"""
 items AS (
-  SELECT event_id, user_id, ts, 'https://qa.example/q/' || (event_id - event_id % 4) AS link,
+  SELECT event_id, user_id, date_trunc('second', ts) AS moment,
+    'https://qa.example/q/' || (event_id - event_id % 4) AS link,
     CASE WHEN event_id % 19 = 0 THEN '  '
       WHEN event_id % 2 = 0 THEN 'How does ' || event_type || ' work? ' || event_id
       ELSE 'Question ' || event_id END AS title,
     [event_type, 'k' || regexp_extract(props, '[0-9]+')] AS tags
-  FROM events WHERE ts >= {AS_OF} - INTERVAL 744 HOURS),
-tagged AS (
-  SELECT items.*, kw.query,
-    row_number() OVER (PARTITION BY kw.query ORDER BY date_trunc('second', ts) DESC, link) AS rank
-  FROM items JOIN {_phrases(QUESTION_TAGS)} ON list_contains(tags, kw.keyword)
-  QUALIFY rank <= 30),
-titled AS (
-  SELECT items.*, kw.query + {len(QUESTION_TAGS)} AS query,
-    row_number() OVER (PARTITION BY kw.query ORDER BY date_trunc('second', ts) DESC, link) AS rank
-  FROM items JOIN {_phrases(QUESTION_PHRASES)} ON contains(lower(title), lower(kw.keyword))
-  QUALIFY rank <= 30),
+  FROM events WHERE date_trunc('second', ts) >= {AS_OF} - INTERVAL 744 HOURS),
+asked AS (
+  SELECT kw.query, link, moment FROM items
+    JOIN {_phrases(QUESTION_TAGS)} ON list_contains(tags, kw.keyword)
+  UNION ALL
+  SELECT kw.query + {len(QUESTION_TAGS)}, link, moment FROM items
+    JOIN {_phrases(QUESTION_PHRASES)} ON contains(lower(title), lower(kw.keyword))),
+ranked AS (
+  SELECT query, link, max(moment) AS moment,
+    row_number() OVER (PARTITION BY query ORDER BY max(moment) DESC, link) AS rank
+  FROM asked GROUP BY query, link QUALIFY rank <= 30),
 questions AS (
-  SELECT query, rank, 'stackoverflow' AS platform, link AS post_url, trim(title) AS post_title,
+  SELECT r.query, r.rank, 'stackoverflow' AS platform, link AS post_url, trim(title) AS post_title,
     CASE WHEN event_id % 5 <> 0 THEN 'u' || user_id END AS author_handle,
-    strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS posted_at,
+    strftime(moment, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS posted_at,
     'Tags: ' || array_to_string(tags, ', ') AS body
-  FROM (SELECT * FROM tagged UNION ALL BY NAME SELECT * FROM titled)
-  QUALIFY row_number() OVER (PARTITION BY link ORDER BY query, rank) = 1),
+  FROM ranked r JOIN items USING (link, moment)
+  QUALIFY row_number() OVER (PARTITION BY link ORDER BY r.query, r.rank) = 1),
 question_pool AS (SELECT * FROM questions WHERE post_title <> '')"""
 
 MICRO = f"""
@@ -433,18 +434,18 @@ micro AS (
     CASE WHEN event_id % 31 <> 0 THEN 'u' || user_id END AS handle,
     CASE WHEN event_id % 37 = 0 THEN ' ' ELSE ' a ' || event_type || ' with ' || props END AS text
   FROM events WHERE date_trunc('second', ts) >= {AS_OF} - INTERVAL 744 HOURS),
-micro_hits AS (
-  SELECT micro.*, kw.query,
-    row_number() OVER (PARTITION BY kw.query ORDER BY moment DESC, uri NULLS FIRST) AS rank
+asked_micro AS (
+  SELECT query, uri, max(moment) AS moment,
+    row_number() OVER (PARTITION BY query ORDER BY max(moment) DESC, uri NULLS FIRST) AS rank
   FROM micro JOIN {_phrases(MICRO_WORDS)} ON contains(lower(text), lower(kw.keyword))
-  QUALIFY rank <= 40),
+  GROUP BY query, uri QUALIFY rank <= 40),
 micro_pool AS (
   SELECT query, rank, 'bluesky' AS platform,
     'https://bsky.app/profile/' || handle || '/post/' || event_id AS post_url,
     trim(text) AS post_title, '@' || handle AS author_handle,
     strftime(moment, '%Y-%m-%dT%H:%M:%SZ') AS posted_at
-  FROM micro_hits
-  WHERE user_id % 10 <> 0 AND uri IS NOT NULL AND handle IS NOT NULL AND trim(text) <> ''
+  FROM asked_micro JOIN micro USING (uri, moment)
+  WHERE user_id % 10 <> 0 AND handle IS NOT NULL AND trim(text) <> ''
   QUALIFY row_number() OVER (PARTITION BY handle, event_id ORDER BY query, rank) = 1)"""
 
 
