@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, GroupedData, Window, functions as F
 
-from ..session import checkpointed
+from ..session import written
 
 FIRST_SLOTS = 4096
 FINER = 16
@@ -141,7 +141,7 @@ def thin_hot_keys(
     slots, before = first_slots, None
     while True:
         width = max(window_us // slots, 1)
-        hot = checkpointed(_thin(hot, cap, window_us, width))
+        hot = written(_thin(hot, cap, window_us, width), "thinned")
         left = _largest(hot)
         settled = before is not None and left > 0.9 * before
         if width == 1 or left <= hot_rows or settled:
@@ -183,16 +183,18 @@ def rate_limit(
     order: str,
     cap: int,
     window_seconds: float,
+    *,
+    reused: bool = False,
     **options,
 ) -> DataFrame:
     """Rows of ``df`` that are accepted: at most ``cap`` accepted rows per key in
     any ``window_seconds``. ``order`` is a unique number that orders rows of the
     same instant. Payload rows meet the decisions in a semi-join on ``order``,
-    which no key can skew."""
+    which no key can skew. With ``reused`` the decisions are written to the shared
+    folder, so that further steps do not take them again."""
     accepted = accepted_keys(keyed(df, keys, at, order), cap, window_seconds, **options)
-    return df.join(
-        accepted.select(F.col("_id").alias(order)), order, "left_semi"
-    )
+    ids = accepted.select(F.col("_id").alias(order))
+    return df.join(written(ids, "accepted") if reused else ids, order, "left_semi")
 
 
 def drop_repeats(

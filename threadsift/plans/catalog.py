@@ -12,7 +12,7 @@ from ..operators import (
     clean, dedup, errors, harvest, health, ratelimit, records, reports, runs, store, views,
 )
 from ..functions.stage import once
-from ..session import work_dir
+from ..session import work_dir, written
 from ..sources import landed
 from ..streaming import ingest, intake
 from . import fixtures as fx, jobs
@@ -153,9 +153,16 @@ def dedup_merge(spark, sf):
     return plain(fx.batch(spark, sf))
 
 
+def _store_and_batch(spark, sf):
+    """A store and the batch that meets it. The batch is written first, as the
+    discovery job does, because several steps use it."""
+    batch = written(fx.batch(spark, sf), "batch")
+    return fx.stored_before(spark, sf, batch), batch
+
+
 @query
 def new_vs_existing(spark, sf):
-    batch, stored = fx.batch(spark, sf), fx.stored_before(spark, sf)
+    stored, batch = _store_and_batch(spark, sf)
     old = dedup.already_stored(batch, stored).select("post_url", F.lit("stored").alias("found"))
     new = dedup.not_stored(batch, stored).select("post_url", F.lit("new").alias("found"))
     return old.unionByName(new)
@@ -163,20 +170,20 @@ def new_vs_existing(spark, sf):
 
 @query
 def competitor_merge(spark, sf):
-    merged = store.merge_competitors(fx.stored_before(spark, sf), fx.batch(spark, sf))
+    merged = store.merge_competitors(*_store_and_batch(spark, sf))
     return plain(merged.select("post_url", "competitors", "changed"))
 
 
 @query
 def upsert_snapshot(spark, sf):
-    after = store.upsert(fx.stored_before(spark, sf), fx.batch(spark, sf), AS_OF)
+    after = store.upsert(*_store_and_batch(spark, sf), AS_OF)
     return plain(after.drop("id", "actioned_at", "actioned_by", "status_changed_at"))
 
 
 @query
 def upsert_ids(spark, sf):
     """Ids of inserted rows depend on their URL only, and no URL is stored twice."""
-    after = store.upsert(fx.stored_before(spark, sf), fx.batch(spark, sf), AS_OF)
+    after = store.upsert(*_store_and_batch(spark, sf), AS_OF)
     return after.groupBy("post_url").agg(
         F.count("*").alias("n"), F.max("id").alias("id")
     )
@@ -317,7 +324,8 @@ def rate_limit_hot(spark, sf):
 @query
 def error_intake(spark, sf):
     """Fingerprint, repeats per page, then validity, widths and the hourly rate."""
-    sent = errors.suppress_repeats(errors.with_fingerprint(fx.error_reports(spark, sf)))
+    reports_in = errors.with_fingerprint(fx.error_reports(spark, sf))
+    sent = errors.suppress_repeats(reports_in, reused=True)
     return errors.admit(sent, cap=3).select("seq", "message", "fingerprint")
 
 
@@ -534,8 +542,7 @@ def snippet_lookup(spark, sf):
 def stage_counters(spark, sf):
     """What each stage of a discovery run took and left, as (stage, key, n)."""
     judged = clean.judge(fx.posts_raw(spark, sf), AS_OF)
-    good = clean.kept(judged)
-    new = dedup.not_stored(fx.batch(spark, sf), fx.stored_before(spark, sf))
+    stored, batch = _store_and_batch(spark, sf)
 
     def total(df, stage):
         return df.agg(F.count("*").alias("n")).select(
@@ -549,9 +556,9 @@ def stage_counters(spark, sf):
 
     parts = [
         by(judged.withColumn("verdict", F.coalesce("reject_reason", F.lit("kept"))), "clean", "verdict"),
-        total(good.select("post_url").distinct(), "distinct"),
-        total(dedup.already_stored(fx.batch(spark, sf), fx.stored_before(spark, sf)), "stored"),
-        by(new, "new", "platform"),
+        total(batch, "distinct"),
+        total(dedup.already_stored(batch, stored), "stored"),
+        by(dedup.not_stored(batch, stored), "new", "platform"),
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -561,9 +568,8 @@ def stage_counters(spark, sf):
 
 @query
 def platform_breakdown(spark, sf):
-    return reports.platform_breakdown(
-        dedup.not_stored(fx.batch(spark, sf), fx.stored_before(spark, sf))
-    )
+    stored, batch = _store_and_batch(spark, sf)
+    return reports.platform_breakdown(dedup.not_stored(batch, stored))
 
 
 # Streams -------------------------------------------------------------------------------

@@ -122,14 +122,14 @@ def batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.merge_copies(clean.clean(posts_raw(spark, sf_dir), AS_OF))
 
 
-def stored_before(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A store that met the URLs first seen before the cutoff, with competitor
-    lists of its own (some unsorted)."""
+def stored_before(spark: SparkSession, sf_dir: str, batch: DataFrame) -> DataFrame:
+    """A store that met the batch's URLs first seen before the cutoff, with
+    competitor lists of its own (some unsorted)."""
     early = events(spark, sf_dir).filter(F.col("ts") < times.as_timestamp(STORE_CUTOFF)).select(
         F.col("event_id").alias("seq"), F.col("ts").alias("_ts")
     )
     first = times.with_instant(
-        batch(spark, sf_dir).join(early, "seq"), "posted_at", "_posted"
+        batch.join(early, "seq"), "posted_at", "_posted"
     )
     return first.select(
         _str("s", F.col("seq")).alias("id"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from .. import refdata, schemas
 from ..functions import tags
 from ..operators import clean, dedup, errors, harvest, store
-from ..session import work_dir
+from ..session import written
 from ..sources.daytable import DayTable
 
 
@@ -44,7 +44,6 @@ def discover(posts: DayTable, raw: DataFrame, as_of) -> dict[str, int]:
     so it is neither cached nor computed again. Only days that change are
     rewritten. Returns the counts of each stage.
     """
-    spark = raw.sparkSession
     seen, good = Observation(), Observation()
     judged = clean.judge(raw, as_of).observe(
         seen,
@@ -52,9 +51,7 @@ def discover(posts: DayTable, raw: DataFrame, as_of) -> dict[str, int]:
         F.count("reject_reason").alias("dropped"),
     )
     merged = dedup.merge_copies(clean.kept(judged)).observe(good, F.count(F.lit(1)).alias("n"))
-    path = work_dir(spark, "batch")
-    merged.write.parquet(path)
-    batch = spark.read.parquet(path)
+    batch = written(merged, "batch")
 
     stored = posts.read()
     keyed = stored.select("id", "post_url", "competitors", "discovered_at")

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -15,7 +15,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -57,10 +56,10 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
-    """``df`` written to the shared folder, so that losing an executor does not
-    recompute everything before it."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder. What is used several times is then
+    computed once, losing an executor costs no more than a read, and later steps
+    read only the columns they need."""
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

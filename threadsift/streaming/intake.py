@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import errors, ratelimit
+from ..session import written
 
 STATE = "_k string, _t bigint"
 
@@ -86,8 +87,8 @@ def limited_stream(
 
     def take(batch: DataFrame, batch_id: int) -> None:
         events = ratelimit.keyed(batch, keys, at, order)
-        accepted = ratelimit.checkpointed(
-            decide(events, state.before(batch_id), cap, window_seconds, **options)
+        accepted = written(
+            decide(events, state.before(batch_id), cap, window_seconds, **options), "accepted"
         )
         fresh = accepted.filter(F.col("_id") >= 0).select(F.col("_id").alias(order))
         batch.join(fresh, order, "left_semi").write.mode("overwrite").parquet(
