@@ -104,6 +104,44 @@ def test_combine_keeps_pool_order(spark):
     assert merged["post_title"] == "a0" and merged["platform"] == "ade"
 
 
+def test_whole_discovery(spark, table, tmp_path):
+    """Landed pages and model responses through to the store."""
+    at = 1706655600
+    _lines(
+        tmp_path / "s.json",
+        {"hits": [{"objectID": "1", "title": "OCR is hard", "created_at_i": at, "created_at": "2024-01-30T23:00:00Z"},
+                  {"objectID": "2", "title": "OCR of nothing", "created_at_i": at}]},
+    )
+    _lines(
+        tmp_path / "q.json",
+        {"items": [{"link": "https://q/9", "title": "Why", "creation_date": at, "tags": ["ocr", "hard"]}]},
+    )
+    _lines(tmp_path / "m.json", {"posts": []})
+    post = {"platform": "Reddit", "post_url": "https://r.example/7/?utm_source=x", "post_title": "T", "summary": "S",
+            "categories": ["IDP"]}
+    ours = {**post, "post_url": "https://q/9", "competitors": ["uipath"]}
+    _lines(tmp_path / "a.json", {"output_text": json.dumps({"posts": [post, {"platform": "x"}]})})
+    _lines(tmp_path / "b.json", {"output_text": json.dumps({"posts": [ours]})})
+
+    native = jobs.native_pool(
+        landed.story_hits(spark, str(tmp_path / "s.json")),
+        landed.questions(spark, str(tmp_path / "q.json")),
+        landed.micro_posts(spark, str(tmp_path / "m.json")),
+        records.keyword_rules({"OCR": ["hard"]}), AS_OF,
+    )
+    model = jobs.model_pool(landed.model_responses(spark, str(tmp_path / "a.json")))
+    own = jobs.priority(jobs.model_pool(landed.model_responses(spark, str(tmp_path / "b.json"))))
+    counts = jobs.discover(table, jobs.combine(native, model, own), AS_OF)
+    assert counts == {"pool": 4, "dropped": 0, "distinct": 3, "inserted": 3, "merged": 0}
+    got = {r["post_url"]: (r["platform"], r["categories"], r["competitors"]) for r in table.read().collect()}
+    assert got == {
+        "https://news.ycombinator.com/item?id=1": ("hackernews", ["OCR"], []),
+        "https://q/9": ("ade", ["OCR"], ["UiPath"]),
+        "https://r.example/7": ("reddit", ["IDP"], []),
+    }
+    assert table.since("2024-01-31").count() == 3 and table.since("2024-02-01").isEmpty()
+
+
 def test_archive_and_act_rewrite_only_their_days(spark, table):
     table.write(
         posts(

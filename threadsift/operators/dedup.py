@@ -64,12 +64,18 @@ def merge_copies(
     )
 
 
+def stored_urls(batch: DataFrame, store: DataFrame) -> DataFrame:
+    """URLs of the batch that the store holds. The store is the side that is
+    filtered: against a small batch it is read without being shuffled."""
+    return store.select("post_url").join(batch.select("post_url"), "post_url", "left_semi")
+
+
 def already_stored(batch: DataFrame, store: DataFrame) -> DataFrame:
-    return batch.join(store.select("post_url"), "post_url", "left_semi")
+    return batch.join(stored_urls(batch, store), "post_url", "left_semi")
 
 
 def not_stored(batch: DataFrame, store: DataFrame) -> DataFrame:
-    return batch.join(store.select("post_url"), "post_url", "left_anti")
+    return batch.join(stored_urls(batch, store), "post_url", "left_anti")
 
 
 def within(output: DataFrame, given: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from .. import refdata, schemas
 from ..functions import tags
-from ..operators import clean, dedup, errors, harvest, store
+from ..operators import clean, dedup, errors, harvest, records, store
 from ..session import written
 from ..sources.daytable import DayTable
 
@@ -25,12 +25,45 @@ def combine(*pools: DataFrame) -> DataFrame:
     """Pools of candidates in order of precedence. Each pool is numbered by its
     own ``seq``; the pool's place goes before it."""
     numbered = [
-        pool.withColumn("seq", F.lit(i).cast("long") * 10**15 + F.col("seq"))
+        pool.withColumn("seq", F.lit(i).cast("long") * 10**17 + F.col("seq"))
         for i, pool in enumerate(pools)
     ]
     return harvest.in_source_order(*numbered)
 
 
+def native_pool(
+    stories: DataFrame,
+    questions: DataFrame,
+    micro: DataFrame,
+    predict: Callable,
+    as_of,
+    **options,
+) -> DataFrame:
+    """Candidates of the three searched sources, in source order, classified by
+    ``predict`` with their snippets at hand."""
+    pools = [
+        harvest.harvest_stories(stories, as_of, **options),
+        harvest.harvest_questions(questions, as_of, **options),
+        harvest.harvest_micro_posts(micro, as_of, **options),
+    ]
+    found = harvest.in_source_order(*[harvest.sequence(p, i) for i, p in enumerate(pools)])
+    found = written(found, "pool")
+    return records.classify(
+        found.select("seq", *schemas.POST_FIELDS),
+        found.select("seq", "post_url", "body"),
+        predict,
+    )
+
+
+def model_pool(responses: DataFrame) -> DataFrame:
+    """Valid records of landed model responses (response_id, payload), numbered by
+    response and place."""
+    parsed = records.parse_batches(responses, "payload", "response_id")
+    valid = records.valid_records(records.batch_records(parsed, "response_id"))
+    order = F.pmod(F.xxhash64("response_id"), F.lit(10**11)).cast("long") * 10**6 + F.col("pos")
+    return valid.select(order.alias("seq"), *schemas.POST_FIELDS)
+
+
 def priority(pool: DataFrame) -> DataFrame:
     """A pool whose posts all bear the priority platform, whatever they say."""
     return pool.withColumn("platform", F.lit(refdata.PRIORITY_PLATFORM))

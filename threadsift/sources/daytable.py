@@ -54,6 +54,10 @@ class DayTable:
             )
         return self.spark.read.schema(self.schema).parquet(*folders)
 
+    def since(self, day: str) -> DataFrame:
+        """The content of ``day`` and all later days; others are not opened."""
+        return self.read([d for d in self.days() if d >= day])
+
     def days_of(self, rows: DataFrame) -> list[str]:
         """Days the rows lie in: one short string per day."""
         found = rows.select(F.date_format(self.at, "yyyy-MM-dd").alias("d")).distinct()
