@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import refdata
 from ..functions import text, times
+from ..functions.sqltext import listed
 from ..operators import clean, dedup
 
 AS_OF = "2024-01-31 00:00:00"
@@ -44,76 +45,65 @@ def _str(*parts) -> Column:
     return F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
-def _days_before(ts: Column, days: Column) -> Column:
-    return ts - F.make_dt_interval(days.cast("int"))
+def _picked(values: list[str], index: str) -> str:
+    return f"element_at(array({listed(values)}), cast({index} AS int) + 1)"
+
+
+_TOPICS = ["OCR", "IDP", "NLP", "ADE", "RPA"]
+_EARLIER = "ts - make_dt_interval(cast(event_id % 30 AS int))"
+_ISO = "yyyy-MM-dd\\'T\\'HH:mm:ss"
+_STATUS = _picked(refdata.STATUSES, "event_id % 5")
 
 
 def posts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw candidates: one per event, every fifth a copy of an earlier URL."""
-    n, user, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
-    pk = F.when((n % 5 == 0) & (n >= 5), n - 3).otherwise(n)
-    even = _str("item?id=", pk, pick(["", "&ref=x", "#top", "&utm_source=feed"], n % 4))
-    odd = _str("p/", pk, pick(["", "/", "#top", "?utm_source=feed"], n % 4))
-    url = F.when(n % 53 == 0, "javascript:alert(1)").otherwise(
-        F.concat(_str("https://site", pk % 7, ".example/"), F.when(pk % 2 == 0, even).otherwise(odd))
-    )
-    iso = "yyyy-MM-dd'T'HH:mm:ss"
-    earlier = F.date_format(_days_before(ts, n % 30), iso)
-    posted = (
-        F.when(n % 6 == 0, "3 days ago")
-        .when(n % 6 == 2, F.concat(earlier, F.lit("Z")))
-        .when(n % 6 == 3, earlier)
-        .when(n % 6 == 4, "2024-01")
-        .when(n % 6 == 5, F.concat(F.date_format(ts, iso), F.lit("+02:00")))
-    )
-    none = F.lit(None).cast("string")
-    return spread(events(spark, sf_dir)).select(
-        n.alias("seq"),
-        pick(PLATFORM_SPELLINGS, (n * 3 + user) % 10).alias("platform"),
-        url.alias("post_url"),
-        F.when(n % 41 == 0, "  ").when(n % 17 == 0, "Привет OCR").otherwise(_str("Post ", n)).alias("post_title"),
-        F.when(n % 9 == 0, none).otherwise(_str("  u", user, " ")).alias("author_handle"),
-        posted.alias("posted_at"),
-        F.when(n % 43 == 0, none).otherwise(_str("summary ", n)).alias("summary"),
-        F.when(n % 9 == 0, none).otherwise(_str(" idea ", user, " ")).alias("opportunity"),
-        F.when(n % 3 == 0, F.array(F.lit("bogus")))
-        .otherwise(
-            F.array(F.lit("OCR"), F.lit("bogus"), pick(["OCR", "IDP", "NLP", "ADE", "RPA"], user % 5))
-        )
-        .alias("categories"),
-        F.when(n % 4 == 0, F.array(F.lit(" reducto"), F.lit("UIPATH"), F.lit("Reducto")))
-        .when(n % 4 == 1, F.array(F.lit("nobody")))
-        .otherwise(F.array().cast("array<string>"))
-        .alias("competitors"),
-    )
+    even = _picked(["", "&ref=x", "#top", "&utm_source=feed"], "event_id % 4")
+    odd = _picked(["", "/", "#top", "?utm_source=feed"], "event_id % 4")
+    return spread(events(spark, sf_dir)).selectExpr(
+        "event_id AS seq",
+        f"{_picked(PLATFORM_SPELLINGS, '(event_id * 3 + user_id) % 10')} AS platform",
+        "if(event_id % 5 = 0 AND event_id >= 5, event_id - 3, event_id) AS pk",
+        f"""CASE WHEN event_id % 53 = 0 THEN 'javascript:alert(1)'
+            WHEN pk % 2 = 0 THEN concat('https://site', pk % 7, '.example/item?id=', pk, {even})
+            ELSE concat('https://site', pk % 7, '.example/p/', pk, {odd}) END AS post_url""",
+        """CASE WHEN event_id % 41 = 0 THEN '  ' WHEN event_id % 17 = 0 THEN 'Привет OCR'
+            ELSE concat('Post ', event_id) END AS post_title""",
+        "if(event_id % 9 = 0, NULL, concat('  u', user_id, ' ')) AS author_handle",
+        f"""CASE event_id % 6 WHEN 0 THEN '3 days ago'
+            WHEN 2 THEN concat(date_format({_EARLIER}, '{_ISO}'), 'Z')
+            WHEN 3 THEN date_format({_EARLIER}, '{_ISO}')
+            WHEN 4 THEN '2024-01'
+            WHEN 5 THEN concat(date_format(ts, '{_ISO}'), '+02:00') END AS posted_at""",
+        "if(event_id % 43 = 0, NULL, concat('summary ', event_id)) AS summary",
+        "if(event_id % 9 = 0, NULL, concat(' idea ', user_id, ' ')) AS opportunity",
+        f"""if(event_id % 3 = 0, array('bogus'),
+            array('OCR', 'bogus', {_picked(_TOPICS, 'user_id % 5')})) AS categories""",
+        """CASE event_id % 4 WHEN 0 THEN array(' reducto', 'UIPATH', 'Reducto')
+            WHEN 1 THEN array('nobody') ELSE cast(array() AS array<string>) END AS competitors""",
+    ).drop("pk")
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored posts in all statuses: one per event."""
-    n, user, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
-    status = pick(refdata.STATUSES, n % 5)
-    none = F.lit(None)
-    return events(spark, sf_dir).select(
-        n.cast("string").alias("id"),
-        pick(refdata.PLATFORMS, user % 8).alias("platform"),
-        _str("https://site", n % 7, ".example/s/", n).alias("post_url"),
-        _str("Post ", n).alias("post_title"),
-        _str("u", user).alias("author_handle"),
-        F.when(n % 7 != 0, _days_before(ts, n % 30)).alias("posted_at"),
-        _str("summary ", n).alias("summary"),
-        F.when(n % 9 != 0, _str("idea ", user)).alias("opportunity"),
-        F.when(n % 3 == 0, F.array().cast("array<string>"))
-        .otherwise(F.array(F.lit("OCR"), pick(["OCR", "IDP", "NLP", "ADE", "RPA"], user % 5)))
-        .alias("categories"),
-        F.when(n % 4 == 0, F.array(F.lit("Reducto"), F.lit("UiPath")))
-        .otherwise(F.array().cast("array<string>"))
-        .alias("competitors"),
-        status.alias("status"),
-        ts.alias("discovered_at"),
-        F.when((status != "new") & (n % 11 != 0), ts + F.make_dt_interval(hours=(n % 72).cast("int")))
-        .alias("status_changed_at"),
-        none.cast("string").alias("actioned_by"),
-        none.cast("timestamp").alias("actioned_at"),
+    return events(spark, sf_dir).selectExpr(
+        "cast(event_id AS string) AS id",
+        f"{_picked(refdata.PLATFORMS, 'user_id % 8')} AS platform",
+        "concat('https://site', event_id % 7, '.example/s/', event_id) AS post_url",
+        "concat('Post ', event_id) AS post_title",
+        "concat('u', user_id) AS author_handle",
+        f"if(event_id % 7 = 0, NULL, {_EARLIER}) AS posted_at",
+        "concat('summary ', event_id) AS summary",
+        "if(event_id % 9 = 0, NULL, concat('idea ', user_id)) AS opportunity",
+        f"""if(event_id % 3 = 0, cast(array() AS array<string>),
+            array('OCR', {_picked(_TOPICS, 'user_id % 5')})) AS categories""",
+        """if(event_id % 4 = 0, array('Reducto', 'UiPath'),
+            cast(array() AS array<string>)) AS competitors""",
+        f"{_STATUS} AS status",
+        "ts AS discovered_at",
+        """if(event_id % 5 = 0 OR event_id % 11 = 0, NULL,
+            ts + make_dt_interval(0, cast(event_id % 72 AS int))) AS status_changed_at""",
+        "cast(NULL AS string) AS actioned_by",
+        "cast(NULL AS timestamp) AS actioned_at",
     )
 
 
