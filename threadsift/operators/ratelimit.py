@@ -10,7 +10,9 @@ A key with more events than ``hot_rows`` is thinned first, in parallel and
 without changing the result: time is cut into slots, events are counted per
 (key, slot) with map-side combine, and bounds on the number of accepted events
 up to each slot show which slots cannot hold one. Only events of the other
-slots are walked. Finer slots follow while a key is still too large.
+slots are walked. Finer slots follow while a key is still too large. What is
+left of a key then (at least its accepted events) is walked by one task as a
+stream of batches, so its memory does not grow with the key.
 """
 
 from __future__ import annotations

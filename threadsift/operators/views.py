@@ -25,6 +25,11 @@ def ago(as_of, amount: int, unit: str) -> Column:
     return times.as_timestamp(as_of) - F.expr(f"INTERVAL {int(amount)} {unit}")
 
 
+def row_count(posts: DataFrame) -> DataFrame:
+    """Exact number of rows; the scan reads no column."""
+    return posts.agg(F.count(F.lit(1)).alias("n"))
+
+
 def posts_window(posts: DataFrame, as_of, hours: int) -> DataFrame:
     """Posts discovered in the last hours, newest first, without unused columns."""
     return (

@@ -214,6 +214,11 @@ def refused_actions(spark, sf):
 # Views and reports ---------------------------------------------------------------
 
 
+@query
+def row_count(spark, sf):
+    return views.row_count(fx.posts(spark, sf))
+
+
 @query
 def active_queue(spark, sf):
     return plain(views.active_queue(fx.posts(spark, sf)).select("id", "platform", "post_url", "discovered_at"))

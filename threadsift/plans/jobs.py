@@ -97,7 +97,7 @@ def discover(posts: DayTable, raw: DataFrame, as_of) -> dict[str, int]:
 
     changed = Observation()
     days = set(posts.days_of(touched))
-    fresh_days = set(posts.days_of(new))
+    fresh_days = set(posts.days_of(new.limit(1)))  # all new rows are of one day
     counts = {**seen.get, "distinct": good.get["n"], "inserted": 0, "merged": 0}
     if not (days or fresh_days):
         return counts
@@ -149,8 +149,10 @@ def digest(
 ) -> int:
     """Groups the oldest unalerted errors, hands the groups to ``deliver`` and
     marks those it returns. Errors of other groups wait for the next run."""
-    batch = errors.unalerted(table.read())
-    delivered = deliver(errors.in_digest_order(errors.digest(batch))).select("fingerprint")
+    batch = written(errors.unalerted(table.read()), "digest")
+    groups = errors.in_digest_order(errors.digest(batch))
+    # Written at once, so that delivering happens once.
+    delivered = written(deliver(groups).select("fingerprint"), "delivered")
     told = batch.join(delivered, "fingerprint", "left_semi")
     return _rewrite(
         table, lambda df: errors.mark_alerted(df, batch, delivered, as_of), told

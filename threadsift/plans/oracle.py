@@ -552,6 +552,7 @@ SELECT p.id, coalesce(l.status, p.status) AS status, coalesce(l.moment, p.status
         "refused_actions": """SELECT event_id AS seq, CASE WHEN event_id % 13 = 0 THEN 'no-' || event_id
   ELSE CAST(event_id - event_id % 3 AS VARCHAR) END AS id, 'gone' AS status
 FROM events WHERE (event_id + user_id) % 6 = 5""",
+        "row_count": "SELECT count(*) AS n FROM events",
         "active_queue": f"""WITH {POSTS} SELECT id, platform, post_url, discovered_at FROM posts
 WHERE status = 'new' ORDER BY discovered_at DESC, id LIMIT 500""",
         "archive_view": f"""WITH {POSTS} SELECT id, status, status_changed_at FROM posts
