@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadsift import schemas, session
-from threadsift.operators import clean, dedup, records
+from threadsift.operators import clean, dedup, records, reports, views
 from threadsift.plans import fixtures as fx, jobs
 from threadsift.sources import landed
 from threadsift.streaming import ingest, intake
@@ -60,6 +60,36 @@ def test_day_table_reads_the_latest_version_of_each_day(spark, table):
     assert [r["id"] for r in table.read(["2024-01-01", "2024-02-01"]).collect()] == ["0"]
 
 
+def _scan(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.split("\n") if "FileScan" in line]
+
+
+def test_views_filter_and_prune_in_the_scan(spark, table):
+    table.write(posts(spark, {"discovered_at": "2024-01-01 10:00:00"}, {}))
+    stored = table.read()
+    (queue,) = _scan(views.active_queue(stored).select("id", "discovered_at"))
+    assert "EqualTo(status,new)" in queue
+    assert "ReadSchema: struct<id:string,status:string,discovered_at:timestamp>" in queue
+    window = views.report_window(stored, cutoff="2024-01-02", cap=None)
+    (topics,) = _scan(reports.top_topics(window))
+    assert "GreaterThanOrEqual(discovered_at,2024-01-02" in topics
+    assert "ReadSchema: struct<categories:array<string>,discovered_at:timestamp>" in topics
+    (cards,) = _scan(reports.stat_cards(window))
+    assert "ReadSchema: struct<competitors:array<string>,status:string,discovered_at:timestamp>" in cards
+    (count,) = _scan(views.row_count(stored))
+    assert "ReadSchema: struct<>" in count
+    assert all("day=2024-01-30" in f for f in table.since("2024-01-02").inputFiles())
+
+
+def test_small_batch_does_not_shuffle_the_store(spark, table, tmp_path):
+    table.write(posts(spark, {}, {}))
+    batch = session.written(candidates(spark, {}), "small")
+    known = dedup.stored_urls(batch, table.read())
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_unfinished_version_is_not_read(spark, table):
     rows = posts(spark, {})
     table.write(rows)

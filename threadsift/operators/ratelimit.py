@@ -38,7 +38,7 @@ def _by_bucket(df: DataFrame, *order: str) -> GroupedData:
     as a stream of batches, never whole.
     """
     spark = df.sparkSession
-    buckets = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     return (
         df.withColumn("_b", F.pmod(F.xxhash64("_k"), F.lit(buckets)))
         .repartition("_b")

@@ -33,6 +33,9 @@ DRILL_KEYS = [
     "platform:x", "platform:ade", "status:new", "category:OCR", "category:ADE",
 ]
 
+# Days, and flags that may be NULL, are compared as text.
+TEXTED = ["day", "resolved"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -50,6 +53,8 @@ def plain(df: DataFrame) -> DataFrame:
         c = F.col(field.name)
         if isinstance(field.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
+        elif isinstance(field.dataType, (T.DateType, T.BooleanType)) and field.name in TEXTED:
+            c = c.cast("string")
         elif isinstance(field.dataType, T.ArrayType):
             c = F.array_join(c, "|")
         elif isinstance(field.dataType, T.IntegerType):
@@ -271,14 +276,13 @@ def stat_cards(spark, sf):
 
 @query
 def action_timeline(spark, sf):
-    return reports.action_timeline(
-        views.report_window(fx.posts(spark, sf), cutoff=MONTH_AGO, cap=None)
-    )
+    window = views.report_window(fx.posts(spark, sf), cutoff=MONTH_AGO, cap=None)
+    return plain(reports.action_timeline(window))
 
 
 @query
 def posts_per_day(spark, sf):
-    return reports.posts_per_day(fx.posts(spark, sf))
+    return plain(reports.posts_per_day(fx.posts(spark, sf)))
 
 
 @query
@@ -404,7 +408,9 @@ def resolve_errors(spark, sf):
 def run_errors(spark, sf):
     folded, table = _run_tables(spark, sf)
     linked = runs.error_of_run(folded, table)
-    return linked.select("id", "error_id", F.left("message", F.lit(20)).alias("message"), "resolved")
+    return plain(
+        linked.select("id", "error_id", F.left("message", F.lit(20)).alias("message"), "resolved")
+    )
 
 
 @query
@@ -413,7 +419,7 @@ def zero_volume_days(spark, sf):
     quiet = fx.posts(spark, sf).filter(
         (F.col("author_handle") == "u1") & (F.col("status") == "completed")
     )
-    return health.zero_volume_days(reports.posts_per_day(quiet), AS_OF)
+    return plain(health.zero_volume_days(reports.posts_per_day(quiet), AS_OF))
 
 
 @query

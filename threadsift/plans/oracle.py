@@ -365,7 +365,7 @@ findings AS (
 
 
 def _phrases(words: list[str]) -> str:
-    rows = ", ".join(f"({i}, {_q(w)})" for i, w in enumerate(words))
+    rows = ", ".join(f"(CAST({i} AS BIGINT), {_q(w)})" for i, w in enumerate(words))
     return f"(VALUES {rows}) AS kw(query, keyword)"
 
 
@@ -573,10 +573,10 @@ WHERE discovered_at >= {AS_OF} - INTERVAL 168 HOURS""",
         "stat_cards": f"""WITH {WINDOW} SELECT count(*) AS total,
   {', '.join(f"count(*) FILTER (status = '{s}') AS {s}" for s in ('completed', 'replied', 'archived', 'deleted'))},
   count(*) FILTER (len(competitors) > 0) AS competitors FROM win""",
-        "action_timeline": f"""WITH {WINDOW} SELECT CAST(status_changed_at AS DATE) AS day,
+        "action_timeline": f"""WITH {WINDOW} SELECT CAST(CAST(status_changed_at AS DATE) AS VARCHAR) AS day,
   {', '.join(f"count(*) FILTER (status = '{s}') AS {s}" for s in ('replied', 'deleted', 'archived', 'completed'))}
 FROM win WHERE status <> 'new' AND status_changed_at IS NOT NULL GROUP BY ALL""",
-        "posts_per_day": f"""WITH {POSTS} SELECT CAST(discovered_at AS DATE) AS day, count(*) AS n
+        "posts_per_day": f"""WITH {POSTS} SELECT CAST(CAST(discovered_at AS DATE) AS VARCHAR) AS day, count(*) AS n
 FROM posts GROUP BY ALL""",
         "drill_in": f"WITH {POSTS} "
         + "\nUNION ALL\n".join(
@@ -622,16 +622,16 @@ SELECT run_id, position, name, started_at, ended_at, status, CAST(cnt AS VARCHAR
 WHERE started_at > {AS_OF} - INTERVAL 20 DAYS AND product = 'P2' AND status = 'failed'
 ORDER BY started_at DESC, id LIMIT 500""",
         "errors_list": f"""WITH {ERROR_LOG} SELECT id, occurred_at, product, script, mode, message,
-  traceback, resolved, resolved_at, run_id FROM resolved
+  traceback, CAST(resolved AS VARCHAR) AS resolved, resolved_at, run_id FROM resolved
 WHERE occurred_at > {AS_OF} - INTERVAL 30 DAYS AND NOT resolved
 ORDER BY occurred_at DESC, id LIMIT 100""",
         "resolve_errors": f"""WITH {ERROR_LOG}
-SELECT id, message, resolved, resolved_at, resolved_by FROM resolved""",
+SELECT id, message, CAST(resolved AS VARCHAR) AS resolved, resolved_at, resolved_by FROM resolved""",
         "run_errors": f"""WITH {RUNS} SELECT r.id, r.error_id, left(e.message, 20) AS message,
-  CASE WHEN e.id IS NOT NULL THEN false END AS resolved
+  CASE WHEN e.id IS NOT NULL THEN 'false' END AS resolved
 FROM runs r LEFT JOIN error_log e ON e.id = r.error_id""",
         "zero_volume_days": f"""WITH {POSTS}
-SELECT CAST(d AS DATE) AS day
+SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS day
 FROM generate_series(DATE '2024-01-24', DATE '2024-01-30', INTERVAL 1 DAY) AS g(d)
 WHERE isodow(d) <> 7 AND CAST(d AS DATE) NOT IN (SELECT CAST(discovered_at AS DATE) FROM posts
   WHERE author_handle = 'u1' AND status = 'completed')""",
@@ -719,7 +719,7 @@ FROM second WHERE post_url NOT IN (SELECT post_url FROM first)""",
         "stream_rate_limit": f"""WITH RECURSIVE {_greedy('w', 'events', 'event_type', 'ts', 'event_id', 2, 3600)}
 SELECT id AS event_id, k AS event_type FROM w WHERE ok""",
         "stream_digest": f"""WITH {CLIENT}
-SELECT CASE WHEN occurred_at < {CUTOFF} THEN 0 ELSE 1 END AS batch, fingerprint,
+SELECT CAST(occurred_at >= {CUTOFF} AS BIGINT) AS batch, fingerprint,
   count(*) AS occurrences, min(occurred_at) AS first_seen,
   arg_min(id, {{'t': occurred_at, 'i': id}}) AS first_id
 FROM client WHERE alerted_at IS NULL GROUP BY ALL""",
