@@ -17,9 +17,11 @@ stream of batches, so its memory does not grow with the key.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, GroupedData, Window, functions as F
 
@@ -47,20 +49,43 @@ def _by_bucket(df: DataFrame, *order: str) -> GroupedData:
     )
 
 
+def _accept(held: list[int], times: np.ndarray, cap: int, window_us: int):
+    """Which of the sorted ``times`` of one key are accepted after ``held``, its
+    last accepted times; and the last accepted times afterwards."""
+    joined = np.concatenate([np.asarray(held, dtype=times.dtype), times])
+    if len(joined) <= cap or (joined[cap:] - joined[:-cap] >= window_us).all():
+        return True, joined[-cap:].tolist()
+    recent, given = deque(held, maxlen=cap), times.tolist()
+    keep = np.zeros(len(given), dtype=bool)
+    i = 0
+    while i < len(given):
+        if len(recent) < cap or recent[0] <= given[i] - window_us:
+            recent.append(given[i])
+            keep[i] = True
+            i += 1
+        else:  # nothing is accepted until the oldest of them leaves the window
+            i = bisect_left(given, recent[0] + window_us, i + 1)
+    return keep, list(recent)
+
+
 def _walk(cap: int, window_us: int):
     """Decides rows that come sorted by (key, time, id), batch by batch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, recent = None, deque(maxlen=cap)
+        key, held = None, []
         for batch in batches:
-            keep = []
-            for k, t in zip(batch["_k"].to_numpy(), batch["_t"].to_numpy().tolist()):
-                if k != key:
-                    key, recent = k, deque(maxlen=cap)
-                ok = len(recent) < cap or recent[0] <= t - window_us
-                if ok:
-                    recent.append(t)
-                keep.append(ok)
+            keys, times = batch["_k"].to_numpy(), batch["_t"].to_numpy()
+            if not len(keys):
+                continue
+            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])).tolist()
+            keep = np.ones(len(keys), dtype=bool)
+            for a, b in zip(starts, [*starts[1:], len(keys)]):
+                if keys[a] != key:
+                    key, held = keys[a], []
+                if len(held) + b - a <= cap:
+                    held = held + times[a:b].tolist()
+                else:
+                    keep[a:b], held = _accept(held, times[a:b], cap, window_us)
             yield batch.loc[keep, ["_k", "_t", "_id"]]
 
     return run
