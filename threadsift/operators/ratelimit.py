@@ -23,6 +23,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, GroupedData, Window, functions as F
 
 from ..session import written
@@ -71,22 +73,24 @@ def _accept(held: list[int], times: np.ndarray, cap: int, window_us: int):
 def _walk(cap: int, window_us: int):
     """Decides rows that come sorted by (key, time, id), batch by batch."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
         for batch in batches:
-            keys, times = batch["_k"].to_numpy(), batch["_t"].to_numpy()
+            keys, times = batch.column("_k"), batch.column("_t").to_numpy()
             if not len(keys):
                 continue
-            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])).tolist()
+            changes = pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(np.concatenate([[True], changes])).tolist()
             keep = np.ones(len(keys), dtype=bool)
             for a, b in zip(starts, [*starts[1:], len(keys)]):
-                if keys[a] != key:
-                    key, held = keys[a], []
+                if a or keys[0].as_py() != key:
+                    held = []
                 if len(held) + b - a <= cap:
                     held = held + times[a:b].tolist()
                 else:
                     keep[a:b], held = _accept(held, times[a:b], cap, window_us)
-            yield batch.loc[keep, ["_k", "_t", "_id"]]
+            key = keys[-1].as_py()
+            yield batch.select(["_k", "_t", "_id"]).filter(pa.array(keep))
 
     return run
 
@@ -188,7 +192,7 @@ def accepted_keys(
     window_us = int(window_seconds * 1_000_000)
     if hot_rows is not None:
         events = thin_hot_keys(events, cap, window_us, hot_rows, first_slots)
-    return _by_bucket(events, "_t", "_id").applyInPandas(
+    return _by_bucket(events, "_t", "_id").applyInArrow(
         _walk(cap, window_us), "_k string, _t long, _id long"
     )
 
