@@ -5,8 +5,9 @@ import pytest
 import __spark_entry__ as entry
 from tests.compare import connect, difference, duck_result, spark_result
 from tests.conftest import SMALL
+from threadsift.plans import catalog, oracle
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
