@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: ASCII white space, the separator of words in every operator that counts words.
@@ -37,3 +39,17 @@ def range_bucket(key: str, bounds: list[int]) -> Column:
 
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def slices(batch, columns: list[int], limit: int):
+    """A batch in slices of about ``limit`` bytes of text in the given columns, of one
+    row at least."""
+    sizes = sum(np.asarray(pc.fill_null(pc.binary_length(batch.column(c)), 0), np.int64) for c in columns)
+    start, held = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if held and held + size > limit:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += size
+    if start < batch.num_rows:
+        yield batch.slice(start)

@@ -4,26 +4,60 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_files, tokens
+from . import classifier, fingerprints, neardup, packing, pii, quality_rules, secrets, token_files, tokens, warc
 from .common import table
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents")
+
+
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokens.vocabulary())
+    return packing.pack(_documents(spark, sf_dir), tokens.vocabulary())
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_documents(spark, sf_dir))
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.encode_decode(table(spark, sf_dir, "documents"), tokens.vocabulary())
+    return tokens.encode_decode(_documents(spark, sf_dir), tokens.vocabulary())
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_edits(_documents(spark, sf_dir))
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_documents(spark, sf_dir))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.write_read(table(spark, sf_dir, "pages"))
+
+
+def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(_documents(spark, sf_dir))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_files.write_read(table(spark, sf_dir, "documents"), tokens.vocabulary())
+    return token_files.write_read(_documents(spark, sf_dir), tokens.vocabulary())
+
+
+def op10_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.score(_documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 QUERIES = {
-    "op1_packing": op1_packing,
-    "op3_bpe": op3_bpe,
-    "op9_token_files": op9_token_files,
+    q.__name__: q
+    for q in (
+        op1_packing, op2_pii, op3_bpe, op4_fingerprints, op5_secrets, op6_warc, op7_neardup,
+        op8_quality_rules, op9_token_files, op10_classifier,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {}
