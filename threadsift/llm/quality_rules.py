@@ -19,6 +19,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.stage import once
 from ..session import written
 from .spans import quoted
 
@@ -76,7 +77,7 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     bare = "__t"
     for sign in _SYMBOLS:
         bare = f"replace({bare}, '{sign}', '')"
-    out = out.withColumns({
+    out = once(out, {
         "n_words": F.expr("cast(size(__w) AS long)"),
         "word_chars": F.expr("cast(char_length(array_join(__w, '')) AS long)"),
         "n_symbols": F.expr(f"cast(char_length(__t) - char_length({bare}) AS long)"),
