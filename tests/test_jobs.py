@@ -74,7 +74,7 @@ def test_views_filter_and_prune_in_the_scan(spark, table):
     window = views.report_window(stored, cutoff="2024-01-02", cap=None)
     (topics,) = _scan(reports.top_topics(window))
     assert "GreaterThanOrEqual(discovered_at,2024-01-02" in topics
-    assert "ReadSchema: struct<categories:array<string>,discovered_at:timestamp>" in topics
+    assert "ReadSchema: struct<id:string,categories:array<string>,discovered_at:timestamp>" in topics
     (cards,) = _scan(reports.stat_cards(window))
     assert "ReadSchema: struct<competitors:array<string>,status:string,discovered_at:timestamp>" in cards
     (count,) = _scan(views.row_count(stored))
@@ -259,22 +259,30 @@ def test_stream_ingest_equals_batch_steps(spark, table, tmp_path):
     assert table.versions() == [1]
 
 
-def test_limited_stream_repeats_a_batch_without_harm(spark, tmp_path):
-    """A micro-batch that is run again with the same number gives the same rows."""
-    rows = fx.events(spark, "/root/testdata/sf0.001").select("event_id", "ts", "event_type")
-    landing = str(tmp_path / "in")
-    rows.repartition(3).write.parquet(landing)
-    out, check = str(tmp_path / "out"), str(tmp_path / "check")
-    stream = landed.report_stream(spark, landing, rows.schema)
-    intake.limited_stream(
-        stream, out, check, keys=["event_type"], at="ts", order="event_id", cap=2,
-        window_seconds=3600,
-    ).awaitTermination()
-    first = spark.read.parquet(out).count()
-    state = intake.AcceptedTail(spark, f"{check}/accepted")
-    tail = state.before(1)
-    assert tail.groupBy("_k").count().filter("count > 2").isEmpty() and tail.count() > 0
-    assert first == spark.read.parquet(out).select("event_id").distinct().count()
+def test_limited_stream_goes_on_where_it_ended(spark, tmp_path):
+    landing, out, check = (str(tmp_path / n) for n in ("landing", "out", "check"))
+    kind = "k string, t timestamp, n long"
+    for lo in (0, 40, 80):
+        rows = spark.range(lo, lo + 40).selectExpr(
+            "if(id % 2 = 0, 'a', NULL) AS k", "timestamp_seconds(id * 10) AS t", "id AS n"
+        )
+        rows.write.mode("append").parquet(landing)
+        for _ in range(2):  # the second run finds nothing new
+            stream = landed.report_stream(spark, landing, kind)
+            intake.limited_stream(
+                stream, out, check, keys=["k"], at="t", order="n", cap=2, window_seconds=100, keep_seconds=3600
+            ).awaitTermination()
+    got = sorted(r["n"] for r in spark.read.parquet(out).collect())
+    expected = [n for base in (0, 1) for n in _limited([*range(base, 120, 2)])]
+    assert got == sorted(expected)
+
+
+def _limited(seconds, cap=2, window=10):
+    kept = []
+    for n in seconds:
+        if len(kept) < cap or kept[-cap] <= n - window:
+            kept.append(n)
+    return kept
 
 
 def test_schemas_parse():

@@ -3,6 +3,7 @@
 import random
 from collections import deque
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,17 +51,16 @@ CASES = [
 
 
 @pytest.mark.parametrize("cap, window, n, span, step", CASES)
-@pytest.mark.parametrize("hot_rows, slots", [(None, 1), (150, 16), (150, 4096)])
-def test_equals_loop(spark, cap, window, n, span, step, hot_rows, slots):
+@pytest.mark.parametrize("slots", [1, 16, 4096])
+def test_equals_loop(spark, cap, window, n, span, step, slots):
     rows = some_rows(n, span, step, seed=cap * 31 + window)
-    got = ids(R.accepted_keys(frame(spark, rows), cap, window, hot_rows, slots))
+    got = ids(R.accepted_keys(frame(spark, rows), cap, window, slots))
     assert got == loop(rows, cap, window * SECOND)
 
 
 def test_thinning_keeps_all_accepted_and_drops_most_others(spark):
     rows = [("hot", i * 1000, i) for i in range(60_000)]  # a row per ms for a minute
-    thin = R.thin_hot_keys(frame(spark, rows), 5, 10 * SECOND, hot_rows=500, first_slots=1024)
-    left = ids(thin)
+    left = ids(R.thin(frame(spark, rows), 5, 10 * SECOND, slots=1024))
     assert loop(rows, 5, 10 * SECOND) <= left
     assert len(left) < 500
 
@@ -102,24 +102,42 @@ def test_keys_keep_null_and_empty_apart(spark):
     assert sorted(r["n"] for r in kept.collect()) == [1, 2, 4, 5]
 
 
-@pytest.mark.parametrize("hot_rows", [None, 100])
-def test_batches_with_state_equal_one_batch(spark, hot_rows):
-    rows = sorted(some_rows(3000, 6000, 1, seed=4), key=lambda r: r[1])
-    cuts = [0, 700, 701, 2000, 3000]
-    tail = spark.createDataFrame([], intake.STATE)
-    got = set()
-    for lo, hi in zip(cuts, cuts[1:]):
-        accepted = intake.decide(frame(spark, rows[lo:hi]), tail, 3, 200, hot_rows=hot_rows)
-        accepted = spark.createDataFrame(accepted.toPandas(), accepted.schema)
-        got |= {i for i in ids(accepted) if i >= 0}
-        tail = intake.latest(accepted, 3, 200, keep_seconds=1000)
-        assert tail.groupBy("_k").count().filter("count > 3").isEmpty()
-        tail = spark.createDataFrame(tail.toPandas(), tail.schema)
+class State:
+    """Stands for Spark's state of one key."""
+
+    hasTimedOut = False
+
+    def __init__(self):
+        self.value = None
+
+    @property
+    def exists(self):
+        return self.value is not None
+
+    @property
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+def arrive(run, state, rows):
+    batch = pd.DataFrame(rows, columns=["_k", "_t", "_id"])
+    return {int(i) for out in run(("k",), iter([batch]), state) for i in out["_id"]}
+
+
+def test_batches_with_state_equal_one_batch():
+    rows = sorted(some_rows(3000, 6000, 1, seed=4, hot_share=1), key=lambda r: r[1])
+    run, state, got = intake.limiter(3, 200 * SECOND, ["_id"]), State(), set()
+    for lo, hi in ((0, 700), (700, 701), (701, 2000), (2000, 3000)):
+        got |= arrive(run, state, rows[lo:hi])
+        assert len(state.value[0]) <= 3
     assert got == loop(rows, 3, 200 * SECOND)
 
 
-def test_late_rows_are_judged_on_arrival(spark):
-    tail = frame(spark, [("a", 100 * SECOND, 0)]).select("_k", "_t")
-    late = frame(spark, [("a", 50 * SECOND, 7), ("b", 50 * SECOND, 8)])
-    got = {i for i in ids(intake.decide(late, tail, 1, 60)) if i >= 0}
-    assert got == {8}
+def test_late_rows_are_judged_on_arrival():
+    run, state = intake.limiter(1, 60 * SECOND, ["_id"]), State()
+    assert arrive(run, state, [("a", 100 * SECOND, 0)]) == {0}
+    assert arrive(run, state, [("a", 50 * SECOND, 7)]) == set()
+    assert arrive(run, state, [("a", 160 * SECOND, 8), ("a", 70 * SECOND, 9)]) == {8}

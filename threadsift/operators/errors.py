@@ -62,8 +62,8 @@ def admit(
     )
 
 
-def unalerted(errors: DataFrame, cap: int | None = refdata.DIGEST_CAP) -> DataFrame:
-    """The oldest reports nobody was told about."""
+def unalerted(errors: DataFrame, cap: int | None = None) -> DataFrame:
+    """The reports nobody was told about; with ``cap`` the oldest of them."""
     waiting = errors.filter(F.col("alerted_at").isNull()).select(*DIGEST_COLUMNS)
     return waiting if cap is None else waiting.orderBy("occurred_at", "id").limit(cap)
 
@@ -86,8 +86,10 @@ def digest(batch: DataFrame) -> DataFrame:
     )
 
 
-def in_digest_order(groups: DataFrame) -> DataFrame:
-    return groups.orderBy("first_seen", "first_id")
+def in_digest_order(groups: DataFrame, shown: int | None = None) -> DataFrame:
+    """All groups, or with ``shown`` the first ones, in order of first occurrence."""
+    ordered = groups.orderBy("first_seen", "first_id")
+    return ordered if shown is None else ordered.limit(shown)
 
 
 def mark_alerted(

@@ -56,11 +56,12 @@ def newest_per_query(matched: DataFrame, k: int, key: str) -> DataFrame:
 def pick_items(items: DataFrame, top: DataFrame, key: str) -> DataFrame:
     """The items behind the top keys, with the first (query, rank) of each key.
 
-    ``top`` has at most k rows per query, so it is small enough to broadcast, and
-    texts and other payload never take part in sorting or ranking.
+    Texts and other payload never take part in sorting or ranking. ``top`` has at
+    most k rows per query; Spark sees its size when it is made and decides whether
+    to broadcast it.
     """
     first = top.groupBy(key, "_at").agg(F.min(F.struct("query", "rank")).alias("_q"))
-    return items.join(F.broadcast(first), [key, "_at"]).withColumns(
+    return items.join(first, [key, "_at"]).withColumns(
         {"query": F.col("_q.query"), "rank": F.col("_q.rank")}
     )
 

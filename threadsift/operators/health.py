@@ -39,8 +39,10 @@ def silent_platforms(
     )
 
 
-def capped_count(df: DataFrame, cap: int = refdata.COUNT_CAP) -> DataFrame:
-    return df.agg(F.least(F.count("*"), F.lit(cap)).alias("n"))
+def row_count(df: DataFrame, cap: int | None = None) -> DataFrame:
+    """Number of rows; with ``cap`` at most that."""
+    n = F.count("*")
+    return df.agg((n if cap is None else F.least(n, F.lit(cap))).alias("n"))
 
 
 def scan_log(
@@ -91,7 +93,7 @@ def health_findings(
     )
     per_day = reports.posts_per_day(week)
     mentions = F.count_if(tags.has_competitor(F.col("competitors")))
-    count = F.least(F.count("*"), F.lit(refdata.COUNT_CAP))
+    count = F.count("*")
     found = [
         _finding(zero_volume_days(per_day, as_of), "zero_volume_days", _listed(F.col("day").cast("string"))),
         _finding(

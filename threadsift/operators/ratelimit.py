@@ -6,13 +6,13 @@ decisions of its key, so no window function gives this answer. The decisions
 are taken by a walk over (key, time, id) only, in order, holding ``cap`` times
 per key; payload columns never enter Python.
 
-A key with more events than ``hot_rows`` is thinned first, in parallel and
-without changing the result: time is cut into slots, events are counted per
-(key, slot) with map-side combine, and bounds on the number of accepted events
-up to each slot show which slots cannot hold one. Only events of the other
-slots are walked. Finer slots follow while a key is still too large. What is
-left of a key then (at least its accepted events) is walked by one task as a
-stream of batches, so its memory does not grow with the key.
+Events are thinned first, in parallel and without changing the result: time is
+cut into slots, events are counted per (key, slot) with map-side combine, and
+bounds on the number of accepted events up to each slot show which slots cannot
+hold one. Only events of the other slots are walked. So what a task walks of a key grows with time and not
+with the number of its events, and it is walked as a stream of batches, so that
+memory does not grow with the key. All keys and sizes take this one path, and no
+job runs while the plan is made.
 """
 
 from __future__ import annotations
@@ -25,12 +25,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, GroupedData, Window, functions as F
+from pyspark.sql import DataFrame, GroupedData, functions as F
 
 from ..session import written
 
-FIRST_SLOTS = 4096
-FINER = 16
+#: Slots that a window is cut into.
+SLOTS = 4096
 
 
 def _by_bucket(df: DataFrame, *order: str) -> GroupedData:
@@ -135,8 +135,10 @@ def _live_slots(cap: int, whole: int, ceiling: int):
     return run
 
 
-def _thin(events: DataFrame, cap: int, window_us: int, width: int) -> DataFrame:
-    """Drops events of slots that cannot hold an accepted one."""
+def thin(events: DataFrame, cap: int, window_us: int, slots: int = SLOTS) -> DataFrame:
+    """``events`` (``_k``, ``_t``, ``_id``) without those that are certainly refused:
+    those of slots that cannot hold an accepted one."""
+    width = max(window_us // slots, 1)
     slotted = events.withColumn("_slot", F.floor(F.col("_t") / width).cast("long"))
     counts = slotted.groupBy("_k", "_slot").agg(F.count("*").alias("n"))
     live = _by_bucket(counts, "_slot").applyInPandas(
@@ -146,53 +148,13 @@ def _thin(events: DataFrame, cap: int, window_us: int, width: int) -> DataFrame:
     return slotted.join(live, ["_k", "_slot"], "left_semi").drop("_slot")
 
 
-def _largest(events: DataFrame) -> int:
-    sizes = events.groupBy("_k").agg(F.count("*").alias("n"))
-    return sizes.agg(F.max("n")).head()[0] or 0
-
-
-def thin_hot_keys(
-    events: DataFrame, cap: int, window_us: int, hot_rows: int, first_slots: int = FIRST_SLOTS
-) -> DataFrame:
-    """``events`` (``_k``, ``_t``, ``_id``) without those of hot keys that are
-    certainly refused."""
-    sizes = events.groupBy("_k").agg(F.count("*").alias("n"))
-    hot_keys = sizes.filter(F.col("n") > hot_rows).select("_k")
-    if hot_keys.isEmpty():
-        return events
-    cold = events.join(hot_keys, "_k", "left_anti")
-    # Of events at the same instant only the first ``cap`` can be accepted.
-    instant = Window.partitionBy("_k", "_t").orderBy("_id")
-    hot = (
-        events.join(hot_keys, "_k", "left_semi")
-        .withColumn("_n", F.row_number().over(instant))
-        .filter(F.col("_n") <= cap)
-        .drop("_n")
-    )
-    slots, before = first_slots, None
-    while True:
-        width = max(window_us // slots, 1)
-        hot = written(_thin(hot, cap, window_us, width), "thinned")
-        left = _largest(hot)
-        settled = before is not None and left > 0.9 * before
-        if width == 1 or left <= hot_rows or settled:
-            return cold.unionByName(hot)
-        slots, before = slots * FINER, left
-
-
 def accepted_keys(
-    events: DataFrame,
-    cap: int,
-    window_seconds: float,
-    hot_rows: int | None = 20_000_000,
-    first_slots: int = FIRST_SLOTS,
+    events: DataFrame, cap: int, window_seconds: float, slots: int = SLOTS
 ) -> DataFrame:
     """The accepted rows of ``events`` (``_k`` string, ``_t`` epoch
     microseconds, ``_id`` long, unique)."""
     window_us = int(window_seconds * 1_000_000)
-    if hot_rows is not None:
-        events = thin_hot_keys(events, cap, window_us, hot_rows, first_slots)
-    return _by_bucket(events, "_t", "_id").applyInArrow(
+    return _by_bucket(thin(events, cap, window_us, slots), "_t", "_id").applyInArrow(
         _walk(cap, window_us), "_k string, _t long, _id long"
     )
 

@@ -79,9 +79,11 @@ def classify(
 
     ``predict`` gets a batch (platform, post_url, post_title, author_handle,
     posted_at, body) and returns rows (post_url, summary, opportunity,
-    categories) for the posts it keeps. Rows with URLs the batch did not hold
-    are dropped. Batches are Spark's Arrow batches and empty ones never reach
-    it; no row leaves its partition.
+    categories) for the posts it keeps, each under the index of the row it is
+    for. So copies of one URL keep their own payload, however the rows are cut
+    into batches. Answers under another index or URL than those given are
+    dropped. Batches are Spark's Arrow batches and empty ones never reach it; no
+    row leaves its partition.
     """
     columns = candidates.columns
     bodied = (
@@ -95,8 +97,11 @@ def classify(
             if not len(batch):
                 continue
             answer = predict(batch[ASKED])[ANSWERED]
-            given = batch.drop(columns=ANSWERED[1:]).drop_duplicates("post_url")
-            yield answer.merge(given, on="post_url")[columns]
+            answer = answer[answer.index.isin(batch.index)]
+            asked = batch["post_url"].loc[answer.index].to_numpy()
+            answer = answer[answer["post_url"].to_numpy() == asked]
+            answer = answer[~answer.index.duplicated()].drop(columns="post_url")
+            yield batch.drop(columns=ANSWERED[1:]).join(answer, how="inner")[columns]
 
     return bodied.mapInPandas(run, candidates.schema)
 

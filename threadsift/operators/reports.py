@@ -48,23 +48,21 @@ def status_counts(posts: DataFrame, labels=refdata.STATUS_LABELS) -> DataFrame:
 
 
 def topic_counts(posts: DataFrame) -> DataFrame:
-    """Count per category; a category a post names twice counts twice. ``seen``
-    grows with the newest post that names it and falls with its place there. All
-    sums are plain numbers, so they are kept in a hash table, not sorted."""
+    """Count per category; a category a post names twice counts twice. ``seen`` is
+    where newest-first rows, those of one instant by id, show it first."""
     each = posts.select(
-        F.unix_micros("discovered_at").alias("us"),
+        (-F.unix_micros("discovered_at")).alias("age"), "id",
         F.posexplode("categories").alias("pos", "category"),
     )
-    place = F.lit(999) - F.least(F.col("pos"), F.lit(999))
     return each.groupBy("category").agg(
-        F.count("*").alias("n"), F.max(F.col("us") * 1000 + place).alias("seen")
+        F.count("*").alias("n"), F.min(F.struct("age", "id", "pos")).alias("seen")
     )
 
 
 def top_topics(posts: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` most frequent categories. Equal counts keep the order in which
     the newest-first rows show them."""
-    w = Window.orderBy(F.desc("n"), F.desc("seen"), F.asc("category"))
+    w = Window.orderBy(F.desc("n"), F.asc("seen"), F.asc("category"))
     return (
         topic_counts(posts)
         .withColumn("rank", F.row_number().over(w))

@@ -100,9 +100,15 @@ def fold_runs(
 
 
 def null_orphans(runs: DataFrame, known: DataFrame) -> DataFrame:
-    """Keeps ``_error_id`` as ``error_id`` where the error still exists."""
-    return runs.join(known, F.col("_error_id") == F.col("_known"), "left").select(
-        *[c for c in runs.columns if c != "_error_id"], F.col("_known").alias("error_id")
+    """Keeps ``_error_id`` as ``error_id`` where the error still exists. Runs without
+    one, mostly the larger part, never enter the join."""
+    named = runs.filter(F.col("_error_id").isNotNull()).join(
+        known.select("_known").distinct(), F.col("_error_id") == F.col("_known"), "left"
+    )
+    unnamed = runs.filter(F.col("_error_id").isNull()).withColumn("_known", F.col("_error_id"))
+    kept = [c for c in runs.columns if c != "_error_id"]
+    return named.select(*kept, F.col("_known").alias("error_id")).unionByName(
+        unnamed.select(*kept, F.col("_known").alias("error_id"))
     )
 
 
@@ -154,9 +160,16 @@ def resolve_errors(errors: DataFrame, resolutions: DataFrame) -> DataFrame:
 
 
 def error_of_run(runs: DataFrame, errors: DataFrame) -> DataFrame:
-    """Runs with the message of the error that ended them."""
-    shown = errors.select(F.col("id").alias("error_id"), "message", "resolved")
-    return runs.join(shown, "error_id", "left")
+    """Runs with the message of the error that ended them; of several rows of one
+    error the first to occur. Runs without an error never enter the join."""
+    shown = errors.groupBy(F.col("id").alias("error_id")).agg(
+        F.min_by(F.struct("message", "resolved"), F.struct("occurred_at", "message")).alias("_e")
+    ).select("error_id", "_e.message", "_e.resolved")
+    named = runs.filter(F.col("error_id").isNotNull()).join(shown, "error_id", "left")
+    unnamed = runs.filter(F.col("error_id").isNull()).withColumns(
+        {c: F.lit(None).cast(errors.schema[c].dataType) for c in ("message", "resolved")}
+    )
+    return named.unionByName(unnamed)
 
 
 def with_default_array(df: DataFrame, column: str) -> DataFrame:

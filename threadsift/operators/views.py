@@ -65,8 +65,10 @@ def report_window(
     return _top(shown, cap, F.desc("discovered_at"), F.asc("id"))
 
 
-def _list_cap(limit: int | None) -> int:
-    return min(refdata.LIST_LIMIT if limit is None else limit, refdata.LIST_LIMIT_MAX)
+def _list_cap(limit: int | None, ceiling: int | None) -> int:
+    """Rows a list shows: what the caller asks for, up to the ceiling, if any."""
+    wanted = refdata.LIST_LIMIT if limit is None else limit
+    return wanted if ceiling is None else min(wanted, ceiling)
 
 
 def runs_list(
@@ -76,6 +78,7 @@ def runs_list(
     product: str | None = None,
     status: str | None = None,
     limit: int | None = None,
+    ceiling: int | None = refdata.LIST_LIMIT_MAX,
     since_days: int | None = None,
 ) -> DataFrame:
     days = refdata.RUNS_DAYS if since_days is None else since_days
@@ -89,7 +92,7 @@ def runs_list(
             "id", "product", "script", "mode", "started_at", "ended_at", "status",
             "steps", "stats", "error_id",
         ),
-        _list_cap(limit), F.desc("started_at"), F.asc("id"),
+        _list_cap(limit, ceiling), F.desc("started_at"), F.asc("id"),
     )
 
 
@@ -100,6 +103,7 @@ def errors_list(
     product: str | None = None,
     unresolved_only: bool = False,
     limit: int | None = None,
+    ceiling: int | None = refdata.LIST_LIMIT_MAX,
     since_days: int | None = None,
 ) -> DataFrame:
     days = refdata.ERRORS_DAYS if since_days is None else since_days
@@ -113,7 +117,7 @@ def errors_list(
             "id", "occurred_at", "product", "script", "mode", "message", "traceback",
             "resolved", "resolved_at", "run_id",
         ),
-        _list_cap(limit), F.desc("occurred_at"), F.asc("id"),
+        _list_cap(limit, ceiling), F.desc("occurred_at"), F.asc("id"),
     )
 
 

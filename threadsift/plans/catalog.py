@@ -103,7 +103,7 @@ def language_guard(spark, sf):
     shown = F.when(
         F.col("doc_id") % 3 == 0, F.translate("text", "aeos", "аеоѕ")
     ).otherwise(F.translate("text", "z", "ж"))
-    given = fx.spread(fx.table(spark, sf, "documents").select("doc_id", "text"))
+    given = fx.table(spark, sf, "documents").select("doc_id", "text")
     shown_once = once(given.select("doc_id", shown.alias("shown")), {"shown": F.col("shown")})
     return shown_once.select("doc_id", text.is_latin(F.col("shown")).alias("is_latin"))
 
@@ -322,10 +322,10 @@ def rate_limit(spark, sf):
 
 @query
 def rate_limit_hot(spark, sf):
-    """The same limit for all events as one key, on the path for hot keys."""
+    """The same limit for all events as one key."""
     all_events = fx.events(spark, sf).withColumn("key", F.lit("all"))
     kept = ratelimit.rate_limit(
-        all_events, ["key"], "ts", "event_id", 2, 3600, hot_rows=1000
+        all_events, ["key"], "ts", "event_id", 2, 3600
     )
     return kept.select("event_id")
 
@@ -451,7 +451,7 @@ def log_tail(spark, sf):
 @query
 def error_volume(spark, sf):
     recent = fx.client_errors(spark, sf).filter(F.col("occurred_at") >= views.ago(AS_OF, 7, "DAYS"))
-    return health.capped_count(recent)
+    return health.row_count(recent)
 
 
 # Harvest and model output ----------------------------------------------------------
@@ -607,9 +607,8 @@ def stream_ingest(spark, sf):
     return plain(posts.read().select("platform", "post_url", "post_title", "categories", "competitors"))
 
 
-@query
-def stream_rate_limit(spark, sf):
-    """Two incremental runs over landed events, twice an hour per event type."""
+def _limited_stream(spark, sf, cap):
+    """Two incremental runs over landed events, limited per hour and event type."""
     work = work_dir(spark, "intake")
     events = fx.events(spark, sf).withColumnRenamed("event_id", "seq")
     at = events.select("seq", F.col("ts").alias("_ts"))
@@ -617,13 +616,25 @@ def stream_rate_limit(spark, sf):
         stream = landed.report_stream(spark, f"{work}/landing", events.schema)
         intake.limited_stream(
             stream, f"{work}/accepted", f"{work}/checkpoint",
-            keys=["event_type"], at="ts", order="seq", cap=2, window_seconds=3600,
+            keys=["event_type"], at="ts", order="seq", cap=cap, window_seconds=3600,
         ).awaitTermination()
     return spark.read.parquet(f"{work}/accepted").select(
         F.col("seq").alias("event_id"), "event_type"
     )
 
 
+@query
+def stream_rate_limit(spark, sf):
+    """Twice an hour per event type, in two runs."""
+    return _limited_stream(spark, sf, 2)
+
+
+@query
+def stream_ttl_dedup(spark, sf):
+    """One page per event type: an hour of silence after each kept report, in two runs."""
+    return _limited_stream(spark, sf, 1)
+
+
 @query
 def stream_digest(spark, sf):
     """Two digests of landed error rows, one per run."""

@@ -22,10 +22,10 @@ def error_table(spark, root: str) -> DayTable:
 
 
 def combine(*pools: DataFrame) -> DataFrame:
-    """Pools of candidates in order of precedence. Each pool is numbered by its
-    own ``seq``; the pool's place goes before it."""
+    """Pools of candidates in order of precedence. Each pool is ordered by its own
+    ``seq``; the pool's place goes before it, as text that sorts alike."""
     numbered = [
-        pool.withColumn("seq", F.lit(i).cast("long") * 10**17 + F.col("seq"))
+        pool.withColumn("seq", F.concat(F.lit(f"{i:03d}:"), F.lpad(F.col("seq").cast("string"), 40, "0")))
         for i, pool in enumerate(pools)
     ]
     return harvest.in_source_order(*numbered)
@@ -56,11 +56,12 @@ def native_pool(
 
 
 def model_pool(responses: DataFrame) -> DataFrame:
-    """Valid records of landed model responses (response_id, payload), numbered by
-    response and place."""
+    """Valid records of landed model responses (response_id, payload), ordered by
+    response and place. ``seq`` is text of a fixed width that sorts so."""
     parsed = records.parse_batches(responses, "payload", "response_id")
     valid = records.valid_records(records.batch_records(parsed, "response_id"))
-    order = F.pmod(F.xxhash64("response_id"), F.lit(10**11)).cast("long") * 10**6 + F.col("pos")
+    place = F.lpad(F.col("pos").cast("string"), 10, "0")
+    order = F.concat(F.lpad(F.col("response_id").cast("string"), 29, "0"), F.lit(":"), place)
     return valid.select(order.alias("seq"), *schemas.POST_FIELDS)
 
 
@@ -145,12 +146,13 @@ def act(posts: DayTable, actions: DataFrame) -> int:
 
 
 def digest(
-    table: DayTable, deliver: Callable[[DataFrame], DataFrame], as_of
+    table: DayTable, deliver: Callable[[DataFrame], DataFrame], as_of, shown: int | None = None
 ) -> int:
-    """Groups the oldest unalerted errors, hands the groups to ``deliver`` and
-    marks those it returns. Errors of other groups wait for the next run."""
+    """Groups all unalerted errors, hands the groups (with ``shown`` the first ones)
+    to ``deliver`` and marks those it returns. Errors of other groups wait for the
+    next run."""
     batch = written(errors.unalerted(table.read()), "digest")
-    groups = errors.in_digest_order(errors.digest(batch))
+    groups = errors.in_digest_order(errors.digest(batch), shown)
     # Written at once, so that delivering happens once.
     delivered = written(deliver(groups).select("fingerprint"), "delivered")
     told = batch.join(delivered, "fingerprint", "left_semi")

@@ -231,7 +231,7 @@ client0 AS (
     CASE WHEN event_id % 3 = 0 THEN ts + INTERVAL 15 MINUTES END AS alerted_at
   FROM events WHERE event_type = 'error'),
 client AS (SELECT *, {_FINGERPRINT} AS fingerprint FROM client0),
-waiting AS (SELECT * FROM client WHERE alerted_at IS NULL ORDER BY occurred_at, id LIMIT 500),
+waiting AS (SELECT * FROM client WHERE alerted_at IS NULL),
 digest AS (
   SELECT fingerprint, count(*) AS occurrences, min(occurred_at) AS first_seen,
     arg_min(id, {{'t': occurred_at, 'i': id}}) AS first_id,
@@ -356,7 +356,7 @@ found AS (
   SELECT 'competitor_mentions', CASE WHEN count(*) FILTER (len(competitors) > 0) = 0
     THEN 'none in 7 days' END FROM week
   UNION ALL
-  SELECT 'error_volume', CASE WHEN count(*) > 50 THEN CAST(least(count(*), 20000) AS VARCHAR) END
+  SELECT 'error_volume', CASE WHEN count(*) > 50 THEN CAST(count(*) AS VARCHAR) END
   FROM client WHERE occurred_at >= {AS_OF} - INTERVAL 7 DAYS
   UNION ALL
   SELECT 'log_lines', CASE WHEN count(*) > 0 THEN CAST(count(*) AS VARCHAR) END FROM log_hits),
@@ -642,7 +642,7 @@ SELECT CASE WHEN count(*) > 0 THEN 'NEEDS_ATTENTION' ELSE 'HEALTHY' END AS verdi
   count(*) AS findings FROM findings""",
         "log_scan": f"WITH {LOG} SELECT value FROM log_hits",
         "log_tail": f"WITH {LOG} SELECT value FROM log_hits ORDER BY day DESC, value DESC LIMIT 15",
-        "error_volume": f"""WITH {CLIENT} SELECT least(count(*), 20000) AS n FROM client
+        "error_volume": f"""WITH {CLIENT} SELECT count(*) AS n FROM client
 WHERE occurred_at >= {AS_OF} - INTERVAL 7 DAYS""",
         "harvest_keyword_topk": f"""WITH {STORIES} SELECT query, rank, post_url, post_title,
   author_handle, posted_at, body FROM story_pool""",
@@ -717,6 +717,8 @@ UNION ALL
 SELECT platform, post_url, post_title, {_join('categories')}, {_join('competitors')}
 FROM second WHERE post_url NOT IN (SELECT post_url FROM first)""",
         "stream_rate_limit": f"""WITH RECURSIVE {_greedy('w', 'events', 'event_type', 'ts', 'event_id', 2, 3600)}
+SELECT id AS event_id, k AS event_type FROM w WHERE ok""",
+        "stream_ttl_dedup": f"""WITH RECURSIVE {_greedy('w', 'events', 'event_type', 'ts', 'event_id', 1, 3600)}
 SELECT id AS event_id, k AS event_type FROM w WHERE ok""",
         "stream_digest": f"""WITH {CLIENT}
 SELECT CAST(occurred_at >= {CUTOFF} AS BIGINT) AS batch, fingerprint,

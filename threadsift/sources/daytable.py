@@ -59,14 +59,16 @@ class DayTable:
         return self.read([d for d in self.days() if d >= day])
 
     def days_of(self, rows: DataFrame) -> list[str]:
-        """Days the rows lie in: one short string per day."""
+        """Days the rows lie in: one short string per day. Rows without a time lie in
+        none; ``write`` refuses them."""
         found = rows.select(F.date_format(self.at, "yyyy-MM-dd").alias("d")).distinct()
-        return sorted(r["d"] for r in found.collect())
+        return sorted(r["d"] for r in found.collect() if r["d"] is not None)
 
     def write(self, rows: DataFrame) -> int:
         """Replaces every day that ``rows`` has rows of. Spark evens out the files,
         so a day with most of the rows is written by many tasks."""
         version = max(self._all_versions(), default=0) + 1
+        rows = rows.withColumn(self.at, self._present())
         columns = StructType.fromDDL(self.schema).fieldNames()
         dated = rows.select(*columns, F.date_format(self.at, "yyyy-MM-dd").alias("day"))
         (
@@ -76,6 +78,11 @@ class DayTable:
         )
         return version
 
+    def _present(self):
+        """The row's time. A row without one has no day, so the write fails."""
+        message = f"a row without {self.at} has no day"
+        return F.coalesce(F.col(self.at), F.raise_error(F.lit(message)).cast("timestamp"))
+
     def _all_versions(self) -> list[int]:
         return [
             int(n.split("=")[1]) for n in self._list(self.root) if n.startswith("version=")

@@ -1,70 +1,47 @@
 """Error reports as a stream: repeats, hourly rate, digests.
 
-State between micro-batches is the last ``cap`` accepted times of each key, a
-small table in the query's folder. A micro-batch is decided by the same operator
-as a batch job, with the state put before the new rows, so hot keys are thinned
-in parallel here too. Every micro-batch writes into a folder of its own number:
-when it is repeated after a failure it overwrites its own result only.
+The rate limit keeps the last ``cap`` accepted times of each key in Spark's own state,
+which Spark checkpoints with the query: a key without new rows costs nothing, and a
+micro-batch that is repeated after a failure finds the state it began with.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import errors, ratelimit
-from ..session import written
-
-STATE = "_k string, _t bigint"
-
-
-class AcceptedTail:
-    """The last accepted times per key after each micro-batch."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
 
-    def before(self, batch_id: int) -> DataFrame:
-        """State left by the batch before; batches are numbered without gaps."""
-        if batch_id == 0:
-            return self.spark.createDataFrame([], STATE)
-        return self.spark.read.schema(STATE).parquet(f"{self.root}/batch={batch_id - 1}")
 
-    def save(self, batch_id: int, tail: DataFrame) -> None:
-        tail.write.mode("overwrite").parquet(f"{self.root}/batch={batch_id}")
+def limiter(cap: int, window_us: int, columns: list[str], keep_ms: int | None = None) -> Callable:
+    """What the stream does with the new rows of one key (``_t``, ``_id``, payload) and
+    the key's last accepted times.
 
-
-def decide(
-    events: DataFrame,
-    tail: DataFrame,
-    cap: int,
-    window_seconds: float,
-    **options,
-) -> DataFrame:
-    """Accepted rows of ``events`` and of ``tail`` (negative ``_id``).
-
-    Arrival counts: a row older than the key's last accepted one is judged as if
-    it came at that time.
+    Arrival counts: a row older than the key's last accepted one is judged as if it
+    came at that time.
     """
-    last = tail.groupBy("_k").agg(F.max("_t").alias("_last"))
-    arrived = events.join(last, "_k", "left").select(
-        "_k", F.greatest("_t", "_last").alias("_t"), "_id"
-    )
-    place = F.row_number().over(Window.partitionBy("_k").orderBy("_t"))
-    earlier = tail.select("_k", "_t", (place - 1_000_000).cast("long").alias("_id"))
-    return ratelimit.accepted_keys(
-        earlier.unionByName(arrived), cap, window_seconds, **options
-    )
 
+    def run(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        held = list(state.get[0]) if state.exists else []
+        rows = pd.concat(list(batches), ignore_index=True)
+        if held:
+            rows["_t"] = rows["_t"].clip(lower=held[-1])
+        rows = rows.sort_values(["_t", "_id"], kind="stable")
+        keep, held = ratelimit._accept(held, rows["_t"].to_numpy(np.int64), cap, window_us)
+        state.update((held,))
+        if keep_ms is not None:
+            state.setTimeoutDuration(keep_ms)
+        yield (rows if keep is True else rows[keep])[columns]
 
-def latest(accepted: DataFrame, cap: int, window_seconds: float, keep_seconds: float) -> DataFrame:
-    """The state to keep: ``cap`` rows per key, none that is older than the newest
-    time by more than the window and ``keep_seconds``."""
-    w = Window.partitionBy("_k").orderBy(F.desc("_t"), F.desc("_id"))
-    tail = accepted.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= cap)
-    reach = int((window_seconds + keep_seconds) * 1_000_000)
-    newest = accepted.agg(F.max("_t")).scalar()
-    return tail.filter(F.col("_t") > newest - reach).select("_k", "_t")
+    return run
 
 
 def limited_stream(
@@ -77,28 +54,28 @@ def limited_stream(
     order: str,
     cap: int,
     window_seconds: float,
-    keep_seconds: float = 86_400,
-    **options,
+    keep_seconds: float | None = None,
 ) -> StreamingQuery:
-    """Writes the accepted rows of a stream to ``out/batch=N`` until the landed
-    files are used up. ``order`` is a unique non-negative number."""
-    spark = stream.sparkSession
-    state = AcceptedTail(spark, f"{checkpoint}/accepted")
-
-    def take(batch: DataFrame, batch_id: int) -> None:
-        events = ratelimit.keyed(batch, keys, at, order)
-        accepted = written(
-            decide(events, state.before(batch_id), cap, window_seconds, **options), "accepted"
-        )
-        fresh = accepted.filter(F.col("_id") >= 0).select(F.col("_id").alias(order))
-        batch.join(fresh, order, "left_semi").write.mode("overwrite").parquet(
-            f"{out}/batch={batch_id}"
-        )
-        state.save(batch_id, latest(accepted, cap, window_seconds, keep_seconds))
-
+    """Appends the accepted rows of a stream to the files in ``out`` until the landed
+    files are used up. ``order`` is a unique number. ``keep_seconds`` lets Spark drop a
+    key's state when no row of it came for so long on the clock; rows that come later
+    find no earlier one. Without it all keys are kept."""
+    window_us = int(window_seconds * 1_000_000)
+    timeout = GroupStateTimeout.NoTimeout if keep_seconds is None else GroupStateTimeout.ProcessingTimeTimeout
+    keep_ms = None if keep_seconds is None else int(keep_seconds * 1000)
+    numbered = stream.withColumns({
+        "_k": F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}),
+        "_t": F.unix_micros(F.col(at).cast("timestamp")),
+        "_id": F.col(order).cast("long"),
+    })
+    accepted = numbered.groupBy("_k").applyInPandasWithState(
+        limiter(cap, window_us, stream.columns, keep_ms), stream.schema, "times array<bigint>", "append", timeout
+    )
     return (
-        stream.writeStream.foreachBatch(take)
-        .option("checkpointLocation", f"{checkpoint}/query")
+        accepted.writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
@@ -110,7 +87,7 @@ def digest_stream(stream: DataFrame, out: str, checkpoint: str, every: str | Non
     stops when the landed files are used up."""
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        errors.digest(errors.unalerted(batch, cap=None)).write.mode("overwrite").parquet(
+        errors.digest(errors.unalerted(batch)).write.mode("overwrite").parquet(
             f"{out}/batch={batch_id}"
         )
 
