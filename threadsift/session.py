@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,13 +20,30 @@ SETTINGS = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once for each application, so that their
+    Python workers can import it wherever they were started. Spark itself serves the
+    archive, which lies in the driver's own folder."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        name = os.path.join(tempfile.mkdtemp(prefix="threadsift-package-"), package.name)
+        context.addPyFile(shutil.make_archive(name, "zip", package.parent, package.name))
+        _SHIPPED.add(context.applicationId)
+
+
 def local_session(cores: int = 8, app: str = "threadsift", **extra: str) -> SparkSession:
     """A session on this machine, for tests and the benchmark. On a cluster the
-    session comes from spark-submit and only needs ``SETTINGS``."""
+    session comes from spark-submit and needs ``SETTINGS``, ``spark.checkpoint.dir``
+    and ``ship``."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cores))
+        .config("spark.sql.files.minPartitionNum", str(cores))
         .config("spark.driver.memory", os.environ.get("THREADSIFT_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -33,6 +52,7 @@ def local_session(cores: int = 8, app: str = "threadsift", **extra: str) -> Spar
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark
 
 
