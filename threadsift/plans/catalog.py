@@ -295,6 +295,14 @@ def daily_summary(spark, sf):
     return plain(reports.daily_summary(fx.posts(spark, sf), AS_OF))
 
 
+@query
+def summary_job(spark, sf):
+    """The summary of the kept table, of which only the last days are opened."""
+    posts = jobs.post_table(spark, f"{work_dir(spark, 'posts')}/posts")
+    posts.write(fx.posts(spark, sf))
+    return plain(jobs.daily_summary(posts, AS_OF))
+
+
 # Client errors -------------------------------------------------------------------
 
 
@@ -454,6 +462,19 @@ def error_volume(spark, sf):
     return health.row_count(recent)
 
 
+@query
+def health_job(spark, sf):
+    """The health check over the kept tables."""
+    work = work_dir(spark, "health")
+    posts, kept = jobs.post_table(spark, f"{work}/posts"), jobs.error_table(spark, f"{work}/errors")
+    posts.write(fx.posts(spark, sf))
+    kept.write(fx.client_errors(spark, sf))
+    return jobs.health_check(
+        posts, kept, fx.log_lines(spark, sf), AS_OF,
+        runaway_per_day=340, expected=[*refdata.EXPECTED_PLATFORMS, "newsgroup"],
+    )
+
+
 # Harvest and model output ----------------------------------------------------------
 
 
@@ -482,23 +503,43 @@ def harvest_nested_bot_filter(spark, sf):
     return plain(found.select("query", "rank", "post_url", "post_title", "author_handle", "posted_at"))
 
 
-@query
-def harvest_pool(spark, sf):
-    """All three harvests in source order, each under its own platform."""
-    stories = harvest.harvest_stories(
-        fx.story_hits(spark, sf), AS_OF, hours=ALL_HOURS, keywords=STORY_WORDS
-    )
+def _source_pool(story_hits, question_items, micro_posts):
+    stories = harvest.harvest_stories(story_hits, AS_OF, hours=ALL_HOURS, keywords=STORY_WORDS)
     questions = harvest.harvest_questions(
-        fx.question_items(spark, sf), AS_OF, hours=MONTH_HOURS,
-        tags=QUESTION_TAGS, phrases=QUESTION_PHRASES,
+        question_items, AS_OF, hours=MONTH_HOURS, tags=QUESTION_TAGS, phrases=QUESTION_PHRASES
     )
     micro = harvest.harvest_micro_posts(
-        fx.micro_posts(spark, sf), AS_OF, hours=MONTH_HOURS, keywords=MICRO_WORDS
+        micro_posts, AS_OF, hours=MONTH_HOURS, keywords=MICRO_WORDS
     )
     pools = [harvest.sequence(p, i) for i, p in enumerate([stories, questions, micro])]
     return harvest.in_source_order(*pools).select("seq", "platform", "post_url")
 
 
+@query
+def harvest_pool(spark, sf):
+    """All three harvests in source order, each under its own platform."""
+    return _source_pool(
+        fx.story_hits(spark, sf), fx.question_items(spark, sf), fx.micro_posts(spark, sf)
+    )
+
+
+@query
+def harvest_landed(spark, sf):
+    """The same from pages of JSON that were landed first, an item each."""
+    work = work_dir(spark, "pages")
+    for name, member, items in (
+        ("stories", "hits", fx.story_hits(spark, sf)),
+        ("questions", "items", fx.question_items(spark, sf)),
+        ("micro", "posts", fx.micro_posts(spark, sf)),
+    ):
+        items.select(F.array(F.struct("*")).alias(member)).write.json(f"{work}/{name}")
+    return _source_pool(
+        landed.story_hits(spark, f"{work}/stories"),
+        landed.questions(spark, f"{work}/questions"),
+        landed.micro_posts(spark, f"{work}/micro"),
+    )
+
+
 def _parsed(spark, sf):
     return records.parse_batches(fx.model_responses(spark, sf), "payload", "response_id")
 

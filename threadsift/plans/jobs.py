@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from .. import refdata, schemas
 from ..functions import tags
-from ..operators import clean, dedup, errors, harvest, records, store
+from ..operators import clean, dedup, errors, harvest, health, records, reports, store
 from ..session import written
 from ..sources.daytable import DayTable
 
@@ -25,7 +26,7 @@ def combine(*pools: DataFrame) -> DataFrame:
     """Pools of candidates in order of precedence. Each pool is ordered by its own
     ``seq``; the pool's place goes before it, as text that sorts alike."""
     numbered = [
-        pool.withColumn("seq", F.concat(F.lit(f"{i:03d}:"), F.lpad(F.col("seq").cast("string"), 40, "0")))
+        pool.withColumn("seq", F.concat(F.lit(f"{i:03d}:"), F.lpad(F.col("seq").cast("string"), 75, "0")))
         for i, pool in enumerate(pools)
     ]
     return harvest.in_source_order(*numbered)
@@ -57,11 +58,12 @@ def native_pool(
 
 def model_pool(responses: DataFrame) -> DataFrame:
     """Valid records of landed model responses (response_id, payload), ordered by
-    response and place. ``seq`` is text of a fixed width that sorts so."""
+    response and place. ``seq`` is text of a fixed width that sorts so; names of
+    responses have 64 characters at most."""
     parsed = records.parse_batches(responses, "payload", "response_id")
     valid = records.valid_records(records.batch_records(parsed, "response_id"))
     place = F.lpad(F.col("pos").cast("string"), 10, "0")
-    order = F.concat(F.lpad(F.col("response_id").cast("string"), 29, "0"), F.lit(":"), place)
+    order = F.concat(F.lpad(F.col("response_id").cast("string"), 64, "0"), F.lit(":"), place)
     return valid.select(order.alias("seq"), *schemas.POST_FIELDS)
 
 
@@ -159,3 +161,24 @@ def digest(
     return _rewrite(
         table, lambda df: errors.mark_alerted(df, batch, delivered, as_of), told
     )
+
+
+def _day_before(as_of: str | dt.datetime, **span: int) -> str:
+    """The day, in UTC, that lies the given span before ``as_of``."""
+    at = as_of if isinstance(as_of, dt.datetime) else dt.datetime.fromisoformat(as_of)
+    return (at - dt.timedelta(**span)).date().isoformat()
+
+
+def daily_summary(posts: DayTable, as_of, hours: int = 24, **options) -> DataFrame:
+    """The day's summary; only the days that the window touches are opened."""
+    return reports.daily_summary(posts.since(_day_before(as_of, hours=hours)), as_of, hours, **options)
+
+
+def health_check(
+    posts: DayTable, client_errors: DayTable, log_lines: DataFrame, as_of, **options
+) -> DataFrame:
+    """The week's findings; only the week's days of both tables are opened."""
+    first = _day_before(as_of, days=7)
+    return health.health_findings(
+        posts.since(first), client_errors.since(first), log_lines, as_of, **options
+    )
