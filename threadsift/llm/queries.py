@@ -60,4 +60,13 @@ QUERIES = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: SQL can't express tokenizers, trained models, signatures or places of matches.
+ORACLE_SQL: dict[str, str] = {
+    "op6_warc": """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS payload_digest,
+  max(page_id) OVER (PARTITION BY h) AS largest FROM p),
+r AS (SELECT *, payload_bytes >= 1000 AND page_id <> largest AS again FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN largest END AS refers_to FROM r""",
+}
