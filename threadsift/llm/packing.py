@@ -18,7 +18,6 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -147,10 +146,7 @@ def pack(
         coder, open_ = encoder(path), Windows(size, windows)
         out, arrow = _Rows(0, TaskContext.get().partitionId()), None
         for batch in batches:
-            arrow = arrow or pa.schema([
-                (key, batch.schema.field(0).type), *((n, pa.int64()) for n in names[1:7]),
-                ("task", pa.int32()), ("ids", pa.binary()),
-            ])
+            arrow = arrow or _arrow(batch.schema.field(0).type)
             keys = batch.column(0).to_pylist()
             for doc, coded in zip(keys, coder.encode_all(batch.column(1).cast(pa.binary()).to_pylist())):
                 ids = coded + END
@@ -162,12 +158,10 @@ def pack(
             yield _batch(out.take(), arrow)
 
     def merge(turn: int, last: bool):
-        def run(group: pd.DataFrame) -> pd.DataFrame:
-            group = group.sort_values(["length", "task", "start"], ascending=[False, True, True], kind="stable")
-            pieces = [
-                Piece(*row) for row in zip(group[key].tolist(), group["start"], group["ids"], group["doc_tokens"])
-            ]
-            out = _Rows(turn, int(group["group"].iloc[0]))
+        def run(group: pa.Table) -> pa.Table:
+            rows = sorted(group.to_pylist(), key=lambda r: (-r["length"], r["task"], r["start"]))
+            pieces = [Piece(r[key], r["start"], r["ids"], r["doc_tokens"]) for r in rows]
+            out = _Rows(turn, rows[0]["group"])
             if last:
                 for sequence in _end_to_end(pieces, size):
                     out.final(sequence)
@@ -177,13 +171,15 @@ def pack(
                     for sequence in open_.add(piece):
                         out.final(sequence)
                 out.open(open_.left())
-            made = pd.DataFrame(out.take(), columns=names)
-            for n in (*names[1:7], "task"):
-                made[n] = made[n].astype("Int64")
-            return made
+            return pa.Table.from_batches([_batch(out.take(), _arrow(group.schema.field(key).type))])
 
         return run
 
+    def _arrow(key_type: pa.DataType) -> pa.Schema:
+        return pa.schema([
+            (key, key_type), *((n, pa.int64()) for n in names[1:7]), ("task", pa.int32()), ("ids", pa.binary()),
+        ])
+
     table = written(texts(docs, key, text).mapInArrow(first, schema), "pack")
     packed = [table.where("sequence_id IS NOT NULL")]
     tasks = (table.agg(F.max("task")).first()[0] or 0) + 1
@@ -191,8 +187,8 @@ def pack(
     while tasks:
         turn += 1
         groups = -(-tasks // fan_in)
-        left = table.where("sequence_id IS NULL").withColumn("group", F.expr(f"task DIV {fan_in}"))
-        table = left.groupBy("group").applyInPandas(merge(turn, groups == 1), schema)
+        left = table.where("sequence_id IS NULL").withColumn("group", F.expr(f"cast(task DIV {fan_in} AS int)"))
+        table = left.groupBy("group").applyInArrow(merge(turn, groups == 1), schema)
         if groups > 1:
             table = written(table, "pack")
         packed.append(table.where("sequence_id IS NOT NULL"))

@@ -139,6 +139,7 @@ class FragmentEncoder:
             self.strings[i] = token.encode()
         self.known: dict[bytes, bytes] = {}
         self.odd: dict[bytes, bytes] = {}
+        self.long: list[bytes] = []
         self.limit = cache
 
     @staticmethod
@@ -200,6 +201,7 @@ class FragmentEncoder:
     def learn(self, chunks: list[bytes]) -> None:
         """Encodes new chunks and keeps them."""
         whole = [c for c in chunks if len(c) > LONGEST or b"<|" in c]
+        self.long = [c for c in whole if len(c) > LONGEST]
         for chunk in whole:
             self.known[chunk] = self.one(chunk)
         chunks = [c for c in chunks if len(c) <= LONGEST and b"<|" not in c]
@@ -250,6 +252,9 @@ class FragmentEncoder:
             self.learn(list(set().union(*words).difference(self.known)))
             known = self.known
             coded = [b"".join([known[w] for w in own]) for own in words]
+            for chunk in self.long:  # kept for this group only
+                known.pop(chunk, None)
+            self.long = []
             if len(group) == 1 and out and group.continues:
                 out[-1] += coded[0]
             else:
