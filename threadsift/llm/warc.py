@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import work_dir, written
@@ -118,31 +118,33 @@ def _candidates(pieces: DataFrame) -> DataFrame:
     )
 
 
-def _exits(split: pd.DataFrame) -> pd.DataFrame:
+def _exits(split: pa.Table) -> pa.Table:
     """For each candidate of a split, where its chain leaves the split."""
-    split = split.sort_values("place")
-    places, exits = split["place"].tolist(), {}
-    for place, following in zip(reversed(places), reversed(split["next"].tolist())):
-        exits[place] = exits.get(following, following)
-    return split.assign(next=[exits[p] for p in places])[["file", "split", "place", "next"]]
+    split = split.sort_by("place")
+    places, following = split["place"].to_pylist(), split["next"].to_pylist()
+    exits: dict[int, int] = {}
+    for place, onward in zip(reversed(places), reversed(following)):
+        exits[place] = exits.get(onward, onward)
+    return split.select(["file", "split", "place"]).append_column("next", pa.array([exits[p] for p in places], pa.int64()))
 
 
-def _walk(entries: pd.DataFrame, split: pd.DataFrame) -> pd.DataFrame:
+def _walk(entries: pa.Table, split: pa.Table) -> pa.Table:
     """The candidates of a split that its entries reach."""
-    following = dict(zip(split["place"].tolist(), split["next"].tolist()))
+    following = dict(zip(split["place"].to_pylist(), split["next"].to_pylist()))
     found = []
-    for place in entries["place"].tolist():
+    for place in entries["place"].to_pylist():
         while place in following:
             found.append(place)
             place = following.pop(place)
-    return pd.DataFrame({"file": [split["file"].iloc[0]] * len(found) if len(split) else [], "place": found})
+    file = split["file"][0].as_py() if len(split) else None
+    return pa.table({"file": pa.array([file] * len(found), pa.string()), "place": pa.array(found, pa.int64())})
 
 
 def reachable(candidates: DataFrame) -> DataFrame:
     """(file, place) of all records: candidates that the chain from the file's start
     reaches. A split is bounded by the file system, so its chain is one task's work."""
     steps = candidates.where("next IS NOT NULL").select("file", "split", "place", "next")
-    exits = written(steps.groupBy("file", "split").applyInPandas(_exits, "file string, split long, place long, next long"), "exits")
+    exits = written(steps.groupBy("file", "split").applyInArrow(_exits, "file string, split long, place long, next long"), "exits")
     most = steps.select("file", "split").distinct().groupBy("file").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     jumps = exits.select("file", "place", "next")
     entries = exits.where("place = 0").select("file", "place")
@@ -152,7 +154,7 @@ def reachable(candidates: DataFrame) -> DataFrame:
         far = jumps.select("file", F.col("place").alias("next"), F.col("next").alias("far"))
         jumps = written(jumps.join(far, ["file", "next"]).select("file", "place", F.col("far").alias("next")), "jumps")
     located = entries.join(exits.select("file", "split", "place"), ["file", "place"])
-    return located.groupBy("file", "split").cogroup(steps.groupBy("file", "split")).applyInPandas(_walk, "file string, place long")
+    return located.groupBy("file", "split").cogroup(steps.groupBy("file", "split")).applyInArrow(_walk, "file string, place long")
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
