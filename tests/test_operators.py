@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from threadsift import refdata, schemas
@@ -436,6 +437,25 @@ def test_classifier_cannot_add_urls(spark):
     assert [(r["post_url"], r["seq"], r["summary"]) for r in got] == [("https://a.example/2", 1, "s")]
 
 
+@pytest.mark.parametrize("size", [1, 2, 10_000])
+def test_copies_keep_their_own_payload_in_any_batch(spark, size):
+    rows = [{"post_url": f"https://a.example/{i % 2}", "post_title": f"t{i}"} for i in range(6)]
+
+    def predict(batch):
+        out = batch[["post_url"]].assign(summary=batch["post_title"], opportunity="o")
+        out["categories"] = [["OCR"]] * len(out)
+        return out
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        got = records.classify(candidates(spark, *rows).coalesce(1), None, predict).collect()
+    finally:
+        spark.conf.set(name, old)
+    assert sorted((r["seq"], r["summary"]) for r in got) == [(i, f"t{i}") for i in range(6)]
+
+
 def test_classifier_is_not_called_without_candidates(spark):
     def predict(batch):
         raise AssertionError("called")

@@ -65,7 +65,7 @@ def report_window(
     return _top(shown, cap, F.desc("discovered_at"), F.asc("id"))
 
 
-def _list_cap(limit: int | None, ceiling: int | None) -> int:
+def _list_cap(limit: int | None, ceiling: int | None = refdata.LIST_LIMIT_MAX) -> int:
     """Rows a list shows: what the caller asks for, up to the ceiling, if any."""
     wanted = refdata.LIST_LIMIT if limit is None else limit
     return wanted if ceiling is None else min(wanted, ceiling)
