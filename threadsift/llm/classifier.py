@@ -24,10 +24,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import slices, texts
 from .hashing import ODD, TABLE, batch_buffer, is_space, mix, words_of
 
-BUCKETS, DIM = 1 << 18, 8
+BUCKETS, DIM = 1 << 18, 4
 GRAMS = (3, 4, 5)
 WORD_WEIGHT = 4
-TRAIN_ROWS, STEPS, BATCH, RATE = 6000, 1200, 32, 4.0
+TRAIN_ROWS, STEPS, BATCH, RATE = 4000, 800, 32, 4.0
 #: Documents of at least this score are predicted to be good.
 CUTOFF = 0.7
 SLICE = 1 << 20
@@ -76,12 +76,13 @@ def _grams(data: np.ndarray, offsets: np.ndarray, first: int, last: int) -> Iter
 
 def counted(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text, bucket and count of the distinct features of a batch, by text."""
-    keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-    for bucket, owner, weight in features(texts):
-        new, n = np.unique(owner * BUCKETS + bucket, return_counts=True)
-        keys, at = np.unique(np.concatenate([keys, new]), return_inverse=True)
-        counts = np.bincount(at, weights=np.concatenate([counts, n * weight])).astype(np.int64)
-    return keys // BUCKETS, keys % BUCKETS, counts
+    coded = [2 * (owner * BUCKETS + bucket) + (weight > 1) for bucket, owner, weight in features(texts)]
+    coded, n = np.unique(np.concatenate(coded), return_counts=True)
+    n = np.where(coded & 1, n * WORD_WEIGHT, n)
+    keys = coded >> 1
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+    counts = np.add.reduceat(n, first) if len(keys) else n
+    return keys[first] // BUCKETS, keys[first] % BUCKETS, counts
 
 
 def train(
@@ -90,7 +91,7 @@ def train(
     """What each bucket adds to the score's log-odds, and last the constant. rows:
     buckets and shares of the features of each text."""
     rng = np.random.default_rng(seed)
-    vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
+    vectors = rng.uniform(-1 / DIM, 1 / DIM, (DIM, BUCKETS)).astype(np.float32)
     weights, bias = np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32)
     order = np.empty(0, np.int64)
     for step in range(steps):
@@ -105,7 +106,7 @@ def train(
         mean = np.zeros((len(own), DIM), np.float32)
         full = np.flatnonzero(sizes)
         if len(full):
-            mean[full] = np.add.reduceat(vectors[bucket] * share, (np.cumsum(sizes) - sizes)[full])
+            mean[full] = np.add.reduceat(vectors[:, bucket].T * share, (np.cumsum(sizes) - sizes)[full])
         logits = mean @ weights + bias
         odds = np.exp(logits - logits.max(axis=1, keepdims=True))
         error = odds / odds.sum(axis=1, keepdims=True)
@@ -115,11 +116,10 @@ def train(
         weights -= rate * (mean.T @ error)
         bias -= rate * error.sum(axis=0)
         change = back[of] * share * (rate * len(own) / 4)
-        touched, place = np.unique(bucket, return_inverse=True)
         for d in range(DIM):
-            vectors[touched, d] -= np.bincount(place, weights=change[:, d], minlength=len(touched)).astype(np.float32)
+            vectors[d] -= np.bincount(bucket, weights=change[:, d], minlength=BUCKETS).astype(np.float32)
     apart = weights[:, 1] - weights[:, 0]
-    return np.append(vectors @ apart, bias[1] - bias[0]).astype(np.float32)
+    return np.append(apart @ vectors, bias[1] - bias[0]).astype(np.float32)
 
 
 def _trained(batches):
