@@ -13,13 +13,16 @@ components have the probability of the weighted similarity. Points are made in o
 of time, in rounds over all shingles of a batch at once; a process ends as soon as its
 time exceeds all components of its text.
 
-Search. Equal texts are one node from the start. Bands of the signature are keys; in
-each key all nodes are compared with the key's least node, links are joined to
-classes, and then the pairs of nodes that share a key but no class are compared, too.
-So a group of thousands of copies costs one comparison each, and no pair of candidates
-goes unchecked unless its link is known already. Before texts are fetched, a pair is
-dropped if its lengths exclude the similarity or its signatures are six standard
-deviations below it.
+Search. Equal texts are one node from the start. Bands of the signature are keys. In
+a hub round every node of a key is compared with one node of the key, and links are
+joined to classes; the first round's hub is the least node, the next ones' are drawn.
+So a group of thousands of copies costs a few comparisons each. Then the pairs of
+nodes that share a key but no class are left. They are looked through in blocks: nodes
+of a key by length (lengths of a linked pair differ by a fifth at most) and in blocks
+of about ``BLOCK``, each pair of blocks in one row, so that a key's pairs are never rows
+and never one task's. A pair whose lengths exclude the similarity, or whose signatures
+are five standard deviations below it, goes no further; the others are compared by
+their texts. So no pair of candidates goes unchecked unless its link is known already.
 """
 
 from __future__ import annotations
@@ -39,7 +42,9 @@ WORDS, SIMILARITY = 5, 0.8
 ROWS, BANDS = 5, 40
 SIZE = ROWS * BANDS
 #: Least number of equal components (of SIZE) of a pair that is compared by its texts.
-LEAST_EQUAL = int(SIZE * SIMILARITY - 6 * (SIZE * SIMILARITY * (1 - SIMILARITY)) ** 0.5)
+LEAST_EQUAL = int(SIZE * SIMILARITY - 5 * (SIZE * SIMILARITY * (1 - SIMILARITY)) ** 0.5)
+#: Hub rounds, and about how many nodes a block has.
+HUB_ROUNDS, BLOCK = 3, 256
 #: Bytes of text that are worked on at once.
 SLICE = 1 << 21
 
@@ -166,19 +171,76 @@ def _similar_sketches(batches):
         )
 
 
-def _links(pairs: DataFrame, sketches: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are links, written. Texts are fetched for the rest that
-    lengths and signatures leave."""
+def _near(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs (a, b) that lengths and signatures leave, written."""
     own = sketches.select("node", "total", "sketch")
     a, b = (own.select([F.col(c).alias(f"{c}_{s}") for c in own.columns]) for s in "ab")
     wide = pairs.join(a, F.col("a") == F.col("node_a")).join(b, F.col("b") == F.col("node_b"))
     wide = wide.select("a", "b", "total_a", "total_b", "sketch_a", "sketch_b")
-    near = written(wide.mapInArrow(_similar_sketches, "a long, b long"), "near-pairs")
+    return written(wide.mapInArrow(_similar_sketches, "a long, b long"), "near-pairs")
+
+
+def _links(near: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs whose texts are similar enough, written."""
     text = nodes.select("node", "text")
     full = near.join(text.toDF("b", "text_b"), "b").join(text.toDF("a", "text_a"), "a")
     return written(full.select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a long, b long"), "links")
 
 
+def _blocks(open_: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes that share a band and no label and that lengths and
+    signatures leave, written. open_: band, node, total, label."""
+    sized = open_.withColumn("length", F.expr(f"cast(floor(ln(total) / ln({1 / SIMILARITY})) AS int)"))
+    counts = sized.groupBy("band", "length").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    dealt = sized.join(counts, ["band", "length"]).withColumn("block", F.expr("pmod(xxhash64(node), blocks)"))
+    full = dealt.join(sketches.select("node", "sketch", "bands"), "node")
+    group = full.groupBy("band", "length", "block").agg(
+        F.collect_list(F.struct("node", "label", "total", "sketch", "bands")).alias("rows")
+    )
+    group = written(group, "blocks")
+    x, y = (group.select([F.col(c).alias(f"{c}_{s}") for c in group.columns]) for s in "xy")
+    both = x.join(y, (F.col("band_x") == F.col("band_y")) & F.expr(
+        "(length_x = length_y AND block_x <= block_y) OR length_x + 1 = length_y"
+    ))
+    found = both.select("rows_x", "rows_y", "band_x").mapInArrow(_block_pairs, "a long, b long")
+    return written(found.distinct(), "near-pairs")
+
+
+def _block_pairs(batches):
+    """Pairs of two blocks' nodes with different labels that lengths and signatures
+    leave, each at the first band that the two share (which is open, as are all bands
+    that nodes of different labels share)."""
+    for batch in batches:
+        sides = []
+        for column in (batch.column(0), batch.column(1)):
+            rows = column.flatten()
+            sides.append((
+                np.concatenate([[0], np.cumsum(pc.list_value_length(column).to_numpy())]),
+                *(rows.field(n).to_numpy() for n in ("node", "label", "total")),
+                np.frombuffer(b"".join(rows.field("sketch").to_pylist()), np.uint8).reshape(-1, SIZE),
+                rows.field("bands").flatten().to_numpy().reshape(-1, BANDS),
+            ))
+        bands = batch.column(2).to_pylist()
+        out = [np.empty((0, 2), np.int64)]
+        for i in range(batch.num_rows):
+            (a, label_a, total_a, sketch_a, bands_a), (b, label_b, total_b, sketch_b, bands_b) = (
+                [v[s[0][i] : s[0][i + 1]] for v in s[1:]] for s in sides
+            )
+            ok = label_a[:, None] != label_b[None, :]
+            ok &= np.minimum(total_a[:, None], total_b) >= SIMILARITY * np.maximum(total_a[:, None], total_b) - 1e-9
+            p, q = np.nonzero(ok)
+            for at in range(0, len(p), 16384):
+                left, right = p[at : at + 16384], q[at : at + 16384]
+                near = (sketch_a[left] == sketch_b[right]).sum(axis=1) >= LEAST_EQUAL
+                left, right = left[near], right[near]
+                first = (bands_a[left] == bands_b[right]).argmax(axis=1)
+                here = bands_a[left, first] == bands[i]
+                pair = np.stack([a[left[here]], b[right[here]]], axis=1)
+                out.append(np.sort(pair, axis=1))
+        found = np.concatenate(out)
+        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+
+
 def classes(links: DataFrame) -> DataFrame:
     """(node, label): the least node of each node's component, for all nodes that have
     links. Each round takes the least label among neighbours and the label's own
@@ -201,6 +263,13 @@ def classes(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _mixed(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """The bands whose nodes are in several classes, written."""
+    labelled = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    return written(labelled.join(mixed.select("band"), "band"), "open")
+
+
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of the documents: key and class_id, the least key of its class.
 
@@ -214,25 +283,22 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     nodes = written(equal.withColumn("node", F.monotonically_increasing_id()), "nodes")
     sketches = written(nodes.select("node", "text").mapInArrow(_sketches, _SKETCH), "sketches")
     keys = sketches.select("node", "total", F.explode("bands").alias("band"))
-    hubs = keys.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    shared = written(keys.join(hubs.select("band", "hub"), "band"), "shared")
-    first = shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = _links(first, sketches, nodes)
-    labels = classes(links)
-    # pairs that share a band but no class yet
-    labelled = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    open_ = written(labelled.join(mixed.select("band"), "band"), "open")
-    x, y = (open_.select([F.col(c).alias(f"{c}_{s}") for c in open_.columns]) for s in "xy")
-    rest = (
-        x.join(y, (F.col("band_x") == F.col("band_y")) & (F.col("label_x") < F.col("label_y")))
-        .where(f"least(total_x, total_y) >= {SIMILARITY} * greatest(total_x, total_y) - 1e-9")
-        .where("node_x <> hub_x AND node_y <> hub_x")
-        .select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
-    )
-    more = _links(rest, sketches, nodes)
-    if not more.isEmpty():
-        labels = classes(links.union(more))
+    counts = keys.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    shared = written(keys.join(counts.select("band"), "band"), "shared")
+    links = labels = None
+    open_ = shared.withColumn("label", F.col("node"))
+    for turn in range(HUB_ROUNDS):
+        rank = F.struct(F.xxhash64("node", "band", F.lit(turn)) if turn else F.lit(0), "node", "label")
+        hubs = open_.groupBy("band").agg(F.min(rank).alias("hub")).select("band", "hub.node", "hub.label")
+        hubs = hubs.toDF("band", "hub", "hub_label")
+        pairs = open_.join(hubs, "band").where("label <> hub_label").select(
+            F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")
+        ).distinct()
+        found = _links(_near(pairs, sketches), nodes)
+        links = found if links is None else links.unionByName(found)
+        labels = classes(links)
+        open_ = _mixed(shared, labels)
+    labels = classes(links.unionByName(_links(_blocks(open_, sketches), nodes)))
     every = nodes.select("node", "digest", F.col("key").alias("least")).join(labels, "node", "left")
     every = every.select("digest", "least", F.coalesce("label", "node").alias("label"))
     ids = every.groupBy("label").agg(F.min("least").alias("class_id"))
