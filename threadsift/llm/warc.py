@@ -52,8 +52,9 @@ def records(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
     payload = F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8")
     own = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), payload.alias("payload"))
     own = own.withColumn("digest", F.sha1("payload"))
+    # written first, so that Spark knows its size: few revisits don't move the payloads
     found = own.join(
-        roles(own, "key", "payload"), own["key"].eqNullSafe(F.col("__key")) & (own["digest"] == F.col("__digest")), "left"
+        written(roles(own, "key", "payload"), "revisits"), own["key"].eqNullSafe(F.col("__key")) & (own["digest"] == F.col("__digest")), "left"
     )
     revisit = "__to IS NOT NULL"
     name = lambda c: f"concat('<urn:page:', coalesce(cast({c} AS string), 'null'), '>')"
@@ -91,31 +92,50 @@ def _pieces(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _header(name: str) -> Column:
-    return F.regexp_extract("head", rf"(?im)^{name}:[ \t]*([^\r\n]*)", 1)
+#: Header fields that are returned, by name.
+FIELDS = {
+    "type": "WARC-Type", "id": "WARC-Record-ID", "url": "WARC-Target-URI", "refers_to": "WARC-Refers-To",
+    "digest": "WARC-Payload-Digest", "payload_length": "X-Payload-Length",
+}
 
 
-def _candidates(pieces: DataFrame) -> DataFrame:
-    """Pieces with their place and, where a header can be read, the successor's place.
-    Only lengths and headers are shuffled."""
-    own = pieces.select(
-        "file", "split", "row", F.octet_length("value").cast("long").alias("size"),
-        F.expr(f"CASE WHEN contains(value, {_sql(END)}) THEN substring_index(value, {_sql(END)}, 1) END").alias("head"),
+def _parsed(rows: DataFrame, raw: str, derive: dict[str, str]) -> DataFrame:
+    """Adds what the bytes ``raw`` that follow a version line say: the header's size,
+    the block's length, the fields, and the derived columns where the block is whole."""
+    head = rows.withColumn("head", F.expr(
+        f"CASE WHEN contains(cast({raw} AS string), {_sql(END)}) THEN substring_index(cast({raw} AS string), {_sql(END)}, 1) END"
+    ))
+    head = head.withColumns({
+        "size": F.octet_length(raw).cast("long"), "head_size": F.octet_length("head").cast("long"),
+        "length": F.expr("try_cast(regexp_extract(head, '(?im)^Content-Length:[ \\\\t]*([0-9]+)', 1) AS long)"),
+        **{name: F.regexp_extract("head", rf"(?im)^{field}:[ \t]*([^\r\n]*)", 1) for name, field in FIELDS.items()},
+    })
+    head = head.withColumn("whole", F.expr(f"coalesce(size >= head_size + {len(END)} + length, false)"))
+    head = head.withColumn("block", F.expr(
+        f"CASE WHEN whole THEN substring({raw}, cast(head_size AS int) + {len(END) + 1}, cast(length AS int)) END"
+    ))
+    return head.withColumns({f"_{name}": F.expr(f"CASE WHEN whole THEN {sql} END") for name, sql in derive.items()})
+
+
+def _candidates(pieces: DataFrame, derive: dict[str, str]) -> DataFrame:
+    """Pieces with their place and what they say, and, where a header can be read, the
+    successor's place. Of the bytes themselves nothing is shuffled."""
+    own = _parsed(pieces.withColumn("raw", F.col("value").cast("binary")), "raw", derive)
+    own = own.select(
+        "file", "split", "row", "size", "head_size", "length", "whole", *FIELDS, *(f"_{name}" for name in derive)
     )
-    own = own.withColumn("length", F.expr("try_cast(regexp_extract(head, '(?im)^Content-Length:[ \\\\t]*([0-9]+)', 1) AS long)"))
-    own = own.select("file", "split", "row", "size", F.octet_length("head").alias("head"), "length")
     in_split = Window.partitionBy("file", "split").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     step = F.col("size") + len(MAGIC)
     own = own.withColumn("before", F.coalesce(F.sum(step).over(in_split), F.lit(0)))
+    own = written(own, "pieces")
     splits = own.groupBy("file", "split").agg(F.sum(step).alias("all"))  # a row for each split
     in_file = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.select("file", "split", F.coalesce(F.sum("all").over(in_file), F.lit(0)).alias("base"))
     placed = own.join(splits, ["file", "split"]).withColumn("place", F.expr(f"base + before - {len(MAGIC)}"))
     # a file's first piece stands for nothing: no version line is before it
-    return placed.select(
-        "file", "split", "row", "place",
-        F.expr(f"CASE WHEN place >= 0 THEN place + {len(MAGIC)} + head + {len(END)} + length + {len(END)} END").alias("next"),
-    )
+    return placed.drop("base", "before").withColumn("next", F.expr(
+        f"CASE WHEN place >= 0 THEN place + {len(MAGIC)} + head_size + {len(END)} + length + {len(END)} END"
+    ))
 
 
 def _exits(split: pa.Table) -> pa.Table:
@@ -157,36 +177,36 @@ def reachable(candidates: DataFrame) -> DataFrame:
     return located.groupBy("file", "split").cogroup(steps.groupBy("file", "split")).applyInArrow(_walk, "file string, place long")
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
-    """The records of all archives: header fields, block. A file that does not begin
-    with a record has none."""
+def read(spark: SparkSession, folder: str, derive: dict[str, str] | None = None) -> DataFrame:
+    """The records of all archives: file, place, header fields, and the columns that
+    ``derive`` names as SQL over ``block`` and the fields (by default the block). A
+    file that does not begin with a record has none.
+
+    A record that lies between two version lines is read where it is scanned. Only of
+    records with version lines inside are the pieces brought together.
+    """
+    derive = derive or {"block": "block"}
     pieces = _pieces(spark, folder)
-    candidates = written(_candidates(pieces), "candidates")
-    records_ = reachable(candidates).withColumn("record", F.col("place"))
+    candidates = written(_candidates(pieces, derive), "candidates")
+    found = written(reachable(candidates).withColumn("record", F.col("place")), "records")
+    shown = [*FIELDS, *(F.col(f"_{name}").alias(name) for name in derive)]
+    single = candidates.where("whole").join(found, ["file", "place"]).select("file", "record", *shown)
     # a piece belongs to the last record that begins at or before it
     in_file = Window.partitionBy("file").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    owned = candidates.join(records_, ["file", "place"], "left").withColumn(
-        "record", F.last("record", ignorenulls=True).over(in_file)
-    ).where("record IS NOT NULL").select("file", "split", "row", "place", "record")
-    whole = pieces.join(owned, ["file", "split", "row"]).groupBy("file", "record").agg(
+    owned = (
+        candidates.select("file", "split", "row", "place", "whole").join(found, ["file", "place"], "left")
+        .withColumn("split_up", F.last(F.when(F.col("record").isNotNull(), ~F.col("whole")), ignorenulls=True).over(in_file))
+        .withColumn("record", F.last("record", ignorenulls=True).over(in_file))
+        .where("record IS NOT NULL AND split_up").select("file", "split", "row", "place", "record")
+    )
+    gathered = pieces.join(written(owned, "parts"), ["file", "split", "row"]).groupBy("file", "record").agg(
         F.array_sort(F.collect_list(F.struct("place", F.col("value").cast("binary").alias("value")))).alias("parts")
     )
-    # the blank lines that end the record are no part of it
-    body = whole.withColumn("raw", F.expr(
+    raw = gathered.select("file", "record", F.expr(
         f"""aggregate(slice(parts, 2, size(parts)), parts[0].value,
             (a, p) -> concat(a, cast({_sql(MAGIC)} AS binary), p.value))"""
-    ))
-    head = body.withColumn("head", F.expr(f"substring_index(cast(raw AS string), {_sql(END)}, 1)"))
-    return head.select(
-        "file", "record", _header("WARC-Type").alias("type"), _header("WARC-Record-ID").alias("id"),
-        _header("WARC-Target-URI").alias("url"), _header("WARC-Refers-To").alias("refers_to"),
-        _header("WARC-Payload-Digest").alias("digest"), _header("X-Payload-Length").alias("payload_length"),
-        F.expr(f"substring(raw, octet_length(head) + {len(END) + 1}, cast({_length()} AS int))").alias("block"),
-    )
-
-
-def _length() -> str:
-    return "regexp_extract(head, '(?im)^Content-Length:[ \\\\t]*([0-9]+)', 1)"
+    ).alias("raw"))
+    return single.unionByName(_parsed(raw, "raw", derive).where("whole").select("file", "record", *shown))
 
 
 def write_read(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -199,11 +219,11 @@ def write_read(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
     write(pages, folder, key, url, html)
     kind = pages.schema[key].dataType.simpleString()
     number = lambda c: f"try_cast(regexp_extract({c}, '^<urn:page:(.*)>$', 1) AS {kind})"
-    got = read(spark, folder).withColumn("payload", F.expr(f"substring(block, {len(_HTTP) + 1}, octet_length(block))"))
-    return got.select(
-        F.expr(number("id")).alias(key),
-        F.expr("CASE WHEN type = 'revisit' THEN cast(payload_length AS long) ELSE cast(octet_length(payload) AS long) END").alias("payload_bytes"),
-        F.expr("CASE WHEN type = 'revisit' THEN replace(digest, 'sha1:', '') ELSE sha1(payload) END").alias("payload_digest"),
-        F.col("type").alias("record_type"),
-        F.expr(f"CASE WHEN type = 'revisit' THEN {number('refers_to')} END").alias("refers_to"),
-    )
+    payload = f"substring(block, {len(_HTTP) + 1}, octet_length(block))"
+    return read(spark, folder, {
+        key: number("id"),
+        "payload_bytes": f"CASE WHEN type = 'revisit' THEN cast(payload_length AS long) ELSE cast(octet_length({payload}) AS long) END",
+        "payload_digest": f"CASE WHEN type = 'revisit' THEN replace(digest, 'sha1:', '') ELSE sha1({payload}) END",
+        "record_type": "type",
+        "refers": f"CASE WHEN type = 'revisit' THEN {number('refers_to')} END",
+    }).select(key, "payload_bytes", "payload_digest", "record_type", F.col("refers").alias("refers_to"))
