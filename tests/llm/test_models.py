@@ -216,6 +216,23 @@ def test_odd_rows(odd, empty, no_labels):
         assert made.count() == 0
 
 
+def test_one_row_of_each_class_stays(spark, odd):
+    """Repeated rows, a key with several texts and rows without a key, each beside a
+    key that holds a third of the rows."""
+    found = neardup.kept(odd)
+    assert found.columns == odd.columns
+    rows = found.collect()
+    assert sorted((r["doc_id"] or 0) for r in rows) == [0, 1, 3, 5, 6, 7, 8]
+    assert next(r for r in rows if r["doc_id"] == 1)["text"] is None
+    hot = " ".join(f"hot{i}" for i in range(40))
+    other, alone, third = (hot.replace("hot", w) for w in ("other", "alone", "third"))
+    rows = [(5, hot, "a")] * 20 + [(5, other, "b"), (2, other, "c"), (5, third, "d"), (9, third + " end", "e")]
+    rows += [(None, other, "f"), (None, alone, "g"), (None, alone, "g")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = sorted((r["source"], r["doc_id"], r["text"]) for r in neardup.kept(df).collect())
+    assert got == [("a", 5, hot), ("c", 2, other), ("d", 5, third), ("g", None, alone)]
+
+
 def test_pipeline_stages(spark, documents):
     df, texts = documents
     docs, seen = df, set(texts)

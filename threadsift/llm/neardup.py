@@ -30,7 +30,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import written
 from .common import slices
@@ -270,17 +270,24 @@ def _mixed(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return written(labelled.join(mixed.select("band"), "band"), "open")
 
 
-def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of the documents: key and class_id, the least key of its class.
-
-    Null texts are empty ones. Rows with a null key are grouped by their text like the
-    others; a class of such rows only has the id null. Repeated rows give repeated
-    rows; other columns are not read.
-    """
-    own = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    digest = F.sha2("text", 256).alias("digest")
-    equal = own.groupBy(digest).agg(F.min("key").alias("key"), F.any_value("text").alias("text"))
+def _nodes(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """One node for each distinct text, written: its digest, its text and, as
+    ``row_*``, the row that bears it and has the least key (a null key comes last; among
+    rows of one key, the least of the other columns)."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (key, text)]
+    rank = [F.col(key).isNull(), F.col(key), *([F.to_json(F.struct(*others))] if others else [])]
+    row = F.min_by(F.struct(*(F.col(f"`{c}`").alias(f"row_{c}") for c in docs.columns)), F.struct(*rank))
+    equal = docs.groupBy(_digest(text)).agg(row.alias("row")).select("digest", "row.*")
     nodes = written(equal.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    return nodes.withColumn("text", F.coalesce(f"`row_{text}`", F.lit("")))
+
+
+def _digest(text: str) -> Column:
+    return F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("digest")
+
+
+def _labelled(nodes: DataFrame, key: str) -> DataFrame:
+    """Node, digest, least key and label, the least node of its class, of every node."""
     sketches = written(nodes.select("node", "text").mapInArrow(_sketches, _SKETCH), "sketches")
     keys = sketches.select("node", "total", F.explode("bands").alias("band"))
     counts = keys.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
@@ -299,18 +306,28 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         labels = classes(links)
         open_ = _mixed(shared, labels)
     labels = classes(links.unionByName(_links(_blocks(open_, sketches), nodes)))
-    every = nodes.select("node", "digest", F.col("key").alias("least")).join(labels, "node", "left")
-    every = every.select("digest", "least", F.coalesce("label", "node").alias("label"))
+    every = nodes.select("node", "digest", F.col(f"`row_{key}`").alias("least")).join(labels, "node", "left")
+    return every.withColumn("label", F.coalesce("label", "node"))
+
+
+def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of the documents: key and class_id, the least key of its class.
+
+    Null texts are empty ones. Rows with a null key are grouped by their text like the
+    others; a class of such rows only has the id null. Repeated rows give repeated
+    rows; other columns are not read.
+    """
+    own = docs.select(key, text)
+    every = _labelled(_nodes(own, key, text), key)
     ids = every.groupBy("label").agg(F.min("least").alias("class_id"))
     named = every.join(ids, "label").select("digest", "class_id")
-    return own.select("key", digest).join(named, "digest").select(F.col("key").alias(key), "class_id")
+    return own.select(key, _digest(text)).join(named, "digest").select(key, "class_id")
 
 
 def kept(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with one of each class: that with the least key. Rows of equal
-    keys stay or go together unless they are equal rows, of which one stays; rows with
-    a null key stay if no row of their class has a key."""
-    return docs.join(
-        groups(docs, key, text).where(f"`{key}` <=> class_id").select(F.col(key).alias("__key")).distinct(),
-        F.col(key).eqNullSafe(F.col("__key")), "left_semi",
-    )
+    """One row of each class, with its columns: that with the least key, null keys last.
+    Of several texts or rows with that key in the class only one stays."""
+    nodes = _nodes(docs, key, text)
+    least = F.min(F.struct(F.col("least").isNull(), "least", "digest", "node")).alias("least")
+    chosen = _labelled(nodes, key).groupBy("label").agg(least).select("least.node")
+    return nodes.join(chosen, "node", "left_semi").select(*(F.col(f"`row_{c}`").alias(c) for c in docs.columns))
