@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -198,6 +199,17 @@ def test_training_never_sees_held_out_rows(documents, labels):
     assert (a == b).all()
 
 
+def test_a_repeated_key_takes_no_other_keys_place(spark):
+    keys = [k for k in range(60) if zlib.crc32(str(k).encode()) % 4 != 2]
+    kind = "doc_id long, text string"
+    docs = [(k, f"{'fine' if k % 2 else 'bad'} words {k} here") for k in keys]
+    labels = spark.createDataFrame([(k, k % 2) for k in keys], "doc_id long, quality int")
+    once = classifier.fit(spark.createDataFrame(docs, kind), labels, rows=len(keys))
+    for hot in docs[:4]:
+        many = spark.createDataFrame(docs + [hot] * (len(docs) // 2), kind).repartition(3)
+        assert (classifier.fit(many, labels, rows=len(keys)) == once).all()
+
+
 def test_features_are_the_same_in_slices(monkeypatch):
     texts = pa.array(["Und Und der", "", "a\nb c" * 30, "éé |"])
     model = np.random.default_rng(1).normal(size=classifier.BUCKETS + 1).astype(np.float32)

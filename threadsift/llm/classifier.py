@@ -5,8 +5,8 @@ is one and the same pair for all words) and the runs of three to five bytes with
 words (with the blank on either side), each hashed to one of ``BUCKETS`` vectors. Their
 average, with words and pairs counting ``WORD_WEIGHT`` times, goes through a softmax of two classes. Vectors and
 weights are trained by stochastic gradient descent in numpy, in one task, on at most
-``TRAIN_ROWS`` labelled documents: those of the least key hashes among the rows whose
-key's checksum modulo 4 is not 2. Only key-free text is seen.
+``TRAIN_ROWS`` labelled documents: one row of each of the least key hashes among the keys
+whose checksum modulo 4 is not 2. Only key-free text is seen.
 
 As the average goes into a linear layer, scoring needs one number for each bucket;
 this table (one megabyte) is what the tasks receive. Scoring is one narrow pass over
@@ -146,9 +146,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         .orderBy(F.xxhash64("__key"), "__key").limit(rows)
     )
     chosen = texts(docs, key, text).join(F.broadcast(known), F.col(key) == F.col("__key"))  # `rows` keys at most
-    # repeated rows must not lift the bound
-    sample = chosen.orderBy(F.xxhash64("__key"), "__key", F.xxhash64(text)).limit(rows).select(text, "label")
-    found = sample.repartition(1).mapInArrow(_trained, "model binary").collect()  # a megabyte
+    # one row of each key, so that a repeated key takes no other key's place
+    least = F.min_by(F.struct(F.col(text).alias("text"), "label"), F.struct(F.xxhash64(text), text)).alias("row")
+    sample = chosen.groupBy("__key").agg(least).repartition(1).sortWithinPartitions(F.xxhash64("__key"), "__key")
+    found = sample.select("row.text", "row.label").mapInArrow(_trained, "model binary").collect()  # a megabyte
     return np.frombuffer(found[0]["model"], np.float32) if found else np.zeros(BUCKETS + 1, np.float32)
 
 
