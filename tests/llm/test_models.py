@@ -210,6 +210,10 @@ def test_a_repeated_key_takes_no_other_keys_place(spark):
         assert (classifier.fit(many, labels, rows=len(keys)) == once).all()
 
 
+def test_training_has_its_whole_extent():
+    assert (classifier.DIM, classifier.TRAIN_ROWS, classifier.STEPS * classifier.BATCH) == (8, 6000, 38_400)
+
+
 def test_features_are_the_same_in_slices(monkeypatch):
     texts = pa.array(["Und Und der", "", "a\nb c" * 30, "éé |"])
     model = np.random.default_rng(1).normal(size=classifier.BUCKETS + 1).astype(np.float32)
