@@ -277,6 +277,48 @@ def test_limited_stream_goes_on_where_it_ended(spark, tmp_path):
     assert got == sorted(expected)
 
 
+def test_limited_stream_walks_thinned_keys_without_payload(spark, tmp_path, monkeypatch):
+    """A key with most rows is thinned; late rows are judged on arrival; whole tables
+    of times and those of single micro-batches give the same."""
+    import numpy as np
+    import pandas as pd
+
+    from tests.test_ratelimit import State
+
+    thinned, thin = [], intake.ratelimit.thin
+
+    def counted(events, *options):
+        left = thin(events, *options)
+        thinned.append((events.columns, events.count(), left.count()))
+        return left
+
+    monkeypatch.setattr(intake.ratelimit, "thin", counted)
+    monkeypatch.setattr(intake, "WHOLE_EVERY", 2)
+    landing, out, check = (str(tmp_path / n) for n in ("landing", "out", "check"))
+    second, rng, expected = 1_000_000, np.random.default_rng(2), set()
+    states, rule = {k: State() for k in "abc"}, intake.limiter(3, 500 * second, ["_id"])
+    for lo, start in ((0, 0), (2000, 900), (4000, 300), (6000, 1500), (8000, 1400)):
+        rows = [
+            (k, int(t), i) for i, (k, t) in enumerate(
+                zip(rng.choice(["a", "a", "a", "b"] + ["c"] * (lo == 0), 2000), start + rng.integers(0, 1000, 2000)), lo
+            )
+        ]
+        frame = spark.createDataFrame([(str(k), t, i) for k, t, i in rows], "k string, s long, n long")
+        frame.selectExpr("k", "timestamp_seconds(s) AS t", "n", "repeat('payload', 9) AS p").write.mode("append").parquet(landing)
+        stream = landed.report_stream(spark, landing, "k string, t timestamp, n long, p string")
+        intake.limited_stream(
+            stream, out, check, keys=["k"], at="t", order="n", cap=3, window_seconds=500
+        ).awaitTermination()
+        for k in "abc":
+            own = pd.DataFrame([(t * second, i) for x, t, i in rows if x == k], columns=["_t", "_id"])
+            if len(own):
+                expected |= {int(i) for part in rule((k,), iter([own]), states[k]) for i in part["_id"]}
+    got = spark.read.parquet(out).collect()
+    assert {r["n"] for r in got} == expected and len(got) == len(expected)
+    assert all(r["p"] == "payload" * 9 for r in got)
+    assert len(thinned) == 5 and all(c == ["_k", "_t", "_id"] and left < 100 for c, _, left in thinned)
+
+
 def _limited(seconds, cap=2, window=10):
     kept = []
     for n in seconds:

@@ -1,8 +1,8 @@
 """Error reports as a stream: repeats, hourly rate, digests.
 
-The rate limit keeps the last ``cap`` accepted times of each key in Spark's own state,
-which Spark checkpoints with the query: a key without new rows costs nothing, and a
-micro-batch that is repeated after a failure finds the state it began with.
+The rate limit keeps the last ``cap`` accepted times of each key beside the query's
+checkpoint, by micro-batch: one that is repeated after a failure finds the state it
+began with.
 """
 
 from __future__ import annotations
@@ -11,16 +11,19 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.state import GroupState
+from pyspark.sql.types import StructType
 
 from ..operators import errors, ratelimit
+from ..session import written
 
 
 def limiter(cap: int, window_us: int, columns: list[str], keep_ms: int | None = None) -> Callable:
-    """What the stream does with the new rows of one key (``_t``, ``_id``, payload) and
-    the key's last accepted times.
+    """The rule of the stream, for the new rows of one key (``_t``, ``_id``, payload) and
+    the key's last accepted times, as a function of Spark's state: for keys with few
+    rows, as it takes them whole. ``limited_stream`` gives the same rows without that.
 
     Arrival counts: a row older than the key's last accepted one is judged as if it
     came at that time.
@@ -44,6 +47,44 @@ def limiter(cap: int, window_us: int, columns: list[str], keep_ms: int | None =
     return run
 
 
+#: Micro-batches between two whole tables of accepted times.
+WHOLE_EVERY = 32
+_TIMES = "_k string, times array<bigint>, seen timestamp, number long"
+_FIRST_ID = -(2**63)
+
+
+class _Times:
+    """The last accepted times of each key, below the checkpoint. A micro-batch writes
+    those of the keys it saw, every ``WHOLE_EVERY``-th one those of all keys, so reading
+    opens the folders since the last whole table. A repeated micro-batch reads earlier
+    ones only and replaces its own."""
+
+    def __init__(self, root: str, keep_seconds: float | None):
+        self.root, self.keep = f"{root}/accepted-times", keep_seconds
+
+    def _folder(self, number: int) -> str:
+        return f"{self.root}/number={number}"
+
+    def before(self, spark: SparkSession, number: int) -> DataFrame:
+        whole = max(number - 1, 0) // WHOLE_EVERY * WHOLE_EVERY
+        schema = StructType.fromDDL(_TIMES)
+        if number == 0:
+            return spark.createDataFrame([], schema)
+        every = spark.read.schema(schema).parquet(*map(self._folder, range(whole, number)))
+        last = every.groupBy("_k").agg(F.max(F.struct("number", "times", "seen")).alias("last"))
+        last = last.select("_k", "last.times", "last.seen", "last.number")
+        if self.keep is None:
+            return last
+        return last.where(F.current_timestamp().cast("double") - F.col("seen").cast("double") < self.keep)
+
+    def write(self, after: DataFrame, held: DataFrame, number: int) -> None:
+        """after: the times of the keys of this micro-batch; held: those before it."""
+        new = after.select("_k", "times", F.current_timestamp().alias("seen"), F.lit(number).cast("long").alias("number"))
+        if number and number % WHOLE_EVERY == 0:
+            new = new.unionByName(held.join(after, "_k", "left_anti"))
+        new.write.mode("overwrite").parquet(self._folder(number))
+
+
 def limited_stream(
     stream: DataFrame,
     out: str,
@@ -56,26 +97,43 @@ def limited_stream(
     window_seconds: float,
     keep_seconds: float | None = None,
 ) -> StreamingQuery:
-    """Appends the accepted rows of a stream to the files in ``out`` until the landed
-    files are used up. ``order`` is a unique number. ``keep_seconds`` lets Spark drop a
-    key's state when no row of it came for so long on the clock; rows that come later
-    find no earlier one. Without it all keys are kept."""
-    window_us = int(window_seconds * 1_000_000)
-    timeout = GroupStateTimeout.NoTimeout if keep_seconds is None else GroupStateTimeout.ProcessingTimeTimeout
-    keep_ms = None if keep_seconds is None else int(keep_seconds * 1000)
-    numbered = stream.withColumns({
-        "_k": F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}),
-        "_t": F.unix_micros(F.col(at).cast("timestamp")),
-        "_id": F.col(order).cast("long"),
-    })
-    accepted = numbered.groupBy("_k").applyInPandasWithState(
-        limiter(cap, window_us, stream.columns, keep_ms), stream.schema, "times array<bigint>", "append", timeout
-    )
+    """Writes the accepted rows of a stream to ``out/batch=N`` until the landed files
+    are used up. ``order`` is a unique number. ``keep_seconds`` drops a key's state when
+    no row of it came for so long on the clock; rows that come later find no earlier
+    one. Without it all keys are kept.
+
+    A micro-batch is judged like a table: the last ``cap`` accepted times of its keys go
+    before its own rows, ``ratelimit.thin`` drops in parallel what is certainly refused,
+    and (key, time, id) of the rest are walked as a stream of Arrow batches. A task holds
+    one Arrow batch and ``cap`` times of a key; it walks the rows of those slots of the
+    key that may hold an accepted one. Payload meets the accepted ids by ``order``."""
+    times = _Times(checkpoint, keep_seconds)
+
+    def take(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        rows = ratelimit.keyed(batch, keys, at, order)
+        held = written(times.before(spark, number), "held-times")
+        last = held.select("_k", F.element_at("times", -1).alias("_last"))
+        arrived = written(rows.join(last, "_k", "left"), "arrived")
+        # rows older than the last accepted one are judged at that time, at which none but
+        # the first `cap` of them can be accepted
+        by_id = F.row_number().over(Window.partitionBy("_k").orderBy("_id"))
+        late = arrived.where("_t < _last").withColumn("_n", by_id).where(F.col("_n") <= cap)
+        new = arrived.where("_last IS NULL OR _t >= _last").select("_k", "_t", "_id")
+        new = new.union(late.select("_k", "_last", "_id"))
+        own = held.join(arrived.select("_k").distinct(), "_k", "left_semi")
+        old = own.select("_k", F.posexplode("times").alias("_id", "_t")).select("_k", "_t", F.col("_id") + F.lit(_FIRST_ID))
+        accepted = written(ratelimit.accepted_keys(new.union(old), cap, window_seconds), "accepted")
+        ids = accepted.where(F.col("_id") >= _FIRST_ID + cap).select("_id")
+        fresh = batch.join(ids, F.col(order).cast("long") == F.col("_id"), "left_semi")
+        fresh.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        newest = F.row_number().over(Window.partitionBy("_k").orderBy(F.desc("_t"), F.desc("_id")))
+        tail = accepted.withColumn("_n", newest).where(F.col("_n") <= cap)
+        times.write(tail.groupBy("_k").agg(F.sort_array(F.collect_list("_t")).alias("times")), held, number)
+
     return (
-        accepted.writeStream.format("parquet")
-        .option("path", out)
+        stream.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
