@@ -57,6 +57,25 @@ HARD = [
 ]
 
 
+def test_private_keys_are_found_whole(spark):
+    line = "MIIEvQ+/" * 8
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    head = "\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0F0F\n"
+    keys = [
+        f"{begin}\n{line}\n{line}\nab12==\n{end}", f"{begin}{head}\n{line}\nab1\n{end}",
+        rf"{begin}\n{line}\nab12=\n{end}\n".removesuffix(r"\n"), f"{begin}\r\n{line}\r\n{line}\r\nab==",
+        f"{begin}{head}\n{line}\nab12", begin + f"\n{line}" * 20_000, begin + "\n-x" * 20_000 + end, begin,
+    ]
+    texts = [f"é {k}\n\nSome words after it, {begin}. More." for k in keys]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pem = [r for r in secrets.RULES if r.kind == "pem"]
+    for r in secrets.with_secrets(df, rules=pem).collect():
+        spans, text = [(s["start"], s["end"]) for s in r["secrets"]], r["text"]
+        assert spans[0] == (2, 2 + len(keys[r["doc_id"]])), r["doc_id"]
+        assert [text[a:b] for a, b in spans[1:]] == [begin]
+    assert secrets.trigram_query(pem[0].pattern) == secrets.trigram_query("-----BEGIN [A-Z ]*PRIVATE KEY-----")
+
+
 @pytest.fixture(scope="module")
 def hard(spark):
     return spark.createDataFrame(list(enumerate(HARD)), "doc_id long, text string")

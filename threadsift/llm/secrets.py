@@ -42,13 +42,21 @@ BASE = [
     Rule("access", r"AKIA[A-Z0-9]+", "char_length(s.value) >= 20"),
     Rule("hex", r"(?<![0-9a-f])[0-9a-f]{24,}"),
 ]
+# A private key runs to its END line, or, where that is missing, over the lines of base64
+# (also where line ends are escaped). Possessive groups need no stack, however long it is.
+_BEGIN = r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+_TO_END = r"[^-]*+(?:-(?!----)[^-]*+)*+-----END [A-Z ]*PRIVATE KEY-----"
+_LINES = (
+    r"(?:\s*+(?:Proc-Type|DEK-Info):[^\r\n]*+)*+(?:[\s\\]++[A-Za-z0-9+/=]{24,}+)++"
+    r"(?:[\s\\]++[A-Za-z0-9+/]++={1,2}|\r?\n[A-Za-z0-9+/]++(?=\s*$|\r?\n))?"
+)
 MORE = [
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[0-9A-Za-z_-]{35}"),
     Rule("stripe", r"sk_live_[0-9A-Za-z]{24,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("pem", f"{_BEGIN}(?:{_TO_END}|{_LINES})?"),
 ]
 RULES = BASE + MORE
 
