@@ -262,3 +262,49 @@ def test_pipeline_stages(spark, documents):
     assert {r["doc_id"] for r in rows} == seen and 100 < len(seen) < len(texts)
     classes = plain_classes({k: texts[k] for k in seen})
     assert set(classes.values()) == seen
+
+
+def test_blocks_find_every_link(spark, monkeypatch):
+    """Groups around the similarity, dealt into blocks of a few nodes each."""
+    rng = np.random.default_rng(12)
+    word = lambda: f"w{rng.integers(0, 4000)}"
+    texts = []
+    for share, size in ((0.02, 30), (0.03, 30), (0.045, 20)):
+        base = [word() for _ in range(110)]
+        texts += [" ".join(word() if rng.random() < share else w for w in base[: 110 - i % 9]) for i in range(size)]
+    texts = {i: t for i, t in enumerate(texts)}
+    want = plain_classes(texts)
+    assert 3 < len(set(want.values())) < len(texts)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for block, hops in ((256, 2), (4, 2), (3, 0)):
+        monkeypatch.setattr(neardup, "BLOCK", block)
+        monkeypatch.setattr(neardup, "HOPS", hops)
+        assert {r["doc_id"]: r["class_id"] for r in neardup.groups(df).collect()} == want
+
+
+def test_a_group_returns_no_more_links_than_join_it():
+    rng = np.random.default_rng(2)
+    base = [f"w{x}" for x in range(300)]
+    texts = [" ".join(base[:i] + [f"x{i}"] + base[i + 1 :]) for i in range(40)] + ["a b c d e f g"] * 2
+    value, of = neardup.shingles(pa.array(texts))
+    total = np.bincount(of, minlength=len(texts))
+    _, points = neardup.signatures(*neardup.multisets(value, of), len(texts))
+    keys = np.repeat(np.arange(len(texts)) < 40, neardup.BANDS).reshape(len(texts), -1).astype(np.int64)
+    label = np.array([*range(100, 140), 7, 7])
+    for sides in (np.zeros(42, np.int64), rng.integers(0, 2, 42)):
+        rows = pa.table({
+            "side": sides, "label": label, "total": total, "bands": pa.array(list(keys), pa.list_(pa.int64())),
+            "sketch": [p.tobytes() for p in points.astype(np.uint8)], "text": texts,
+        })
+        found = neardup._group_links(rows).to_pylist()
+        assert len(found) == 39
+        parent = {x: x for x in label.tolist()}
+
+        def top(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for r in found:
+            parent[top(r["a"])] = top(r["b"])
+        assert len({top(x) for x in parent}) == 2

@@ -13,16 +13,23 @@ components have the probability of the weighted similarity. Points are made in o
 of time, in rounds over all shingles of a batch at once; a process ends as soon as its
 time exceeds all components of its text.
 
-Search. Equal texts are one node from the start. Bands of the signature are keys. In
-a hub round every node of a key is compared with one node of the key, and links are
-joined to classes; the first round's hub is the least node, the next ones' are drawn.
-So a group of thousands of copies costs a few comparisons each. Then the pairs of
-nodes that share a key but no class are left. They are looked through in blocks: nodes
-of a key by length (lengths of a linked pair differ by a fifth at most) and in blocks
-of about ``BLOCK``, each pair of blocks in one row, so that a key's pairs are never rows
-and never one task's. A pair whose lengths exclude the similarity, or whose signatures
-are five standard deviations below it, goes no further; the others are compared by
-their texts. So no pair of candidates goes unchecked unless its link is known already.
+Search. Equal texts are one node from the start. Bands of the signature are keys. First
+every node of a key is compared with one node of the key, its hub, which is the least; a
+group of thousands of copies so costs a few comparisons each. A node's label is its least
+linked hub (and that one's, twice over), so nodes of one label are known to be in one
+class. Then the pairs that share a key but no label are left, unless the key has two
+nodes only. For them, nodes are dealt into blocks: a node's home is the most frequent key
+that it reaches over keys, nodes of one home are put together, small homes many to a
+block, large ones cut by length and then by hash into blocks of about ``BLOCK``. Two
+blocks that hold nodes of one key, of lengths that can be similar, are a pair of blocks, as
+is each block with itself; each pair of blocks is a group of its own, with the nodes' texts,
+signatures and keys, and every pair of nodes meets in one group only, whatever number of
+keys it shares. There, a pair that shares no key, or whose lengths exclude the similarity,
+or whose signatures are five standard deviations below it, goes no further; for the
+others the multisets are compared by sparse sums of minima. A group returns links between
+labels, and of these only as many as join them, so that neither pairs of candidates nor
+links between all members of a class are ever rows. No pair of candidates goes unchecked
+unless both are known to be in one class.
 """
 
 from __future__ import annotations
@@ -43,8 +50,9 @@ ROWS, BANDS = 5, 40
 SIZE = ROWS * BANDS
 #: Least number of equal components (of SIZE) of a pair that is compared by its texts.
 LEAST_EQUAL = int(SIZE * SIMILARITY - 5 * (SIZE * SIMILARITY * (1 - SIMILARITY)) ** 0.5)
-#: Hub rounds, and about how many nodes a block has.
-HUB_ROUNDS, BLOCK = 3, 256
+#: About how many nodes a block has, and how many shingles; and how many times a node
+#: takes over the home of the nodes with which it shares a key.
+BLOCK, BLOCK_SHINGLES, HOPS = 256, 1 << 18, 2
 #: Bytes of text that are worked on at once.
 SLICE = 1 << 21
 
@@ -187,58 +195,118 @@ def _links(near: DataFrame, nodes: DataFrame) -> DataFrame:
     return written(full.select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a long, b long"), "links")
 
 
-def _blocks(open_: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes that share a band and no label and that lengths and
-    signatures leave, written. open_: band, node, total, label."""
-    sized = open_.withColumn("length", F.expr(f"cast(floor(ln(total) / ln({1 / SIMILARITY})) AS int)"))
-    counts = sized.groupBy("band", "length").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    dealt = sized.join(counts, ["band", "length"]).withColumn("block", F.expr("pmod(xxhash64(node), blocks)"))
-    full = dealt.join(sketches.select("node", "sketch", "bands"), "node")
-    group = full.groupBy("band", "length", "block").agg(
-        F.collect_list(F.struct("node", "label", "total", "sketch", "bands")).alias("rows")
+def _compared(own: tuple[np.ndarray, ...], p: np.ndarray, q: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
+    """Links of labels that the pairs (p, q) of texts make, only as many as join the labels.
+    own: the multisets of all texts, ascending by text."""
+    value, of, count = own
+    value = np.unique(value, return_inverse=True)[1]
+    n = len(label)
+    start, total = np.searchsorted(of, np.arange(n + 1)), np.bincount(of, weights=count, minlength=n)
+    names, root = np.unique(label, return_inverse=True)
+    member, tree, links = root.copy(), np.arange(len(names)), []
+    weight = np.zeros(value.max(initial=-1) + 1)
+    for i, others in zip(*_by_first(p, q)):
+        others = others[tree[member[others]] != tree[member[i]]]
+        if not len(others):
+            continue
+        mine = slice(start[i], start[i + 1])
+        weight[value[mine]] = count[mine]
+        size = start[others + 1] - start[others]
+        first = np.cumsum(size) - size
+        at = np.repeat(start[others] - first, size) + np.arange(size.sum())
+        shared = np.add.reduceat(np.minimum(count[at], weight[value[at]]), first)
+        weight[value[mine]] = 0
+        for j in others[shared >= SIMILARITY * (total[i] + total[others] - shared) - 1e-9]:
+            x, y = tree[member[i]], tree[member[j]]
+            if x != y:
+                tree[tree == y] = x
+                links.append((int(label[i]), int(label[j])))
+    return links
+
+
+def _by_first(p: np.ndarray, q: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    order = np.argsort(p, kind="stable")
+    first, at = np.unique(p[order], return_index=True)
+    return first.tolist(), np.split(q[order], at[1:])
+
+
+def _group_links(rows: pa.Table) -> pa.Table:
+    """Links of labels between the two sides of a pair of blocks, or inside the one block."""
+    rows = rows.combine_chunks()
+    label, total, side = (rows[c].to_numpy() for c in ("label", "total", "side"))
+    sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(-1, SIZE)
+    bands = np.concatenate([c.flatten().to_numpy() for c in rows["bands"].chunks]).reshape(-1, BANDS)
+    left = np.flatnonzero(side == 0)
+    right = np.flatnonzero(side == 1) if side.any() else left
+    ok = np.zeros((len(left), len(right)), bool)
+    for k in range(BANDS):
+        ok |= bands[left, k][:, None] == bands[right, k]
+    ok &= label[left][:, None] != label[right]
+    ok &= np.minimum(total[left][:, None], total[right]) >= SIMILARITY * np.maximum(total[left][:, None], total[right]) - 1e-9
+    if right is left:
+        ok = np.triu(ok, 1)
+    p, q = np.nonzero(ok)
+    p, q = left[p], right[q]
+    near = np.zeros(len(p), bool)
+    for at in range(0, len(p), 16384):
+        cut = slice(at, at + 16384)
+        near[cut] = (sketch[p[cut]] == sketch[q[cut]]).sum(axis=1) >= LEAST_EQUAL
+    p, q = p[near], q[near]
+    needed, of = np.unique(np.concatenate([p, q]), return_inverse=True)
+    if not len(needed):
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    texts = pc.take(rows["text"], pa.array(needed)).combine_chunks()
+    found = _compared(multisets(*shingles(_lower(texts))), of[: len(p)], of[len(p) :], label[needed])
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+
+def _homes(open_: DataFrame) -> DataFrame:
+    """(node, home) of all open nodes: the most frequent key that a node reaches."""
+    home = open_.groupBy("node").agg(F.max(F.struct("n", "band")).alias("home"))
+    for _ in range(HOPS):
+        around = open_.select("node", "band").join(home, "node").groupBy("band").agg(F.max("home").alias("home"))
+        home = open_.select("node", "band").join(around, "band").groupBy("node").agg(F.max("home").alias("home"))
+    return home.select("node", F.col("home.band").alias("home"))
+
+
+def _dealt(open_: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(node, block) of all open nodes, written."""
+    sized = _homes(open_).join(sketches.select("node", "total"), "node")
+    sized = written(sized.withColumn("length", F.expr(f"cast(floor(ln(total) / ln({1 / SIMILARITY})) AS int)")), "homes")
+    whole = sized.groupBy("home").agg(F.count("*").alias("members"), F.sum("total").alias("mass"))
+    large = whole.where(f"members > {BLOCK} OR mass > {BLOCK_SHINGLES}").select("home", F.lit(True).alias("large"))
+    parts = sized.join(large, "home").groupBy("home", "length").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("total") / BLOCK_SHINGLES)).alias("parts")
     )
-    group = written(group, "blocks")
-    x, y = (group.select([F.col(c).alias(f"{c}_{s}") for c in group.columns]) for s in "xy")
-    both = x.join(y, (F.col("band_x") == F.col("band_y")) & F.expr(
-        "(length_x = length_y AND block_x <= block_y) OR length_x + 1 = length_y"
-    ))
-    found = both.select("rows_x", "rows_y", "band_x").mapInArrow(_block_pairs, "a long, b long")
-    return written(found.distinct(), "near-pairs")
-
-
-def _block_pairs(batches):
-    """Pairs of two blocks' nodes with different labels that lengths and signatures
-    leave, each at the first band that the two share (which is open, as are all bands
-    that nodes of different labels share)."""
-    for batch in batches:
-        sides = []
-        for column in (batch.column(0), batch.column(1)):
-            rows = column.flatten()
-            sides.append((
-                np.concatenate([[0], np.cumsum(pc.list_value_length(column).to_numpy())]),
-                *(rows.field(n).to_numpy() for n in ("node", "label", "total")),
-                np.frombuffer(b"".join(rows.field("sketch").to_pylist()), np.uint8).reshape(-1, SIZE),
-                rows.field("bands").flatten().to_numpy().reshape(-1, BANDS),
-            ))
-        bands = batch.column(2).to_pylist()
-        out = [np.empty((0, 2), np.int64)]
-        for i in range(batch.num_rows):
-            (a, label_a, total_a, sketch_a, bands_a), (b, label_b, total_b, sketch_b, bands_b) = (
-                [v[s[0][i] : s[0][i + 1]] for v in s[1:]] for s in sides
-            )
-            ok = label_a[:, None] != label_b[None, :]
-            ok &= np.minimum(total_a[:, None], total_b) >= SIMILARITY * np.maximum(total_a[:, None], total_b) - 1e-9
-            p, q = np.nonzero(ok)
-            for at in range(0, len(p), 16384):
-                left, right = p[at : at + 16384], q[at : at + 16384]
-                near = (sketch_a[left] == sketch_b[right]).sum(axis=1) >= LEAST_EQUAL
-                left, right = left[near], right[near]
-                first = (bands_a[left] == bands_b[right]).argmax(axis=1)
-                here = bands_a[left, first] == bands[i]
-                pair = np.stack([a[left[here]], b[right[here]]], axis=1)
-                out.append(np.sort(pair, axis=1))
-        found = np.concatenate(out)
-        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+    rest = whole.where(f"NOT (members > {BLOCK} OR mass > {BLOCK_SHINGLES})")
+    held = rest.agg(F.sum("members").alias("n"), F.sum("mass").alias("mass")).first()
+    packs = 1 + max((held["n"] or 0) // BLOCK, (held["mass"] or 0) // BLOCK_SHINGLES)
+    # a block's number is a hash; should two be equal, one block has the nodes of both
+    block = F.expr(f"""CASE WHEN parts IS NULL THEN pmod(xxhash64(home), {packs})
+        ELSE xxhash64(home, length, pmod(xxhash64(node), parts)) END""")
+    return written(sized.join(parts, ["home", "length"], "left").select("node", "total", block.alias("block")), "dealt")
+
+
+def _block_links(open_: DataFrame, sketches: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links between labels of the nodes that share a key and no label, written. open_:
+    node, band, n, label."""
+    dealt = _dealt(open_, sketches)
+    held = open_.select("node", "band").join(dealt, "node").groupBy("band", "block").agg(
+        F.min("total").alias("low"), F.max("total").alias("high")
+    )
+    x, y = (held.select("band", *(F.col(c).alias(f"{c}_{s}") for c in ("block", "low", "high"))) for s in "xy")
+    pairs = x.join(y, "band").where("block_x < block_y").where(
+        f"high_x >= {SIMILARITY} * low_y - 1e-9 AND high_y >= {SIMILARITY} * low_x - 1e-9"
+    ).select("block_x", "block_y").distinct()
+    pairs = written(pairs, "block-pairs")
+    alone = dealt.select(F.col("block").alias("block_x"), F.col("block").alias("block_y"), F.lit(0).alias("side"), "block").distinct()
+    taken = pairs.select("*", F.lit(0).alias("side"), F.col("block_x").alias("block")).union(
+        pairs.select("*", F.lit(1).alias("side"), F.col("block_y").alias("block"))
+    ).union(alone)
+    labels = open_.groupBy("node").agg(F.min("label").alias("label"))
+    members = dealt.join(labels, "node").join(sketches.select("node", "sketch", "bands"), "node").join(nodes.select("node", "text"), "node")
+    groups_ = written(members, "members").join(taken, "block").groupBy("block_x", "block_y")
+    return written(groups_.applyInArrow(_group_links, "a long, b long"), "links")
 
 
 def classes(links: DataFrame) -> DataFrame:
@@ -263,11 +331,22 @@ def classes(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _mixed(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """The bands whose nodes are in several classes, written."""
-    labelled = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+def _known(links: DataFrame) -> DataFrame:
+    """(node, label) of the nodes that are linked to a hub (a, the lesser node), written:
+    their least hub, that one's and again that one's."""
+    label = written(links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label")), "labels")
+    for _ in range(2):
+        next_ = label.select(F.col("node").alias("label"), F.col("label").alias("far"))
+        label = label.join(next_, "label", "left").select("node", F.coalesce("far", "label").alias("label"))
+    return written(label, "labels")
+
+
+def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """The keys with nodes of several labels, written. A key of two nodes was decided when
+    they were compared."""
+    labelled = shared.where("n > 2").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    return written(labelled.join(mixed.select("band"), "band"), "open")
+    return written(labelled.join(mixed.select("band"), "band").select("node", "band", "n", "label"), "open")
 
 
 def _nodes(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -289,23 +368,12 @@ def _digest(text: str) -> Column:
 def _labelled(nodes: DataFrame, key: str) -> DataFrame:
     """Node, digest, least key and label, the least node of its class, of every node."""
     sketches = written(nodes.select("node", "text").mapInArrow(_sketches, _SKETCH), "sketches")
-    keys = sketches.select("node", "total", F.explode("bands").alias("band"))
-    counts = keys.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    shared = written(keys.join(counts.select("band"), "band"), "shared")
-    links = labels = None
-    open_ = shared.withColumn("label", F.col("node"))
-    for turn in range(HUB_ROUNDS):
-        rank = F.struct(F.xxhash64("node", "band", F.lit(turn)) if turn else F.lit(0), "node", "label")
-        hubs = open_.groupBy("band").agg(F.min(rank).alias("hub")).select("band", "hub.node", "hub.label")
-        hubs = hubs.toDF("band", "hub", "hub_label")
-        pairs = open_.join(hubs, "band").where("label <> hub_label").select(
-            F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")
-        ).distinct()
-        found = _links(_near(pairs, sketches), nodes)
-        links = found if links is None else links.unionByName(found)
-        labels = classes(links)
-        open_ = _mixed(shared, labels)
-    labels = classes(links.unionByName(_links(_blocks(open_, sketches), nodes)))
+    keys = sketches.select("node", F.explode("bands").alias("band"))
+    hubs = keys.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("hub")).where("n > 1")
+    shared = written(keys.join(hubs, "band"), "shared")
+    pairs = shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    links = _links(_near(pairs, sketches), nodes)
+    labels = classes(links.unionByName(_block_links(_open(shared, _known(links)), sketches, nodes)))
     every = nodes.select("node", "digest", F.col(f"`row_{key}`").alias("least")).join(labels, "node", "left")
     return every.withColumn("label", F.coalesce("label", "node"))
 
