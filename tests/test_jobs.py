@@ -272,51 +272,111 @@ def test_limited_stream_goes_on_where_it_ended(spark, tmp_path):
             intake.limited_stream(
                 stream, out, check, keys=["k"], at="t", order="n", cap=2, window_seconds=100, keep_seconds=3600
             ).awaitTermination()
-    got = sorted(r["n"] for r in spark.read.parquet(out).collect())
+    got = sorted(r["n"] for r in intake.accepted_rows(spark.read.parquet(landing), out, "n").collect())
     expected = [n for base in (0, 1) for n in _limited([*range(base, 120, 2)])]
     assert got == sorted(expected)
 
 
-def test_limited_stream_walks_thinned_keys_without_payload(spark, tmp_path, monkeypatch):
-    """A key with most rows is thinned; late rows are judged on arrival; whole tables
-    of times and those of single micro-batches give the same."""
+def test_limited_stream_in_many_batches(spark, tmp_path):
+    """Micro-batches of one file each, late rows judged on arrival, and a run that fails
+    inside a micro-batch, after its offsets were logged, and starts again."""
     import numpy as np
     import pandas as pd
 
     from tests.test_ratelimit import State
 
-    thinned, thin = [], intake.ratelimit.thin
-
-    def counted(events, *options):
-        left = thin(events, *options)
-        thinned.append((events.columns, events.count(), left.count()))
-        return left
-
-    monkeypatch.setattr(intake.ratelimit, "thin", counted)
-    monkeypatch.setattr(intake, "WHOLE_EVERY", 2)
     landing, out, check = (str(tmp_path / n) for n in ("landing", "out", "check"))
     second, rng, expected = 1_000_000, np.random.default_rng(2), set()
-    states, rule = {k: State() for k in "abc"}, intake.limiter(3, 500 * second, ["_id"])
-    for lo, start in ((0, 0), (2000, 900), (4000, 300), (6000, 1500), (8000, 1400)):
-        rows = [
-            (k, int(t), i) for i, (k, t) in enumerate(
-                zip(rng.choice(["a", "a", "a", "b"] + ["c"] * (lo == 0), 2000), start + rng.integers(0, 1000, 2000)), lo
-            )
-        ]
-        frame = spark.createDataFrame([(str(k), t, i) for k, t, i in rows], "k string, s long, n long")
-        frame.selectExpr("k", "timestamp_seconds(s) AS t", "n", "repeat('payload', 9) AS p").write.mode("append").parquet(landing)
-        stream = landed.report_stream(spark, landing, "k string, t timestamp, n long, p string")
+    states, rule = {k: State() for k in "abc"}, intake.limiter(3, 500 * second)
+    kind = "k string, t timestamp, n long, p string"
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "150")
+
+    def run(stream):
         intake.limited_stream(
             stream, out, check, keys=["k"], at="t", order="n", cap=3, window_seconds=500
         ).awaitTermination()
-        for k in "abc":
-            own = pd.DataFrame([(t * second, i) for x, t, i in rows if x == k], columns=["_t", "_id"])
-            if len(own):
-                expected |= {int(i) for part in rule((k,), iter([own]), states[k]) for i in part["_id"]}
-    got = spark.read.parquet(out).collect()
+
+    try:
+        for lo, start in ((0, 0), (2000, 900), (4000, 300), (6000, 1500), (8000, 1400)):
+            rows = [
+                (str(k), int(t), i) for i, (k, t) in enumerate(
+                    zip(rng.choice(["a", "a", "a", "b"] + ["c"] * (lo == 0), 2000), start + rng.integers(0, 1000, 2000)), lo
+                )
+            ]
+            frame = spark.createDataFrame(rows, "k string, s long, n long").coalesce(1)
+            frame.selectExpr("k", "timestamp_seconds(s) AS t", "n", "repeat('payload', 9) AS p").write.mode("append").parquet(landing)
+            stream = landed.report_stream(spark, landing, kind, batch_bytes=1)
+            if lo in (2000, 6000):
+                broken = stream.withColumn("n", F.when(F.col("n") == lo + 1500, F.raise_error(F.lit("lost"))).otherwise(F.col("n")))
+                with pytest.raises(Exception, match="lost"):
+                    run(broken)
+            if lo != 6000:  # the last three files come as three micro-batches of one run
+                run(stream)
+            for k in "abc":
+                own = pd.DataFrame([(t * second, i) for x, t, i in rows if x == k], columns=["_t", "_id"])
+                if len(own):
+                    expected |= {int(i) for part in rule((k,), iter([own]), states[k]) for i in part["_id"]}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = intake.accepted_rows(spark.read.parquet(landing), out, "n").collect()
     assert {r["n"] for r in got} == expected and len(got) == len(expected)
     assert all(r["p"] == "payload" * 9 for r in got)
-    assert len(thinned) == 5 and all(c == ["_k", "_t", "_id"] and left < 100 for c, _, left in thinned)
+
+
+def test_unseen_keys_leave_the_state(spark, tmp_path):
+    """After ``keep_seconds`` a key is new again."""
+    import time
+
+    landing, out, check = (str(tmp_path / n) for n in ("landing", "out", "check"))
+    for n in range(2):
+        spark.createDataFrame([("a", n)], "k string, n long").selectExpr("k", "timestamp_seconds(n) AS t", "n").write.mode("append").parquet(landing)
+        if n:
+            time.sleep(3)
+            spark.createDataFrame([("b", 5)], "k string, n long").selectExpr("k", "timestamp_seconds(n) AS t", "n").write.mode("append").parquet(landing)
+        stream = landed.report_stream(spark, landing, "k string, t timestamp, n long", batch_bytes=1)
+        intake.limited_stream(
+            stream, out, check, keys=["k"], at="t", order="n", cap=1, window_seconds=500, keep_seconds=1
+        ).awaitTermination()
+    assert {r["_id"] for r in spark.read.parquet(out).collect()} >= {0, 5}
+
+
+def test_digest_stream_marks_once(spark, tmp_path):
+    """A run that fails while it marks, after its log was written, delivers nothing again
+    and marks what was not marked; ids twice in a batch multiply nothing."""
+    kept = jobs.error_table(spark, str(tmp_path / "errors"))
+    landing, out, check = (str(tmp_path / n) for n in ("landing", "out", "check"))
+    rows = spark.range(12).selectExpr(
+        "cast(id AS string) AS id", "timestamp_seconds(id * 40000) AS occurred_at", "concat('m', id % 3) AS message",
+        "'s' AS stack", "'u' AS page_url", "'a' AS user_agent", "concat('f', id % 3) AS fingerprint",
+        "if(id = 6, timestamp_seconds(5), NULL) AS alerted_at",
+    )
+    kept.write(rows)
+    rows.union(rows.where("id = '3'")).write.parquet(landing)
+    sent = []
+
+    def deliver(groups):
+        found = groups.where("fingerprint <> 'f1'")
+        sent.append(sorted(tuple(r) for r in found.select("batch", "fingerprint", "occurrences").collect()))
+        return found
+
+    def run():
+        intake.digest_stream(
+            landed.report_stream(spark, landing, rows.schema), out, check, table=kept, deliver=deliver, as_of=AS_OF
+        ).awaitTermination()
+
+    whole = kept.write
+    kept.write = lambda df: 1 / 0
+    with pytest.raises(Exception, match="division"):
+        run()
+    kept.write = whole
+    run()
+    run()
+    assert sent == [[(0, "f0", 4), (0, "f2", 4)]]
+    marks = {r["id"]: r["alerted_at"] for r in kept.read().collect()}
+    assert len(marks) == 12 and kept.read().count() == 12
+    told = [k for k, v in marks.items() if v is not None and str(v).startswith(AS_OF[:10])]
+    assert sorted(told, key=int) == ["0", "2", "3", "5", "8", "9", "11"] and marks["6"].year == 1970
+    assert all(marks[k] is None for k in ("1", "4", "7", "10"))
 
 
 def _limited(seconds, cap=2, window=10):

@@ -122,22 +122,53 @@ class State:
         self.value = value
 
 
-def arrive(run, state, rows):
+def arrive(run, state, rows, chunk=None):
     batch = pd.DataFrame(rows, columns=["_k", "_t", "_id"])
-    return {int(i) for out in run(("k",), iter([batch]), state) for i in out["_id"]}
+    parts = [batch[i : i + (chunk or len(batch))] for i in range(0, len(batch), chunk or len(batch))]
+    return {int(i) for out in run(("k",), iter(parts), state) for i in out["_id"]}
 
 
 def test_batches_with_state_equal_one_batch():
     rows = sorted(some_rows(3000, 6000, 1, seed=4, hot_share=1), key=lambda r: r[1])
-    run, state, got = intake.limiter(3, 200 * SECOND, ["_id"]), State(), set()
+    run, state, got = intake.limiter(3, 200 * SECOND), State(), set()
     for lo, hi in ((0, 700), (700, 701), (701, 2000), (2000, 3000)):
-        got |= arrive(run, state, rows[lo:hi])
+        got |= arrive(run, state, random.Random(lo).sample(rows[lo:hi], hi - lo), chunk=97)
         assert len(state.value[0]) <= 3
     assert got == loop(rows, 3, 200 * SECOND)
 
 
 def test_late_rows_are_judged_on_arrival():
-    run, state = intake.limiter(1, 60 * SECOND, ["_id"]), State()
+    run, state = intake.limiter(1, 60 * SECOND), State()
     assert arrive(run, state, [("a", 100 * SECOND, 0)]) == {0}
     assert arrive(run, state, [("a", 50 * SECOND, 7)]) == set()
     assert arrive(run, state, [("a", 160 * SECOND, 8), ("a", 70 * SECOND, 9)]) == {8}
+
+
+@pytest.mark.parametrize("cells", [1, 4, 16])
+def test_segments_are_cut_at_gaps_of_a_window(spark, cells):
+    """Every cut has a gap of a window, and gaps of a window and two cells are cut."""
+    rng, window, times, t = random.Random(cells), 100 * SECOND, [], -5_000 * SECOND
+    for _ in range(800):
+        t += int(rng.choice([0.2, 1, 30, 99, 101, 130, 160, 250, 400]) * SECOND * rng.random() * 2)
+        times.append(t)
+    rows = [(k, t + 7 * n, i * 2 + n) for i, t in enumerate(times) for n, k in enumerate("ab")]
+    width = window // 64
+    slotted = frame(spark, rows).withColumn("_slot", F.floor(F.col("_t") / width).cast("long"))
+    got = R.segments(slotted, window, width, cells).collect()
+    cell = window // 64 * (64 // cells)
+    for k in "ab":
+        mine = sorted((r["_t"], r["_seg"]) for r in got if r["_k"] == k)
+        assert len(mine) == 800 and len({s for _, s in mine}) > 20
+        for (t, s), (u, r) in zip(mine, mine[1:]):
+            assert r >= s and (r == s or u - t >= window) and (r != s or u - t < window + 2 * cell + width)
+
+
+def test_a_hot_key_is_walked_in_several_tasks(spark):
+    rows = [("hot", (s * 1000 + i) * SECOND, s * 20 + i) for s in range(200) for i in range(20)]
+    thinned = R.thin(frame(spark, rows), 5, 60 * SECOND)
+    assert thinned.select("_seg").distinct().count() == 200
+    tasks = R._by_bucket(thinned, "_t", "_id").applyInPandas(
+        lambda pdf: pd.DataFrame({"n": [len(pdf)], "segments": [pdf["_seg"].nunique()]}), "n long, segments long"
+    ).collect()
+    assert len(tasks) > 4 and sum(r["segments"] for r in tasks) == 200 and max(r["segments"] for r in tasks) < 100
+    assert ids(R.accepted_keys(frame(spark, rows), 5, 60)) == loop(rows, 5, 60 * SECOND)

@@ -96,14 +96,15 @@ def mark_alerted(
     errors: DataFrame, batch: DataFrame, delivered: DataFrame, as_of
 ) -> DataFrame:
     """Sets ``alerted_at`` on the batch's rows whose fingerprint was delivered.
-    Rows outside the batch wait for the next digest."""
+    Rows outside the batch wait for the next digest; one already marked keeps its time.
+    An id that the batch holds several times is marked once."""
     told = (
         batch.join(delivered.select("fingerprint").distinct(), "fingerprint", "left_semi")
-        .select("id", F.lit(True).alias("_told"))
+        .select("id").distinct().withColumn("_told", F.lit(True))
     )
     return errors.join(told, "id", "left").select(
         *[
-            F.when(F.col("_told"), times.as_timestamp(as_of))
+            F.when(F.col("_told") & F.col("alerted_at").isNull(), times.as_timestamp(as_of))
             .otherwise(F.col("alerted_at"))
             .alias("alerted_at")
             if c == "alerted_at"

@@ -9,10 +9,16 @@ per key; payload columns never enter Python.
 Events are thinned first, in parallel and without changing the result: time is
 cut into slots, events are counted per (key, slot) with map-side combine, and
 bounds on the number of accepted events up to each slot show which slots cannot
-hold one. Only events of the other slots are walked. So what a task walks of a key grows with time and not
-with the number of its events, and it is walked as a stream of batches, so that
-memory does not grow with the key. All keys and sizes take this one path, and no
-job runs while the plan is made.
+hold one. Only events of the other slots are walked.
+
+A key's time is cut where a whole window has no event: nothing before such a gap
+counts for what comes after it. So each stretch between two gaps, a segment, is
+decided on its own, and a key's segments are walked in as many tasks as there are.
+Gaps are found among cells of several slots, a row for each cell that has events,
+in a running maximum that Spark takes; only gapless stretches are sequential. What a
+task walks of one grows with its time and not with the number of its events, and it
+is walked as a stream of batches, so that memory does not grow with the key. All
+keys and sizes take this one path, and no job runs while the plan is made.
 """
 
 from __future__ import annotations
@@ -25,18 +31,19 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, GroupedData, functions as F
+from pyspark.sql import DataFrame, GroupedData, Window, functions as F
 
 from ..session import written
 
-#: Slots that a window is cut into.
-SLOTS = 4096
+#: Slots that a window is cut into, and cells among which gaps are looked for: a gap of
+#: a window and two cells is always found.
+SLOTS, CELLS = 4096, 16
 
 
 def _by_bucket(df: DataFrame, *order: str) -> GroupedData:
-    """Rows grouped into buckets of whole keys, sorted by key and ``order``.
+    """Rows grouped into buckets of whole segments, sorted by segment and ``order``.
 
-    The grouping states that keys must stay together, so no later change of the
+    The grouping states that segments must stay together, so no later change of the
     plan splits them (a bare ``repartition`` is dropped where the input already
     has that partitioning, and then nothing protects it). Groups reach Python
     as a stream of batches, never whole.
@@ -44,9 +51,9 @@ def _by_bucket(df: DataFrame, *order: str) -> GroupedData:
     spark = df.sparkSession
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     return (
-        df.withColumn("_b", F.pmod(F.xxhash64("_k"), F.lit(buckets)))
+        df.withColumn("_b", F.pmod(F.xxhash64("_k", "_seg"), F.lit(buckets)))
         .repartition("_b")
-        .sortWithinPartitions("_b", "_k", *order)
+        .sortWithinPartitions("_b", "_k", "_seg", *order)
         .groupBy("_b")
     )
 
@@ -71,32 +78,32 @@ def _accept(held: list[int], times: np.ndarray, cap: int, window_us: int):
 
 
 def _walk(cap: int, window_us: int):
-    """Decides rows that come sorted by (key, time, id), batch by batch."""
+    """Decides rows that come sorted by (key, segment, time, id), batch by batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
         for batch in batches:
-            keys, times = batch.column("_k"), batch.column("_t").to_numpy()
+            keys, times, segment = batch.column("_k"), batch.column("_t").to_numpy(), batch.column("_seg").to_numpy()
             if not len(keys):
                 continue
-            changes = pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)
+            changes = pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False) | (segment[1:] != segment[:-1])
             starts = np.flatnonzero(np.concatenate([[True], changes])).tolist()
             keep = np.ones(len(keys), dtype=bool)
             for a, b in zip(starts, [*starts[1:], len(keys)]):
-                if a or keys[0].as_py() != key:
+                if a or (keys[0].as_py(), segment[0]) != key:
                     held = []
                 if len(held) + b - a <= cap:
                     held = held + times[a:b].tolist()
                 else:
                     keep[a:b], held = _accept(held, times[a:b], cap, window_us)
-            key = keys[-1].as_py()
+            key = (keys[-1].as_py(), segment[-1])
             yield batch.select(["_k", "_t", "_id"]).filter(pa.array(keep))
 
     return run
 
 
 def _live_slots(cap: int, whole: int, ceiling: int):
-    """Slots that may hold an accepted event, from sorted (key, slot, count).
+    """Slots that may hold an accepted event, from sorted (key, segment, slot, count).
 
     ``hi`` and ``lo`` bound the number A(i) of accepted events up to slot i:
     any ``whole`` consecutive slots fit into one window, so
@@ -111,7 +118,7 @@ def _live_slots(cap: int, whole: int, ceiling: int):
         for batch in batches:
             live = []
             rows = zip(
-                batch["_k"].to_numpy(),
+                zip(batch["_k"].to_numpy(), batch["_seg"].to_numpy().tolist()),
                 batch["_slot"].to_numpy().tolist(),
                 batch["n"].to_numpy().tolist(),
             )
@@ -130,22 +137,38 @@ def _live_slots(cap: int, whole: int, ceiling: int):
                 past.append((slot, hi))
                 lagging.append((slot, lo))
                 live.append(hi > before)
-            yield batch.loc[live, ["_k", "_slot"]]
+            yield batch.loc[live, ["_k", "_slot", "_seg"]]
 
     return run
 
 
+def segments(counts: DataFrame, window_us: int, width: int, cells: int = CELLS) -> DataFrame:
+    """``counts`` (``_k``, ``_slot``, ...) with ``_seg``, the first cell of the row's segment.
+    Two segments of a key have a gap of ``window_us`` at least between them. Each cell
+    with events is one row, which meets its slots again by an equi-join."""
+    per = max(window_us // width // cells, 1)
+    need = -(-window_us // (per * width))
+    celled = counts.withColumn("_cell", F.floor(F.col("_slot") / per).cast("long"))
+    by_time = Window.partitionBy("_k").orderBy("_cell")
+    before = F.lag("_cell").over(by_time)
+    opens = F.when(before.isNull() | (F.col("_cell") - before > need), F.col("_cell"))
+    since = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = celled.select("_k", "_cell").distinct().withColumn("_opens", opens)
+    placed = starts.select("_k", "_cell", F.max("_opens").over(since).alias("_seg"))
+    return celled.join(placed, ["_k", "_cell"]).drop("_cell")
+
+
 def thin(events: DataFrame, cap: int, window_us: int, slots: int = SLOTS) -> DataFrame:
-    """``events`` (``_k``, ``_t``, ``_id``) without those that are certainly refused:
-    those of slots that cannot hold an accepted one."""
+    """``events`` (``_k``, ``_t``, ``_id``) with their segment ``_seg``, without those that
+    are certainly refused: those of slots that cannot hold an accepted one."""
     width = max(window_us // slots, 1)
     slotted = events.withColumn("_slot", F.floor(F.col("_t") / width).cast("long"))
     counts = slotted.groupBy("_k", "_slot").agg(F.count("*").alias("n"))
-    live = _by_bucket(counts, "_slot").applyInPandas(
+    live = _by_bucket(segments(counts, window_us, width), "_slot").applyInPandas(
         _live_slots(cap, window_us // width, -(-window_us // width)),
-        "_k string, _slot long",
+        "_k string, _slot long, _seg long",
     )
-    return slotted.join(live, ["_k", "_slot"], "left_semi").drop("_slot")
+    return slotted.join(live, ["_k", "_slot"]).drop("_slot")
 
 
 def accepted_keys(

@@ -77,6 +77,13 @@ def merge_competitors(store: DataFrame, batch: DataFrame) -> DataFrame:
     )
 
 
+def met_by(store: DataFrame, batch: DataFrame) -> DataFrame:
+    """What a batch can meet in the store, from one narrow scan of it: URL, competitors
+    and day of the rows with a URL of the batch. The store is the side that is filtered."""
+    narrow = store.select("post_url", "competitors", "discovered_at")
+    return narrow.join(batch.select("post_url"), "post_url", "left_semi")
+
+
 def upsert(store: DataFrame, batch: DataFrame, as_of) -> DataFrame:
     """The store after a batch: stored rows with merged competitors, then new rows."""
     merged = merge_competitors(store, batch).drop("changed")

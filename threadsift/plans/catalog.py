@@ -659,9 +659,8 @@ def _limited_stream(spark, sf, cap):
             stream, f"{work}/accepted", f"{work}/checkpoint",
             keys=["event_type"], at="ts", order="seq", cap=cap, window_seconds=3600,
         ).awaitTermination()
-    return spark.read.parquet(f"{work}/accepted").select(
-        F.col("seq").alias("event_id"), "event_type"
-    )
+    kept = intake.accepted_rows(spark.read.parquet(f"{work}/landing"), f"{work}/accepted", "seq")
+    return kept.select(F.col("seq").alias("event_id"), "event_type")
 
 
 @query
@@ -689,3 +688,22 @@ def stream_digest(spark, sf):
         intake.digest_stream(stream, f"{work}/digests", f"{work}/checkpoint").awaitTermination()
     shown = spark.read.parquet(f"{work}/digests")
     return plain(shown.select("batch", "fingerprint", "occurrences", "first_seen", "first_id"))
+
+
+@query
+def stream_digest_marks(spark, sf):
+    """Two digests of landed error rows, of which all groups but one's could be
+    delivered: the marks that they leave in the kept table."""
+    work = work_dir(spark, "digest")
+    given = fx.client_errors(spark, sf)
+    kept = jobs.error_table(spark, f"{work}/errors")
+    kept.write(given)
+    rows = given.withColumn("seq", F.col("id").cast("long"))
+    at = rows.select("seq", F.col("occurred_at").alias("_ts"))
+    for _ in _land_in_two(rows, at, f"{work}/landing", "parquet"):
+        stream = landed.report_stream(spark, f"{work}/landing", given.schema)
+        intake.digest_stream(
+            stream, f"{work}/delivered", f"{work}/checkpoint", table=kept, as_of=AS_OF,
+            deliver=lambda groups: groups.filter(F.col("message") != "Boom 3"),
+        ).awaitTermination()
+    return plain(kept.read().select("id", "fingerprint", "alerted_at"))

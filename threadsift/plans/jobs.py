@@ -8,7 +8,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from .. import refdata, schemas
-from ..functions import tags
 from ..operators import clean, dedup, errors, harvest, health, records, reports, store
 from ..session import written
 from ..sources.daytable import DayTable
@@ -77,8 +76,9 @@ def discover(posts: DayTable, raw: DataFrame, as_of) -> dict[str, int]:
     it twice on the same batch changes nothing the second time.
 
     The merged batch is written to the shared folder once and read from there,
-    so it is neither cached nor computed again. Only days that change are
-    rewritten. Returns the counts of each stage.
+    so it is neither cached nor computed again. The store is probed once: what the
+    batch meets there decides which rows are new and which gain competitors. Only
+    days that change are rewritten. Returns the counts of each stage.
     """
     seen, good = Observation(), Observation()
     judged = clean.judge(raw, as_of).observe(
@@ -89,14 +89,10 @@ def discover(posts: DayTable, raw: DataFrame, as_of) -> dict[str, int]:
     merged = dedup.merge_copies(clean.kept(judged)).observe(good, F.count(F.lit(1)).alias("n"))
     batch = written(merged, "batch")
 
-    stored = posts.read()
-    keyed = stored.select("id", "post_url", "competitors", "discovered_at")
-    touched = store.merge_competitors(
-        keyed.join(batch.filter(tags.has_competitor(F.col("competitors"))).select("post_url"),
-                   "post_url", "left_semi"),
-        batch,
-    ).filter("changed")
-    new = store.new_rows(batch, stored.select("post_url"), as_of)
+    # one narrow scan of the store: of its rows with a URL of the batch, a batch at most
+    met = written(store.met_by(posts.read(), batch), "met")
+    touched = store.merge_competitors(met, batch).filter("changed")
+    new = store.new_rows(batch, met, as_of)
 
     changed = Observation()
     days = set(posts.days_of(touched))
@@ -157,7 +153,13 @@ def digest(
     groups = errors.in_digest_order(errors.digest(batch), shown)
     # Written at once, so that delivering happens once.
     delivered = written(deliver(groups).select("fingerprint"), "delivered")
-    told = batch.join(delivered, "fingerprint", "left_semi")
+    return mark(table, batch, delivered, as_of)
+
+
+def mark(table: DayTable, batch: DataFrame, delivered: DataFrame, as_of) -> int:
+    """Marks the rows of a digest's batch (id, fingerprint, occurred_at) whose group was
+    delivered; returns how many they are."""
+    told = batch.join(delivered.select("fingerprint").distinct(), "fingerprint", "left_semi")
     return _rewrite(
         table, lambda df: errors.mark_alerted(df, batch, delivered, as_of), told
     )

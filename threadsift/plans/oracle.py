@@ -726,9 +726,10 @@ SELECT CAST(occurred_at >= {CUTOFF} AS BIGINT) AS batch, fingerprint,
   arg_min(id, {{'t': occurred_at, 'i': id}}) AS first_id
 FROM client WHERE alerted_at IS NULL GROUP BY ALL""",
     }
-    # the same results by way of kept tables and landed files
+    # the same results by way of kept tables, landed files and streams
     for name, same in (
         ("harvest_landed", "harvest_pool"), ("summary_job", "daily_summary"), ("health_job", "health_findings"),
+        ("stream_digest_marks", "mark_alerted"),
     ):
         queries[name] = queries[same]
     return queries

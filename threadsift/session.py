@@ -83,3 +83,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = work_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether Spark wrote a whole table to a folder, of any file system it can reach."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)

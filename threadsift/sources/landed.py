@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
 
+#: Bytes of landed files that a micro-batch takes at most (one file at least).
+BATCH_BYTES = 256 << 20
+
 
 def _page_items(spark: SparkSession, path: str, member: str, item: str) -> DataFrame:
     """Items of pages such as {"hits": [...]}, one page per line."""
@@ -65,5 +68,5 @@ def candidate_stream(
     return reader.json(path)
 
 
-def report_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.readStream.schema(schema).parquet(path)
+def report_stream(spark: SparkSession, path: str, schema: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    return spark.readStream.schema(schema).option("maxBytesPerTrigger", batch_bytes).parquet(path)

@@ -1,8 +1,15 @@
 """Error reports as a stream: repeats, hourly rate, digests.
 
-The rate limit keeps the last ``cap`` accepted times of each key beside the query's
-checkpoint, by micro-batch: one that is repeated after a failure finds the state it
-began with.
+The rate limit is a stateful operator of Spark's: it is fed with (key, time, id) only and
+keeps the last ``cap`` accepted times of each key in Spark's own state store, which belongs
+to the checkpoint. A micro-batch that is repeated after a failure finds the state it
+began with. The ids it accepts are appended to a table; payload meets them by id
+when that table is read, and never enters Python.
+
+Bounds: a task holds the times and ids (16 bytes a row) of one key's rows in one
+micro-batch. A micro-batch has ``landed.BATCH_BYTES`` of files at most unless its reader
+is told otherwise, so that bounds them. State has ``cap`` times a key; keys unseen for
+``keep_seconds`` leave it.
 """
 
 from __future__ import annotations
@@ -11,80 +18,46 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import errors, ratelimit
-from ..session import written
+from ..plans import jobs
+from ..session import finished, written
+from ..sources.daytable import DayTable
 
 
-def limiter(cap: int, window_us: int, columns: list[str], keep_ms: int | None = None) -> Callable:
-    """The rule of the stream, for the new rows of one key (``_t``, ``_id``, payload) and
-    the key's last accepted times, as a function of Spark's state: for keys with few
-    rows, as it takes them whole. ``limited_stream`` gives the same rows without that.
+def limiter(cap: int, window_us: int, keep_ms: int | None = None) -> Callable:
+    """The rule for one key: its new rows (``_k``, ``_t``, ``_id``), in chunks of any size
+    and order, after the accepted times in its state.
 
     Arrival counts: a row older than the key's last accepted one is judged as if it
     came at that time.
     """
 
-    def run(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    def run(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
         held = list(state.get[0]) if state.exists else []
-        rows = pd.concat(list(batches), ignore_index=True)
+        parts = [(c["_t"].to_numpy(np.int64), c["_id"].to_numpy(np.int64)) for c in chunks]
+        times, ids = (np.concatenate(a) for a in zip(*parts))
         if held:
-            rows["_t"] = rows["_t"].clip(lower=held[-1])
-        rows = rows.sort_values(["_t", "_id"], kind="stable")
-        keep, held = ratelimit._accept(held, rows["_t"].to_numpy(np.int64), cap, window_us)
+            times = np.maximum(times, held[-1])
+        order = np.lexsort((ids, times))
+        times, ids = times[order], ids[order]
+        keep, held = ratelimit._accept(held, times, cap, window_us)
         state.update((held,))
         if keep_ms is not None:
             state.setTimeoutDuration(keep_ms)
-        yield (rows if keep is True else rows[keep])[columns]
+        if keep is not True:
+            times, ids = times[keep], ids[keep]
+        yield pd.DataFrame({"_k": key[0], "_t": times, "_id": ids})
 
     return run
 
 
-#: Micro-batches between two whole tables of accepted times.
-WHOLE_EVERY = 32
-_TIMES = "_k string, times array<bigint>, seen timestamp, number long"
-_FIRST_ID = -(2**63)
-
-
-class _Times:
-    """The last accepted times of each key, below the checkpoint. A micro-batch writes
-    those of the keys it saw, every ``WHOLE_EVERY``-th one those of all keys, so reading
-    opens the folders since the last whole table. A repeated micro-batch reads earlier
-    ones only and replaces its own."""
-
-    def __init__(self, root: str, keep_seconds: float | None):
-        self.root, self.keep = f"{root}/accepted-times", keep_seconds
-
-    def _folder(self, number: int) -> str:
-        return f"{self.root}/number={number}"
-
-    def before(self, spark: SparkSession, number: int) -> DataFrame:
-        whole = max(number - 1, 0) // WHOLE_EVERY * WHOLE_EVERY
-        schema = StructType.fromDDL(_TIMES)
-        if number == 0:
-            return spark.createDataFrame([], schema)
-        every = spark.read.schema(schema).parquet(*map(self._folder, range(whole, number)))
-        last = every.groupBy("_k").agg(F.max(F.struct("number", "times", "seen")).alias("last"))
-        last = last.select("_k", "last.times", "last.seen", "last.number")
-        if self.keep is None:
-            return last
-        return last.where(F.current_timestamp().cast("double") - F.col("seen").cast("double") < self.keep)
-
-    def write(self, after: DataFrame, held: DataFrame, number: int) -> None:
-        """after: the times of the keys of this micro-batch; held: those before it."""
-        new = after.select("_k", "times", F.current_timestamp().alias("seen"), F.lit(number).cast("long").alias("number"))
-        if number and number % WHOLE_EVERY == 0:
-            new = new.unionByName(held.join(after, "_k", "left_anti"))
-        new.write.mode("overwrite").parquet(self._folder(number))
-
-
 def limited_stream(
     stream: DataFrame,
     out: str,
@@ -97,57 +70,74 @@ def limited_stream(
     window_seconds: float,
     keep_seconds: float | None = None,
 ) -> StreamingQuery:
-    """Writes the accepted rows of a stream to ``out/batch=N`` until the landed files
-    are used up. ``order`` is a unique number. ``keep_seconds`` drops a key's state when
-    no row of it came for so long on the clock; rows that come later find no earlier
-    one. Without it all keys are kept.
-
-    A micro-batch is judged like a table: the last ``cap`` accepted times of its keys go
-    before its own rows, ``ratelimit.thin`` drops in parallel what is certainly refused,
-    and (key, time, id) of the rest are walked as a stream of Arrow batches. A task holds
-    one Arrow batch and ``cap`` times of a key; it walks the rows of those slots of the
-    key that may hold an accepted one. Payload meets the accepted ids by ``order``."""
-    times = _Times(checkpoint, keep_seconds)
-
-    def take(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rows = ratelimit.keyed(batch, keys, at, order)
-        held = written(times.before(spark, number), "held-times")
-        last = held.select("_k", F.element_at("times", -1).alias("_last"))
-        arrived = written(rows.join(last, "_k", "left"), "arrived")
-        # rows older than the last accepted one are judged at that time, at which none but
-        # the first `cap` of them can be accepted
-        by_id = F.row_number().over(Window.partitionBy("_k").orderBy("_id"))
-        late = arrived.where("_t < _last").withColumn("_n", by_id).where(F.col("_n") <= cap)
-        new = arrived.where("_last IS NULL OR _t >= _last").select("_k", "_t", "_id")
-        new = new.union(late.select("_k", "_last", "_id"))
-        own = held.join(arrived.select("_k").distinct(), "_k", "left_semi")
-        old = own.select("_k", F.posexplode("times").alias("_id", "_t")).select("_k", "_t", F.col("_id") + F.lit(_FIRST_ID))
-        accepted = written(ratelimit.accepted_keys(new.union(old), cap, window_seconds), "accepted")
-        ids = accepted.where(F.col("_id") >= _FIRST_ID + cap).select("_id")
-        fresh = batch.join(ids, F.col(order).cast("long") == F.col("_id"), "left_semi")
-        fresh.write.mode("overwrite").parquet(f"{out}/batch={number}")
-        newest = F.row_number().over(Window.partitionBy("_k").orderBy(F.desc("_t"), F.desc("_id")))
-        tail = accepted.withColumn("_n", newest).where(F.col("_n") <= cap)
-        times.write(tail.groupBy("_k").agg(F.sort_array(F.collect_list("_t")).alias("times")), held, number)
-
-    return (
-        stream.writeStream.foreachBatch(take)
+    """Appends the ids of the accepted rows of a stream to the table ``out`` until the
+    landed files are used up; ``accepted_rows`` reads them. ``order`` is a unique number.
+    ``keep_seconds`` drops a key's state when no row of it came for so long on the
+    clock; rows that come later find no earlier one. Without it all keys are kept.
+
+    Spark's file sink writes each micro-batch once, also when it is repeated."""
+    keep_ms = None if keep_seconds is None else int(keep_seconds * 1000)
+    expiry = GroupStateTimeout.NoTimeout if keep_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+    accepted = ratelimit.keyed(stream, keys, at, order).groupBy("_k").applyInPandasWithState(
+        limiter(cap, int(window_seconds * 1_000_000), keep_ms),
+        "_k string, _t long, _id long", "times array<long>", "append", expiry,
+    )
+    writer = (
+        accepted.select("_id").writeStream.format("parquet").outputMode("append")
+        .option("path", out)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    # A clock timeout alone would keep such a run going for ever on empty micro-batches;
+    # keys leave with the next one that has rows. A query takes the setting as it starts.
+    conf, name = stream.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = conf.get(name)
+    conf.set(name, "false")
+    try:
+        return writer.start()
+    finally:
+        conf.set(name, before)
 
 
-def digest_stream(stream: DataFrame, out: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+def accepted_rows(landed: DataFrame, out: str, order: str) -> DataFrame:
+    """The landed rows that a limited stream accepted: a semi-join by id, which no key
+    can skew."""
+    ids = landed.sparkSession.read.schema("_id long").parquet(out)
+    return landed.join(ids.select(F.col("_id").alias(order)), order, "left_semi")
+
+
+def digest_stream(
+    stream: DataFrame,
+    out: str,
+    checkpoint: str,
+    every: str | None = None,
+    *,
+    table: DayTable | None = None,
+    deliver: Callable[[DataFrame], DataFrame] | None = None,
+    as_of=None,
+) -> StreamingQuery:
     """One row per fingerprint and micro-batch, written to ``out/batch=N``. With
     ``every`` (such as ``15 minutes``) it keeps running at that pace, else it
-    stops when the landed files are used up."""
+    stops when the landed files are used up.
+
+    ``deliver`` gets the groups, with ``batch``, and returns those it could deliver;
+    ``out`` then is the log of what was delivered. With ``table``, the kept table of
+    the errors, their rows are marked with ``as_of`` as the batch job does it. The log is
+    written before anything is marked: a micro-batch that is repeated with its log
+    there delivers nothing again, and marks what is not yet marked. One that failed
+    before its log was whole delivers again, under the same (batch, fingerprint), by
+    which a receiver can tell."""
 
-    def take(batch: DataFrame, batch_id: int) -> None:
-        errors.digest(errors.unalerted(batch)).write.mode("overwrite").parquet(
-            f"{out}/batch={batch_id}"
-        )
+    def take(batch: DataFrame, number: int) -> None:
+        spark, log = batch.sparkSession, f"{out}/batch={number}"
+        waiting = errors.unalerted(batch)
+        if not finished(spark, log):
+            groups = errors.digest(waiting)
+            told = groups if deliver is None else deliver(groups.withColumn("batch", F.lit(number))).drop("batch")
+            told.write.mode("overwrite").parquet(log)
+        if table is not None:
+            delivered = spark.read.parquet(log).select("fingerprint")
+            jobs.mark(table, written(waiting.select("id", "fingerprint", "occurred_at"), "waiting"), delivered, as_of)
 
     pace = {"processingTime": every} if every else {"availableNow": True}
     return (
