@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import refdata
-from ..functions import tags, text, times
+from ..functions import text, times
+from ..session import written
 from . import reports, views
 
 ATTENTION = "NEEDS_ATTENTION"
@@ -24,6 +25,17 @@ def zero_volume_days(per_day: DataFrame, as_of, days: int = 7) -> DataFrame:
     return spine.join(per_day.filter("n > 0"), "day", "left_anti")
 
 
+def zero_volume_days_by(per_day: DataFrame, key: str, as_of, days: int = 7) -> DataFrame:
+    """The same for each value of ``key`` that ever had a post, from (key, day, n): each
+    one's days are made from its own row and meet its counts by an equi-join."""
+    today = F.to_date(times.as_timestamp(as_of))
+    spine = per_day.select(key).distinct().select(
+        key, F.explode(F.sequence(F.date_sub(today, days), F.date_sub(today, 1))).alias("day")
+    ).filter(F.weekday("day") != 6)
+    return spine.join(per_day.filter("n > 0").select(F.col(key).alias("_key"), F.col("day").alias("_day")),
+                      F.col(key).eqNullSafe(F.col("_key")) & (F.col("day") == F.col("_day")), "left_anti")
+
+
 def runaway_days(per_day: DataFrame, limit: int = refdata.RUNAWAY_PER_DAY) -> DataFrame:
     return per_day.filter(F.col("n") > limit)
 
@@ -86,13 +98,16 @@ def health_findings(
     errors_limit: int = refdata.ERRORS_PER_WEEK,
     expected: list[str] = refdata.EXPECTED_PLATFORMS,
 ) -> DataFrame:
-    """One row per failed check (check, severity, detail)."""
+    """One row per failed check (check, severity, detail). Each source is scanned once; the
+    checks of posts read one roll-up."""
     start = views.ago(as_of, 7, "DAYS")
     week = posts.filter(F.col("discovered_at") >= start).select(
-        "discovered_at", "platform", "competitors"
+        "id", "discovered_at", "platform", "status", "categories", "competitors"
     )
-    per_day = reports.posts_per_day(week)
-    mentions = F.count_if(tags.has_competitor(F.col("competitors")))
+    rollup = written(reports.roll_up(week), "rollup")
+    per_day = reports.rolled_days(rollup)
+    own = rollup.filter("of_post")
+    mentions = F.coalesce(F.sum(F.when(F.col("competitor"), F.col("n"))), F.lit(0))
     count = F.count("*")
     found = [
         _finding(zero_volume_days(per_day, as_of), "zero_volume_days", _listed(F.col("day").cast("string"))),
@@ -100,8 +115,8 @@ def health_findings(
             runaway_days(per_day, runaway_per_day), "runaway_days",
             _listed(F.concat_ws(":", F.col("day").cast("string"), F.col("n").cast("string"))),
         ),
-        _finding(silent_platforms(week, expected), "silent_platforms", _listed(F.col("platform"))),
-        _finding(week, "competitor_mentions", F.when(mentions == 0, F.lit("none in 7 days"))),
+        _finding(silent_platforms(own, expected), "silent_platforms", _listed(F.col("platform"))),
+        _finding(own, "competitor_mentions", F.when(mentions == 0, F.lit("none in 7 days"))),
         _finding(
             errors.filter(F.col("occurred_at") >= start), "error_volume",
             F.when(count > errors_limit, count.cast("string")),

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import json_text as J
 from ..functions.stage import once
@@ -86,24 +87,67 @@ def classify(
     row leaves its partition.
     """
     columns = candidates.columns
-    bodied = (
-        candidates.withColumn("body", F.lit(None).cast("string"))
-        if snippets is None
-        else with_snippets(candidates, snippets, order)
-    )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if not len(batch):
-                continue
-            answer = predict(batch[ASKED])[ANSWERED]
-            answer = answer[answer.index.isin(batch.index)]
-            asked = batch["post_url"].loc[answer.index].to_numpy()
-            answer = answer[answer["post_url"].to_numpy() == asked]
-            answer = answer[~answer.index.duplicated()].drop(columns="post_url")
-            yield batch.drop(columns=ANSWERED[1:]).join(answer, how="inner")[columns]
-
-    return bodied.mapInPandas(run, candidates.schema)
+            if len(batch):
+                yield _answered(batch, predict)[columns]
+
+    return _with_bodies(candidates, snippets, order).mapInPandas(run, candidates.schema)
+
+
+def _with_bodies(candidates: DataFrame, snippets: DataFrame | None, order: str) -> DataFrame:
+    if snippets is None:
+        return candidates.withColumn("body", F.lit(None).cast("string"))
+    return with_snippets(candidates, snippets, order)
+
+
+def _answered(batch: pd.DataFrame, predict: Callable[[pd.DataFrame], pd.DataFrame]) -> pd.DataFrame:
+    """The rows of a batch that ``predict`` keeps, with its answers."""
+    answer = predict(batch[ASKED])[ANSWERED]
+    answer = answer[answer.index.isin(batch.index)]
+    asked = batch["post_url"].loc[answer.index].to_numpy()
+    answer = answer[answer["post_url"].to_numpy() == asked]
+    answer = answer[~answer.index.duplicated()].drop(columns="post_url").astype(object)  # empty ones have no type
+    return batch.drop(columns=ANSWERED[1:]).join(answer, how="inner")
+
+
+def classify_or_fault(
+    candidates: DataFrame,
+    snippets: DataFrame | None,
+    predict: Callable[[pd.DataFrame], pd.DataFrame],
+    order: str = "seq",
+) -> DataFrame:
+    """``classify`` with failures as data: the kept candidates with ``fault`` NULL, and the
+    candidates for which ``predict`` fails, as they came, with what it raised.
+
+    A batch that fails is halved and asked again, down to single rows. So one bad row
+    costs a few more calls and takes no other row with it, and how Spark cuts rows into
+    batches changes nothing, as long as it is rows that make ``predict`` fail. A
+    ``predict`` that always fails gives a fault for every row, not the end of the job.
+    """
+    columns = candidates.columns
+
+    def answers(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        try:
+            kept = _answered(batch, predict)[columns]
+        except Exception as failure:  # any failure of the caller's model is data here
+            if len(batch) == 1:
+                yield batch[columns].assign(fault=f"{type(failure).__name__}: {failure}")
+                return
+            half = len(batch) // 2
+            yield from answers(batch.iloc[:half])
+            yield from answers(batch.iloc[half:])
+        else:
+            yield kept.assign(fault=None)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield from answers(batch)
+
+    schema = StructType([*candidates.schema.fields, StructField("fault", StringType())])
+    return _with_bodies(candidates, snippets, order).mapInPandas(run, schema)
 
 
 def keyword_rules(rules: dict[str, list[str]]) -> Callable[[pd.DataFrame], pd.DataFrame]:

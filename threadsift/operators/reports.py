@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import refdata
 from ..functions import tags, text, times
+from ..session import written
 from . import views
 
 TIMELINE_STATUSES = ["replied", "deleted", "archived", "completed"]
@@ -47,6 +48,58 @@ def status_counts(posts: DataFrame, labels=refdata.STATUS_LABELS) -> DataFrame:
     return ranked(with_share(counts, labels, "status"), "status")
 
 
+ROLLUP_KEYS = ["of_post", "day", "platform", "status", "competitor", "category"]
+
+
+def roll_up(posts: DataFrame) -> DataFrame:
+    """Partial counts of posts in one pass, of which every report of counts is made: by
+    day, platform, status and whether a competitor is named, once for the posts
+    (``of_post``) and once more by category, for each time that a post names it. Few rows
+    whatever the posts: ``n``, ``newest``, and ``seen``, where newest-first rows show the
+    group first. Roll-ups of disjoint posts merge."""
+    named = F.transform(
+        F.coalesce("categories", F.array().cast("array<string>")),
+        lambda c, i: F.struct(F.lit(False).alias("of_post"), i.alias("pos"), c.alias("category")),
+    )
+    itself = F.struct(F.lit(True).alias("of_post"), F.lit(0).alias("pos"), F.lit(None).cast("string").alias("category"))
+    facts = posts.select(
+        times.day_of(F.col("discovered_at")).alias("day"), "platform", "status",
+        tags.has_competitor(F.col("competitors")).alias("competitor"), "discovered_at", "id",
+        F.explode(F.concat(F.array(itself), named)).alias("fact"),
+    ).select("*", "fact.*")
+    return facts.groupBy(*ROLLUP_KEYS).agg(
+        F.count("*").alias("n"), F.max("discovered_at").alias("newest"),
+        F.min(F.struct((-F.unix_micros("discovered_at")).alias("age"), "id", "pos")).alias("seen"),
+    )
+
+
+def merge_rollups(*rollups: DataFrame) -> DataFrame:
+    """The roll-up of the posts of several ones."""
+    every = rollups[0]
+    for other in rollups[1:]:
+        every = every.unionByName(other)
+    return every.groupBy(*ROLLUP_KEYS).agg(
+        F.sum("n").alias("n"), F.max("newest").alias("newest"), F.min("seen").alias("seen")
+    )
+
+
+def rolled_counts(rollup: DataFrame, key: Column, name: str) -> DataFrame:
+    """``count_by`` from a roll-up."""
+    return rollup.filter("of_post").groupBy(key.alias(name)).agg(
+        F.sum("n").alias("n"), F.max("newest").alias("newest")
+    )
+
+
+def rolled_topics(rollup: DataFrame) -> DataFrame:
+    """``topic_counts`` from a roll-up."""
+    return rollup.filter("NOT of_post").groupBy("category").agg(F.sum("n").alias("n"), F.min("seen").alias("seen"))
+
+
+def rolled_days(rollup: DataFrame) -> DataFrame:
+    """``posts_per_day`` from a roll-up."""
+    return rollup.filter("of_post AND day IS NOT NULL").groupBy("day").agg(F.sum("n").alias("n"))
+
+
 def topic_counts(posts: DataFrame) -> DataFrame:
     """Count per category; a category a post names twice counts twice. ``seen`` is
     where newest-first rows, those of one instant by id, show it first."""
@@ -62,10 +115,14 @@ def topic_counts(posts: DataFrame) -> DataFrame:
 def top_topics(posts: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` most frequent categories. Equal counts keep the order in which
     the newest-first rows show them."""
+    return first_topics(topic_counts(posts), k)
+
+
+def first_topics(counts: DataFrame, k: int) -> DataFrame:
+    """The ``k`` topics with the highest counts; the counts are one row per topic."""
     w = Window.orderBy(F.desc("n"), F.asc("seen"), F.asc("category"))
     return (
-        topic_counts(posts)
-        .withColumn("rank", F.row_number().over(w))
+        counts.withColumn("rank", F.row_number().over(w))
         .filter(F.col("rank") <= k)
         .select("rank", "category", "n")
     )
@@ -127,12 +184,16 @@ def daily_summary(
     picks: int = 5,
 ) -> DataFrame:
     """The day in rows (section, rank, key, value): total, count per platform, top
-    topics, newest posts. No rows at all when the window holds no post."""
-    window = posts.filter(F.col("discovered_at") >= views.ago(as_of, hours, "HOURS"))
+    topics, newest posts. No rows at all when the window holds no post. The posts are
+    scanned once: the window, a day's narrow rows, is written and rolled up."""
+    shown = ["id", "discovered_at", "platform", "status", "categories", "competitors", "post_title", "post_url"]
+    recent = posts.filter(F.col("discovered_at") >= views.ago(as_of, hours, "HOURS")).select(*shown)
+    window = written(recent, "window")
+    rollup = written(roll_up(window), "rollup")
     shape = ["section", "rank", "key", "value"]
 
     total = (
-        window.agg(F.count("*").alias("n"))
+        rollup.filter("of_post").agg(F.sum("n").alias("n"))
         .filter("n > 0")
         .select(
             F.lit("total").alias("section"), F.lit(1).alias("rank"),
@@ -140,11 +201,11 @@ def daily_summary(
         )
     )
     platform = F.coalesce(text.empty_to_null(F.col("platform")), F.lit("other"))
-    by_platform = ranked(count_by(window, platform, "p"), "p").select(
+    by_platform = ranked(rolled_counts(rollup, platform, "p"), "p").select(
         F.lit("platform").alias("section"), "rank",
         text.label(F.col("p"), labels).alias("key"), F.col("n").cast("string").alias("value"),
     )
-    top = top_topics(window, topics).select(
+    top = first_topics(rolled_topics(rollup), topics).select(
         F.lit("topic").alias("section"), "rank",
         F.col("category").alias("key"), F.col("n").cast("string").alias("value"),
     )

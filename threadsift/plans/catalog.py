@@ -423,11 +423,10 @@ def run_errors(spark, sf):
 
 @query
 def zero_volume_days(spark, sf):
-    """Days on which one author had no completed post."""
-    quiet = fx.posts(spark, sf).filter(
-        (F.col("author_handle") == "u1") & (F.col("status") == "completed")
-    )
-    return plain(health.zero_volume_days(reports.posts_per_day(quiet), AS_OF))
+    """Of each author's last days, those without a post of theirs."""
+    posts = fx.posts(spark, sf).filter(F.col("discovered_at").isNotNull())
+    per_day = posts.groupBy("author_handle", times.day_of(F.col("discovered_at")).alias("day")).agg(F.count("*").alias("n"))
+    return plain(health.zero_volume_days_by(per_day, "author_handle", AS_OF))
 
 
 @query
@@ -574,6 +573,62 @@ def classify_hook(spark, sf):
     return plain(kept.select("post_url", "summary", "categories"))
 
 
+def refusing(predict, mark: str):
+    """A model that fails on every batch with a text that holds ``mark``."""
+
+    def run(batch):
+        if batch["body"].str.contains(mark, regex=False, na=False).any():
+            raise ValueError("refused")
+        return predict(batch)
+
+    return run
+
+
+@query
+def classify_faults(spark, sf):
+    """All documents, classified by a model that refuses texts with an access key."""
+    docs = fx.table(spark, sf, "documents").select(F.col("doc_id").alias("seq"), "source", F.col("text").alias("body"))
+    given = docs.select(
+        "seq", F.concat(F.lit("https://d.example/"), F.col("seq").cast("string")).alias("post_url"), "body",
+        F.lit("x").alias("platform"), F.lit("").alias("post_title"), F.col("source").alias("author_handle"),
+        *(F.lit(None).cast("string").alias(c) for c in ("posted_at", "summary", "opportunity")),
+        *(F.lit(None).cast("array<string>").alias(c) for c in ("categories", "competitors")),
+    )
+    predict = refusing(records.keyword_rules(CLASS_RULES), "AKIA")
+    found = records.classify_or_fault(
+        given.select("seq", *schemas.POST_FIELDS), given.select("seq", "post_url", "body"), predict
+    )
+    return plain(found.select("seq", "categories", "fault"))
+
+
+@query
+def schema_evolution(spark, sf):
+    """Posts from files that were written before and after the list of competitors came."""
+    path = f"{work_dir(spark, 'evolved')}/posts"
+    posts = fx.posts(spark, sf).select("id", "platform", "discovered_at", "competitors")
+    early = F.col("discovered_at") < times.as_timestamp(fx.STORE_CUTOFF)
+    posts.filter(early).drop("competitors").write.parquet(path)
+    posts.filter(~early).write.mode("append").parquet(path)
+    none = F.array().cast("array<string>")
+    return plain(landed.evolved(spark, path, {"competitors": none}).select("id", "platform", "competitors"))
+
+
+@query
+def priority_pool(spark, sf):
+    """Raw candidates, then the batch as the pool of the priority platform: the copies'
+    platform in the merged pools."""
+    pools = jobs.combine(fx.posts_raw(spark, sf), jobs.priority(fx.batch(spark, sf)))
+    return dedup.merge_copies(pools).select("post_url", "platform")
+
+
+@query
+def model_landed(spark, sf):
+    """Valid records of model responses that were landed as lines of text."""
+    path = f"{work_dir(spark, 'responses')}/responses"
+    fx.model_responses(spark, sf).select("payload").write.text(path)
+    return jobs.model_pool(landed.model_responses(spark, path)).select("platform", "post_url", "post_title")
+
+
 @query
 def subset_guard(spark, sf):
     """Raw candidates whose URL, as given, is also a canonical URL of the batch."""

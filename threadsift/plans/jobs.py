@@ -31,28 +31,55 @@ def combine(*pools: DataFrame) -> DataFrame:
     return harvest.in_source_order(*numbered)
 
 
-def native_pool(
+FAULTS = "source string, item string, message string"
+
+
+def gather(spark, sources: dict[str, Callable[[], DataFrame]]) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The pools of all sources that can be read, each written once, and a row (source,
+    item, message) for each that failed: it drops only itself."""
+    pools, failed = {}, []
+    for name, read in sources.items():
+        try:
+            pools[name] = written(read(), name)
+        except Exception as failure:  # whatever a source fails with ends that source only
+            failed.append((name, None, f"{type(failure).__name__}: {str(failure).splitlines()[0] if str(failure) else ''}"))
+    return pools, spark.createDataFrame(failed, FAULTS)
+
+
+def native_pools(
     stories: DataFrame,
     questions: DataFrame,
     micro: DataFrame,
     predict: Callable,
     as_of,
     **options,
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame]:
     """Candidates of the three searched sources, in source order, classified by
-    ``predict`` with their snippets at hand."""
-    pools = [
-        harvest.harvest_stories(stories, as_of, **options),
-        harvest.harvest_questions(questions, as_of, **options),
-        harvest.harvest_micro_posts(micro, as_of, **options),
-    ]
-    found = harvest.in_source_order(*[harvest.sequence(p, i) for i, p in enumerate(pools)])
-    found = written(found, "pool")
-    return records.classify(
-        found.select("seq", *schemas.POST_FIELDS),
-        found.select("seq", "post_url", "body"),
-        predict,
+    ``predict`` with their snippets at hand; and what failed (source, item, message):
+    whole sources, and posts for which ``predict`` fails. The others go on."""
+    spark = stories.sparkSession
+    harvests = {
+        "stories": lambda: harvest.harvest_stories(stories, as_of, **options),
+        "questions": lambda: harvest.harvest_questions(questions, as_of, **options),
+        "micro": lambda: harvest.harvest_micro_posts(micro, as_of, **options),
+    }
+    pools, failed = gather(spark, harvests)
+    numbered = [harvest.sequence(pools[n], i) for i, n in enumerate(harvests) if n in pools]
+    if not numbered:
+        return spark.createDataFrame([], schemas.CANDIDATE), failed
+    found = written(harvest.in_source_order(*numbered), "pool")
+    answered = written(records.classify_or_fault(
+        found.select("seq", *schemas.POST_FIELDS), found.select("seq", "post_url", "body"), predict
+    ), "classified")
+    refused = answered.filter(F.col("fault").isNotNull()).select(
+        F.lit("classify").alias("source"), F.col("post_url").alias("item"), F.col("fault").alias("message")
     )
+    return answered.filter(F.col("fault").isNull()).drop("fault"), failed.unionByName(refused)
+
+
+def native_pool(stories: DataFrame, questions: DataFrame, micro: DataFrame, predict: Callable, as_of, **options) -> DataFrame:
+    """The candidates of ``native_pools`` alone."""
+    return native_pools(stories, questions, micro, predict, as_of, **options)[0]
 
 
 def model_pool(responses: DataFrame) -> DataFrame:

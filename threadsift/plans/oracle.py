@@ -630,11 +630,12 @@ SELECT id, message, CAST(resolved AS VARCHAR) AS resolved, resolved_at, resolved
         "run_errors": f"""WITH {RUNS} SELECT r.id, r.error_id, left(e.message, 20) AS message,
   CASE WHEN e.id IS NOT NULL THEN 'false' END AS resolved
 FROM runs r LEFT JOIN error_log e ON e.id = r.error_id""",
-        "zero_volume_days": f"""WITH {POSTS}
-SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS day
-FROM generate_series(DATE '2024-01-24', DATE '2024-01-30', INTERVAL 1 DAY) AS g(d)
-WHERE isodow(d) <> 7 AND CAST(d AS DATE) NOT IN (SELECT CAST(discovered_at AS DATE) FROM posts
-  WHERE author_handle = 'u1' AND status = 'completed')""",
+        "zero_volume_days": f"""WITH {POSTS},
+own AS (SELECT DISTINCT author_handle FROM posts)
+SELECT author_handle, CAST(CAST(d AS DATE) AS VARCHAR) AS day
+FROM own, generate_series(DATE '2024-01-24', DATE '2024-01-30', INTERVAL 1 DAY) AS g(d)
+WHERE isodow(d) <> 7 AND NOT EXISTS (SELECT 1 FROM posts p WHERE CAST(p.discovered_at AS DATE) = CAST(d AS DATE)
+  AND p.author_handle IS NOT DISTINCT FROM own.author_handle)""",
         "health_findings": f"""WITH {_findings(340, [*refdata.EXPECTED_PLATFORMS, 'newsgroup'])}
 SELECT * FROM findings""",
         "health_verdict": f"""WITH {_findings(100, refdata.EXPECTED_PLATFORMS)}
@@ -678,6 +679,23 @@ c AS (SELECT post_url, {_keyword_category("lower(post_title || chr(10) || coales
   FROM story_pool)
 SELECT post_url, 'Matched ' || array_to_string(categories, ', ') AS summary,
   {_join('categories')} AS categories FROM c WHERE len(categories) > 0""",
+        "classify_faults": f"""WITH c AS (
+  SELECT doc_id AS seq, contains(coalesce(text, ''), 'AKIA') AS refused,
+    {_keyword_category("lower(chr(10) || coalesce(text, ''))")} AS categories FROM documents)
+SELECT seq, CASE WHEN NOT refused THEN {_join('categories')} END AS categories,
+  CASE WHEN refused THEN 'ValueError: refused' END AS fault
+FROM c WHERE refused OR len(categories) > 0""",
+        "schema_evolution": f"""WITH {POSTS} SELECT id, platform,
+  CASE WHEN discovered_at < {CUTOFF} THEN '' ELSE {_join('competitors')} END AS competitors FROM posts""",
+        "priority_pool": f"""WITH {BATCH},
+u AS (SELECT post_url, platform, {{'p': 0, 's': seq}} AS place FROM posts_raw
+  UNION ALL SELECT post_url, 'ade', {{'p': 1, 's': seq}} FROM batch)
+SELECT post_url, CASE WHEN bool_or(platform = 'ade') THEN 'ade' ELSE arg_min(platform, place) END AS platform
+FROM u GROUP BY post_url""",
+        "model_landed": f"""WITH {MODEL},
+r AS (SELECT response_id AS n, unnest([0, 1]) AS pos FROM responses WHERE fault IS NULL AND response_id % 13 <> 0)
+SELECT 'x' AS platform, 'https://m.example/' || n AS post_url, 'T ' || n AS post_title
+FROM r WHERE pos = 0 OR n % 6 IN (0, 4)""",
         "subset_guard": f"""WITH {BATCH} SELECT seq, post_url FROM posts_raw
 WHERE post_url IN (SELECT post_url FROM batch)""",
         "snippet_lookup": f"""WITH {BATCH},

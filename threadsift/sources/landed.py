@@ -6,7 +6,7 @@ rows of NULLs, which the operators drop as incomplete.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
 
@@ -70,3 +70,12 @@ def candidate_stream(
 
 def report_stream(spark: SparkSession, path: str, schema: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     return spark.readStream.schema(schema).option("maxBytesPerTrigger", batch_bytes).parquet(path)
+
+
+def evolved(spark: SparkSession, path: str, defaults: dict[str, Column]) -> DataFrame:
+    """A table whose older files lack columns that newer ones have: all columns of all
+    files, NULLs of the given ones filled with their default."""
+    merged = spark.read.option("mergeSchema", "true").parquet(path)
+    missing = {c: v for c, v in defaults.items() if c not in merged.columns}
+    held = {c: F.coalesce(F.col(c), v) for c, v in defaults.items() if c in merged.columns}
+    return merged.withColumns({**held, **missing})
