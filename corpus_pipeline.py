@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from threadsift.llm import classifier, neardup, packing, quality_rules, secrets, tokens
 from threadsift.llm.common import table
@@ -37,14 +37,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret replaced by a mark."""
-    found = secrets.with_secrets(docs)
-    clean = found.withColumn("text", F.when(F.size("secrets") > 0, secrets.redacted("text", "secrets", MARK)).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        clean = clean.withColumn(
-            "n_chars", F.when(F.size("secrets") > 0, F.char_length("text").cast(kind)).otherwise(F.col("n_chars"))
-        )
-    return clean.select(*(F.col(f"`{c}`") for c in docs.columns))
+    return secrets.redact(docs, MARK)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -171,6 +171,26 @@ def test_record_starts_inside_payloads_are_rejected(spark, split):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_settings_that_change_later_lose_no_record(spark, tmp_path):
+    """Records with version lines inside, read under other splits than they were found with."""
+    fake = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    rows = [(k, f"http://a/{k}", fake * (k % 5) + f"{k} " * 40, "own", "file") for k in range(120)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest string, split string")
+    warc.write(pages.repartition(3), str(tmp_path / "a"))
+    sizes = "spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum"
+    old = [spark.conf.get(n) for n in sizes]
+    try:
+        spark.conf.set(sizes[0], "3000")
+        found = warc.read(spark, str(tmp_path / "a"))
+        spark.conf.set(sizes[0], "128m")
+        spark.conf.set(sizes[1], "1")
+        blocks = {bytes(r["block"]).decode().split("\r\n\r\n", 1)[1] for r in found.collect()}
+    finally:
+        for n, v in zip(sizes, old):
+            spark.conf.set(n, v)
+    assert blocks == {r[2] for r in rows}
+
+
 def test_no_pages_and_repeated_rows(spark):
     kind = "page_id long, url string, html string"
     assert warc.write_read(spark.createDataFrame([], kind)).count() == 0

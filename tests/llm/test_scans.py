@@ -1,10 +1,14 @@
 """Secrets, personal data and quality rules against plain Python."""
 
 import hashlib
+import math
 import re
+import unicodedata
 from collections import Counter
+from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from threadsift.llm import pii, quality_rules, secrets
 from threadsift.llm.spans import with_matches
@@ -184,7 +188,72 @@ def test_kept_documents_are_those_judged_so(documents, labels):
 def test_binomial_bounds():
     assert quality_rules.binomial_tail(0, 10, 0.1) == pytest.approx(0.9**10)
     assert quality_rules.binomial_tail(3, 3, 0.1) == 1
-    assert not quality_rules.safe(0, 100) and quality_rules.safe(0, 10_000) and not quality_rules.safe(100, 10_000)
+
+
+def exact_tail(k, n, p):
+    return sum(Fraction(math.comb(n, i)) * p**i * (1 - p) ** (n - i) for i in range(min(k, n) + 1))
+
+
+def plain_verdicts(rows, good, risk=Fraction(1, 100), delta=Fraction(1, 20)):
+    """Strata's cutoffs with exact fractions; rows: key -> (stratum, values by rule, base_failed)."""
+    steps = quality_rules.path()
+    share = {s: delta / 5 for s in (*quality_rules.STRATA, "other")}
+    own = {s: [v for k, (t, v, failed) in rows.items() if t == s and k in good and not failed] for s in share}
+    done, open_ = dict.fromkeys(share, 0), set(share)
+    while open_:
+        for s in open_:
+            while own[s] and done[s] < len(steps):
+                bad = sum(any(v[r] > c for r, c in steps[done[s]].items()) for v in own[s])
+                if exact_tail(bad, len(own[s]), risk) > share[s]:
+                    break
+                done[s] += 1
+        ended = {s for s in open_ if done[s] == len(steps)}
+        open_ -= ended
+        if not ended:
+            break
+        for s in open_:
+            share[s] += sum(share[e] for e in ended) / len(open_)
+    cut = {s: steps[n - 1] for s, n in done.items() if n}
+    return {k: not failed and not any(v[r] > c for r, c in cut.get(s, {}).items()) for k, (s, v, failed) in rows.items()}, cut
+
+
+def test_steps_only_tighten():
+    steps = quality_rules.path()
+    assert len(steps) == 1 + sum(len(grid) - 1 for _, grid in quality_rules.RULES.values())
+    for a, b in zip(steps, steps[1:]):
+        assert sum(b[r] < a[r] for r in a) == 1 and all(b[r] <= a[r] for r in a)
+
+
+def test_a_stratum_that_ends_leaves_its_share():
+    all_ = {"en": [0, 0], "de": [0, 0]}
+    assert quality_rules.passed(all_, {"en": 459, "de": 458}) == {"de": 2, "en": 2, "es": 0, "fr": 0, "other": 0}
+    assert quality_rules.passed({"en": [0, 9], "de": [0, 0]}, {"en": 459, "de": 458})["de"] == 0
+    assert quality_rules.passed(all_, {"en": 458, "de": 458})["en"] == 0
+    assert quality_rules.passed({}, {}) == dict.fromkeys([*quality_rules.STRATA, "other"], 0)
+
+
+def test_verdicts_come_from_the_cutoffs(spark):
+    """The whole of a larger table: the method acts there, and each verdict is that of a plain
+    computation with exact fractions."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    good = {}
+    for r in labels.collect():
+        good[r["doc_id"]] = min(good.get(r["doc_id"], 1), r["quality"])
+    good = {k for k, q in good.items() if q == 1}
+    texts, rows = {r["doc_id"]: r for r in docs.collect()}, {}
+    for k, r in texts.items():
+        text = r["text"] or ""
+        n, chars, symbols, dup, repeat = statistics(text)
+        lines = sum(bool(WORD.search(line)) for line in text.split("\n"))
+        upper = sum(unicodedata.category(c) == "Lu" for c in text)
+        values = {"symbols": symbols / max(chars, 1), "dup_lines": dup / max(lines, 1), "repeats": repeat / max(n, 1), "upper": upper / max(chars, 1)}
+        rows[k] = (r["lang"] if r["lang"] in quality_rules.STRATA else "other", values, n < 20 or 100 * repeat > 30 * n)
+    want, cut = plain_verdicts(rows, good)
+    judged = {r["doc_id"]: r for r in quality_rules.judge(docs, labels).collect()}
+    assert "en" in cut and {k: r["kept"] for k, r in judged.items()} == want
+    added = [k for k, r in judged.items() if not r["kept"] and not r["base_failed"]]
+    assert len(added) > 50 and sum(k in good for k in added) <= 0.01 * len(good)
 
 
 def test_cutoffs_keep_the_risk_by_stratum(spark):
@@ -198,6 +267,29 @@ def test_cutoffs_keep_the_risk_by_stratum(spark):
     assert quality_rules.cutoffs(df, labels.where("false")) == {}
 
 
+CLASHES = ["n_words", "n_lines", "secrets", "kinds", "key", "doc", "__kinds", "__text", "found_key", "lang2", "step", "clean"]
+
+
+def test_columns_of_the_caller_stay(spark, odd, no_labels):
+    """Names that the operators use inside: their values come back as they were."""
+    plain = (30, " ".join(f"w{i}" for i in range(40)), "en", "a", 5, "x", 1, "k")
+    df = odd.where("doc_id IS NULL OR doc_id <> 8").unionByName(spark.createDataFrame([plain], odd.schema))
+    for i, name in enumerate(CLASHES):
+        df = df.withColumn(name, F.concat(F.lit(f"{i}:"), F.col("doc_id").cast("string")))
+    given = {str(r) for r in df.collect()}
+    clean = secrets.redact(df, "[X]")
+    assert clean.columns == df.columns and {str(r) for r in clean.collect()} == given
+    kept = quality_rules.kept(df, no_labels)
+    assert kept.columns == df.columns and [str(r) for r in kept.collect()] == [str(df.where("doc_id = 30").first())]
+    with pytest.raises(ValueError):
+        secrets.with_secrets(df)
+    named = secrets.with_secrets(df, name="found")
+    assert named.columns == [*df.columns, "found"] and {str(r) for r in named.drop("found").collect()} == given
+    hidden = spark.createDataFrame([(1, "x", "a token: abcdefg!", 17), (None, "y", None, 3)], "doc_id long, secrets string, text string, n_chars int")
+    assert [tuple(r) for r in secrets.redact(hidden, "[X]").orderBy("n_chars").collect()] == [(None, "y", None, 3), (1, "x", "a [X]!", 6)]
+    assert secrets.redact(hidden.limit(0), "[X]").count() == 0
+
+
 def test_odd_rows(odd, empty, no_labels):
     rows = {(r["doc_id"], r["n_words"]) for r in quality_rules.judge(odd, no_labels).collect()}
     assert rows == {(1, 0), (2, 0), (3, 1), (4, 1), (5, 0), (6, 30_001), (7, 5), (None, 60), (8, 1)}

@@ -1,15 +1,18 @@
 """Quality rules with risk-controlled thresholds.
 
 Each rule compares one statistic of a text with a cutoff. The cutoffs are chosen from
-labelled documents: for every stratum (language) and rule, the strictest cutoff of a
-fixed grid is taken for which an exact binomial test shows that fewer than ``RISK`` of
-the stratum's good documents would be rejected. All tests together hold with
-probability ``1 - DELTA``: Bonferroni over strata, rules and grid points, and the risk
-is divided among the rules. A stratum without enough labels rejects nothing beyond
-the base rules.
-
-DataFrame functions only. The statistics are one narrow pass; labels meet them by key
-without the texts; only counts for each stratum, rule and grid point (a fixed number)
+labelled documents, for each stratum (language) on its own: along a fixed path of joint
+cutoffs, from lax to strict, the strictest is taken for which, and for all before it, an
+exact binomial test shows that fewer than ``RISK`` of the stratum's good documents are
+rejected by any of the rules. Testing in a fixed order, up to the first failure, needs
+no correction for the number of steps. The strata share the error probability
+``DELTA``; one whose path was passed to its end leaves its share to the others (a
+Bonferroni-Holm procedure by alpha recycling), so that with probability ``1 - DELTA`` no
+stratum exceeds its risk. A stratum with fewer than about 460 good labels rejects nothing
+beyond the base rules.
+
+DataFrame functions only. The statistics are one narrow pass, written once; labels meet
+them by key without the texts; only counts for each stratum and step (a fixed number)
 reach the driver, and the cutoffs return as literals.
 """
 
@@ -23,8 +26,8 @@ from ..functions.stage import once
 from ..session import written
 from .spans import quoted
 
-#: Highest share of good documents that may be rejected in a stratum, and the
-#: probability that this fails anywhere.
+#: Highest share of good documents that may be rejected in a stratum by all rules
+#: together, and the probability that this fails anywhere.
 RISK, DELTA = 0.01, 0.05
 #: Languages with cutoffs of their own; all others, and null, are one more stratum.
 STRATA = ("de", "en", "es", "fr")
@@ -113,34 +116,63 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return min(1.0, math.exp(top) * math.fsum(math.exp(t - top) for t in terms))
 
 
-def safe(rejected: int, good: int, risk: float = RISK, delta: float = DELTA) -> bool:
-    """Whether a cutoff that rejects so many good holdouts is shown to keep its share
-    of the risk, at its share of the error probability."""
-    share = risk / len(RULES)
-    tests = (len(STRATA) + 1) * sum(len(grid) for _, grid in RULES.values())
-    return good > 0 and rejected < share * good and binomial_tail(rejected, good, share) <= delta / tests
+def path() -> list[dict[str, float]]:
+    """Joint cutoffs from lax to strict: each step tightens one rule, in turns."""
+    place = {rule: len(grid) - 1 for rule, (_, grid) in RULES.items()}
+    steps = [dict(place)]
+    while any(place.values()):
+        for rule in RULES:
+            if place[rule]:
+                place[rule] -= 1
+                steps.append(dict(place))
+    return [{rule: RULES[rule][1][i] for rule, i in step.items()} for step in steps]
+
+
+def passed(counts: dict[str, list[int]], good: dict[str, int], risk: float = RISK, delta: float = DELTA) -> dict[str, int]:
+    """Stratum -> number of steps passed, from the good documents that each step rejects.
+    A stratum that passes all its steps leaves its share of ``delta`` to the others."""
+    share = {s: delta / (len(STRATA) + 1) for s in (*STRATA, OTHER)}
+    done = dict.fromkeys(share, 0)
+    open_ = set(share)
+    while True:
+        for s in open_:
+            own = counts.get(s, [])
+            while done[s] < len(own) and good.get(s) and binomial_tail(own[done[s]], good[s], risk) <= share[s]:
+                done[s] += 1
+        ended = {s for s in open_ if counts.get(s) and done[s] == len(counts[s])}
+        open_ -= ended
+        if not ended or not open_:
+            return done
+        left = sum(share[s] for s in ended)
+        for s in open_:
+            share[s] += left / len(open_)
 
 
 def cutoffs(
     statistics: DataFrame, labels: DataFrame, key: str = "doc_id", lang: str = "lang",
-    risk: float = RISK, delta: float = DELTA,
+    risk: float = RISK, delta: float = DELTA, label_key: str = "doc_id", label: str = "quality",
 ) -> dict[str, dict[str, float]]:
     """Stratum -> rule -> cutoff, from the labelled documents that pass the base
     rules. A document with several labels is good if all say so."""
-    good = labels.groupBy(F.col("doc_id").alias("__key")).agg(F.min("quality").alias("q")).where("q = 1")
-    held = statistics.join(good, F.col(key) == F.col("__key"), "left_semi").where(f"NOT {BASE_FAILED}")
-    counts = held.groupBy(F.expr(stratum(lang)).alias("s")).agg(
-        F.count("*").alias("good"),
-        *(F.sum(F.expr(f"cast({value} > {cut} AS long)")).alias(f"{rule}_{i}")
-          for rule, (value, grid) in RULES.items() for i, cut in enumerate(grid)),
-    ).collect()  # a row for each stratum, five at most
-    found: dict[str, dict[str, float]] = {}
-    for row in counts:
-        for rule, (_, grid) in RULES.items():
-            passed = [c for i, c in enumerate(grid) if safe(row[f"{rule}_{i}"], row["good"], risk, delta)]
-            if passed:
-                found.setdefault(row["s"], {})[rule] = passed[0]
-    return found
+    steps = path()
+    good = labels.groupBy(F.col(label_key).alias("label_key")).agg(F.min(label).alias("q")).where("q = 1")
+    first = " ".join(
+        "WHEN " + " OR ".join(f"{RULES[rule][0]} > {cut}" for rule, cut in step.items()) + f" THEN {i}" for i, step in enumerate(steps)
+    )
+    narrow = statistics.select(
+        F.col(f"`{key}`").alias("key"), F.expr(stratum(lang)).alias("s"), F.expr(BASE_FAILED).alias("failed"),
+        F.expr(f"CASE {first} END").alias("step"),
+    ).where("NOT failed")
+    rows = narrow.join(good, F.col("key") == F.col("label_key"), "left_semi").groupBy("s", "step").count().collect()
+    total: dict[str, int] = {}  # the rows: one for each stratum and step at most
+    at: dict[str, list[int]] = {}
+    for r in rows:
+        total[r["s"]] = total.get(r["s"], 0) + r["count"]
+        own = at.setdefault(r["s"], [0] * len(steps))
+        if r["step"] is not None:  # rejected from this step on, as steps only tighten
+            for i in range(r["step"], len(steps)):
+                own[i] += r["count"]
+    return {s: steps[n - 1] for s, n in passed(at, total, risk, delta).items() if n}
 
 
 def rejected(chosen: dict[str, dict[str, float]], lang: str = "lang") -> Column:
@@ -152,28 +184,33 @@ def rejected(chosen: dict[str, dict[str, float]], lang: str = "lang") -> Column:
     return F.expr(" OR ".join(branches) if branches else "false")
 
 
+def _measured(docs: DataFrame, key: str, text: str, lang: str, columns: list[str]) -> DataFrame:
+    """doc (a struct of the columns, so that none clashes), key, lang and the statistics of
+    every row, written once."""
+    own = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in columns)).alias("doc"), F.col(f"`{key}`").alias("key"),
+        F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"),
+    )
+    return written(with_statistics(own).drop("text"), "quality")
+
+
 def judge(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
 ) -> DataFrame:
     """Statistics and verdict of every document. Texts of no words fail the base
     rules; a null language is in the stratum of the others; repeated rows give
     repeated rows; without labels only the base rules decide."""
-    narrow = written(
-        with_statistics(docs.select(F.col(key), F.col(lang), F.col(text)), text)
-        .select(key, lang, *STATISTICS), "quality",
-    )
-    chosen = cutoffs(narrow, labels, key, lang)
-    return narrow.select(
-        key, *BASE, F.expr(BASE_FAILED).alias("base_failed"),
-        (~(F.expr(BASE_FAILED) | rejected(chosen, lang))).alias("kept"),
+    own = _measured(docs, key, text, lang, [key])
+    chosen = cutoffs(own, labels, "key")
+    return own.select(
+        F.col("key").alias(key), *BASE, F.expr(BASE_FAILED).alias("base_failed"),
+        (~(F.expr(BASE_FAILED) | rejected(chosen))).alias("kept"),
     )
 
 
 def kept(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The documents that pass, with their columns. The statistics are made twice, once
-    for the cutoffs and once to filter, so that texts are not shuffled."""
-    own = with_statistics(docs.select(F.col(key), F.col(lang), F.col(text)), text)
-    chosen = cutoffs(own.select(key, lang, *STATISTICS), labels, key, lang)
-    judged = with_statistics(docs.select("*", F.col(text).alias("__text")), "__text")
-    passed = judged.where(~(F.expr(BASE_FAILED) | rejected(chosen, lang)))
-    return passed.select(*(F.col(f"`{c}`") for c in docs.columns))
+    """The documents that pass, with their columns. They are written once with their
+    statistics, which give the cutoffs and then the verdicts; texts are not shuffled."""
+    own = _measured(docs, key, text, lang, docs.columns)
+    passing = own.where(~(F.expr(BASE_FAILED) | rejected(cutoffs(own, labels, "key"))))
+    return passing.select(*(F.col(f"doc.`{c}`").alias(c) for c in docs.columns))

@@ -169,34 +169,63 @@ def candidates(index: DataFrame, key: str, rules: list[Rule]) -> DataFrame:
     return found.selectExpr(f"`{key}`", f"array_compact(array({kinds})) AS kinds").where("size(kinds) > 0")
 
 
-def with_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: list[Rule] = RULES) -> DataFrame:
-    """All columns of the documents and ``secrets``: spans (kind, start, end) by
-    start, then kind as listed. A null text has none; documents without a key are
-    searched with every rule."""
+def _found(docs: DataFrame, key: str, text: str, rules: list[Rule]) -> DataFrame:
+    """doc (all columns of a row, in a struct, so that none clashes), text (null: empty)
+    and secrets of every row."""
     own = {r.kind: trigram_query(r.pattern) for r in rules}
     wanted = set().union(*map(trigrams, own.values()))
-    body = docs.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
+    body = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.col(f"`{key}`").alias("key"),
+        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
+    )
     if wanted:
-        index = written(postings(body.where(f"`{key}` IS NOT NULL"), key, "__text", list(wanted)), "trigrams")
-        found = candidates(index, key, rules).withColumnRenamed(key, "__key")
-        body = body.join(found.withColumnRenamed("kinds", "__kinds"), F.col(key) == F.col("__key"), "left").drop("__key")
+        index = written(postings(body.where("key IS NOT NULL"), "key", "text", list(wanted)), "trigrams")
+        found = candidates(index, "key", rules).withColumnRenamed("key", "found_key")
+        body = body.join(found, F.col("key") == F.col("found_key"), "left").drop("found_key")
     else:
-        body = body.withColumn("__kinds", F.lit(None).cast("array<string>"))
+        body = body.withColumn("kinds", F.lit(None).cast("array<string>"))
     searched = {
-        f"__{r.kind}": (
+        f"of_{r.kind}": (
             r.pattern,
-            f"__text RLIKE {quoted(r.pattern)}" if own[r.kind] is True
-            else f"`{key}` IS NULL OR array_contains(__kinds, {quoted(r.kind)})",
+            f"text RLIKE {quoted(r.pattern)}" if own[r.kind] is True
+            else f"key IS NULL OR array_contains(kinds, {quoted(r.kind)})",
         )
         for r in rules
     }
     spans = ", ".join(
-        f"transform(filter(__{r.kind}, s -> {r.keep}), s -> named_struct("
+        f"transform(filter(of_{r.kind}, s -> {r.keep}), s -> named_struct("
         f"'start', s.start, 'rank', {i}, 'kind', {quoted(r.kind)}, 'end', s.end))"
         for i, r in enumerate(rules)
     )
-    out = with_matches(body, "__text", searched).withColumn("secrets", F.expr(f"array_sort(concat({spans}))"))
-    return out.select(*(F.col(f"`{c}`") for c in docs.columns), "secrets")
+    out = with_matches(body, "text", searched).withColumn("secrets", F.expr(f"array_sort(concat({spans}))"))
+    return out.select("doc", "text", "secrets")
+
+
+def with_secrets(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", rules: list[Rule] = RULES, name: str = "secrets",
+) -> DataFrame:
+    """All columns of the documents and, as ``name``, spans (kind, start, end) by start,
+    then kind as listed. A null text has none; documents without a key are searched with
+    every rule. A ``name`` that the documents have already is refused."""
+    if name in docs.columns:
+        raise ValueError(f"the documents have a column {name}; give another name")
+    found = _found(docs, key, text, rules)
+    return found.select(*(F.col(f"doc.`{c}`").alias(c) for c in docs.columns), F.col("secrets").alias(name))
+
+
+def redact(
+    docs: DataFrame, mark: str, key: str = "doc_id", text: str = "text", n_chars: str = "n_chars", rules: list[Rule] = RULES,
+) -> DataFrame:
+    """The documents, with their columns, with every secret replaced by a mark, and
+    ``n_chars``, where there is such a column, that of the new text. Rows without secrets
+    stay as they are, null texts too."""
+    found = _found(docs, key, text, rules)
+    clean = found.withColumn("clean", F.when(F.size("secrets") > 0, redacted("text", "secrets", mark)))
+    changed = {text: F.coalesce("clean", f"doc.`{text}`")}
+    if n_chars in docs.columns:
+        kind = docs.schema[n_chars].dataType
+        changed[n_chars] = F.coalesce(F.char_length("clean").cast(kind), F.col(f"doc.`{n_chars}`"))
+    return clean.select(*(changed.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns))
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

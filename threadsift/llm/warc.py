@@ -17,6 +17,8 @@ candidates are records; what lies between two of them belongs to the first.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -177,6 +179,19 @@ def reachable(candidates: DataFrame) -> DataFrame:
     return located.groupBy("file", "split").cogroup(steps.groupBy("file", "split")).applyInArrow(_walk, "file string, place long")
 
 
+@contextmanager
+def _fixed_splits(spark: SparkSession) -> Iterator[None]:
+    """Scans in this block split files alike: without a number of their own, splits follow
+    the number of cores, and that changes as executors come and go."""
+    name = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, before or spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
 def read(spark: SparkSession, folder: str, derive: dict[str, str] | None = None) -> DataFrame:
     """The records of all archives: file, place, header fields, and the columns that
     ``derive`` names as SQL over ``block`` and the fields (by default the block). A
@@ -206,7 +221,8 @@ def read(spark: SparkSession, folder: str, derive: dict[str, str] | None = None)
         f"""aggregate(slice(parts, 2, size(parts)), parts[0].value,
             (a, p) -> concat(a, cast({_sql(MAGIC)} AS binary), p.value))"""
     ).alias("raw"))
-    return single.unionByName(_parsed(raw, "raw", derive).where("whole").select("file", "record", *shown))
+    joined = written(_parsed(raw, "raw", derive).where("whole").select("file", "record", *shown), "gathered")
+    return single.unionByName(joined)
 
 
 def write_read(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
