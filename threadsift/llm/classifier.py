@@ -30,7 +30,7 @@ WORD_WEIGHT = 4
 TRAIN_ROWS, STEPS, BATCH, RATE = 6000, 1200, 32, 4.0
 #: Documents of at least this score are predicted to be good.
 CUTOFF = 0.7
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 
 def held_out(key: str) -> Column:
