@@ -113,7 +113,6 @@ LATIN_END = 0x024F
 NON_LATIN_LIMIT = 0.20
 QUEUE_CAP = 500
 REPORT_CAP = 10_000
-DIGEST_CAP = 500
 LIST_LIMIT = 100
 LIST_LIMIT_MAX = 500
 RUNS_DAYS = 90
@@ -126,5 +125,4 @@ RATE_WINDOW_S = 3600
 REPEAT_TTL_S = 60
 RUNAWAY_PER_DAY = 100
 ERRORS_PER_WEEK = 50
-COUNT_CAP = 20_000
 SEVERITIES = ["HEALTHY", "NEEDS_ATTENTION", "BROKEN"]
