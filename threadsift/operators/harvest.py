@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import refdata, schemas
 from ..functions import text, times
+from ..functions.sqltext import listed
 from ..functions.stage import once
 from .dedup import first_seen
 
@@ -35,6 +37,64 @@ def match_phrases(df: DataFrame, on: str, phrases: list[str]) -> DataFrame:
     )
 
 
+#: Letters of an anchor: of a part of a word, and on either side of a gap.
+GRAM, SIDE = 5, 4
+
+
+def _anchor(phrase: str) -> tuple[tuple[int, ...], str]:
+    """Kind and key of what a text must have to contain the phrase. Phrases of several
+    words have a gap: the end of a word and the beginning of the next one. Others are
+    part of a word, of which the first letters serve."""
+    parts = re.split(r"\s+", phrase, flags=re.ASCII)
+    if len(parts) == 1:
+        size = min(len(phrase), GRAM)
+        return (size,), f"{size}:{phrase[:size]}"
+    left, right = max(
+        ((a[-SIDE:], b[:SIDE]) for a, b in zip(parts, parts[1:])), key=lambda gap: (min(map(len, gap)), sum(map(len, gap)))
+    )
+    return (len(left), len(right)), f"{len(left)},{len(right)}:{left} {right}"
+
+
+def _text_keys(kinds: set[tuple[int, ...]]) -> Column:
+    """All anchors of the given kinds in an array ``_parts`` of a text's words."""
+    found = []
+    for kind in sorted(kinds):
+        if len(kind) == 2:
+            left, right = kind
+            found.append(
+                f"zip_with(slice(_parts, 1, size(_parts) - 1), slice(_parts, 2, size(_parts) - 1), (a, b) -> "
+                f"concat('{left},{right}:', right(a, {left}), ' ', left(b, {right})))"
+            )
+        elif kind[0] == 0:
+            found.append("array('0:')")
+        else:
+            size = kind[0]
+            found.append(
+                f"flatten(transform(array_distinct(_parts), w -> CASE WHEN char_length(w) >= {size} THEN transform("
+                f"sequence(1, char_length(w) - {size - 1}), i -> concat('{size}:', substring(w, i, {size}))) "
+                f"ELSE cast(array() AS array<string>) END))"
+            )
+    return F.expr(f"array_distinct(concat({', '.join(found)}))")
+
+
+def match_many_phrases(df: DataFrame, on: str, phrases: list[str]) -> DataFrame:
+    """The rows of ``match_phrases`` for lists of many thousands of phrases: each text
+    is cut into words once, its anchors are looked up in the set of all phrases'
+    anchors, and only phrases whose anchor occurs are searched. One narrow pass; the
+    phrases, a list of the driver, are broadcast. NULL texts match nothing, the empty
+    phrase every other text."""
+    kept = [c for c in df.columns if c != on]
+    rows = [(i, low, *_anchor(low)) for i, low in enumerate(p.lower() for p in phrases)]
+    if not rows:
+        return df.select(*kept, F.lit(0).alias("query")).limit(0)
+    listed_ = df.sparkSession.createDataFrame([(i, low, key) for i, low, _, key in rows], "query int, _phrase string, _anchor string")
+    keys = listed(sorted({key for _, _, _, key in rows}))
+    low = once(df, {"_low": F.lower(on)}).withColumn("_parts", F.expr(r"split(_low, '\\s+', -1)"))
+    anchored = low.withColumn("_keys", _text_keys({kind for _, _, kind, _ in rows}))
+    hits = anchored.select(*kept, "_low", F.explode(F.expr(f"filter(_keys, k -> k IN ({keys}))")).alias("_anchor"))
+    return hits.join(F.broadcast(listed_), "_anchor").filter(F.contains("_low", "_phrase")).select(*kept, "query")
+
+
 def match_tags(df: DataFrame, on: str, tags: list[str]) -> DataFrame:
     """One row per item and listed tag; the tag column goes away."""
     hits = F.filter(_literals(tags), lambda q: F.array_contains(F.col(on), q["kw"]))
@@ -86,6 +146,15 @@ def _skeleton(df: DataFrame, **fields: Column) -> DataFrame:
     )
 
 
+def _story_top(hits: DataFrame, as_of, hours: int, k: int, keywords: list[str]):
+    recent = hits.withColumn("_at", times.epoch_to_timestamp(F.col("created_at_i"))).filter(
+        _since(F.col("_at"), as_of, hours, strict=True)
+    )
+    words = F.concat_ws("\n", "title", "story_title", "story_text").alias("_words")
+    matched = match_phrases(recent.select("objectID", "_at", words), "_words", keywords)
+    return recent, newest_per_query(matched, k, "objectID")
+
+
 def harvest_stories(
     hits: DataFrame,
     as_of: str | dt.datetime,
@@ -95,12 +164,7 @@ def harvest_stories(
     keywords: list[str] = refdata.KEYWORDS,
 ) -> DataFrame:
     """Stories by keyword. A hit without a title still marks its link as seen."""
-    recent = hits.withColumn("_at", times.epoch_to_timestamp(F.col("created_at_i"))).filter(
-        _since(F.col("_at"), as_of, hours, strict=True)
-    )
-    words = F.concat_ws("\n", "title", "story_title", "story_text").alias("_words")
-    matched = match_phrases(recent.select("objectID", "_at", words), "_words", keywords)
-    top = newest_per_query(matched, k, "objectID")
+    recent, top = _story_top(hits, as_of, hours, k, keywords)
     found = _skeleton(
         pick_items(recent, top.filter(text.empty_to_null(F.col("objectID")).isNotNull()), "objectID"),
         platform=F.lit("hackernews"),
@@ -115,6 +179,17 @@ def harvest_stories(
     )
 
 
+def _question_top(items: DataFrame, as_of, hours: int, k: int, tags: list[str], phrases: list[str]):
+    recent = items.withColumns(
+        {"_at": times.epoch_to_timestamp(F.col("creation_date")), "_link": text.strip(F.col("link"))}
+    ).filter(_since(F.col("_at"), as_of, hours, strict=False))
+    by_tag = match_tags(recent.select("_link", "_at", "tags"), "tags", tags)
+    by_title = match_phrases(recent.select("_link", "_at", "title"), "title", phrases)
+    matched = by_tag.unionByName(by_title.withColumn("query", F.col("query") + len(tags)))
+    top = newest_per_query(matched, k, "_link")
+    return recent, top
+
+
 def harvest_questions(
     items: DataFrame,
     as_of: str | dt.datetime,
@@ -126,13 +201,7 @@ def harvest_questions(
 ) -> DataFrame:
     """Questions by tag, then by title phrase. A question without a title still
     marks its link as seen."""
-    recent = items.withColumns(
-        {"_at": times.epoch_to_timestamp(F.col("creation_date")), "_link": text.strip(F.col("link"))}
-    ).filter(_since(F.col("_at"), as_of, hours, strict=False))
-    by_tag = match_tags(recent.select("_link", "_at", "tags"), "tags", tags)
-    by_title = match_phrases(recent.select("_link", "_at", "title"), "title", phrases)
-    matched = by_tag.unionByName(by_title.withColumn("query", F.col("query") + len(tags)))
-    top = newest_per_query(matched, k, "_link")
+    recent, top = _question_top(items, as_of, hours, k, tags, phrases)
     found = _skeleton(
         pick_items(recent, top.filter(text.empty_to_null(F.col("_link")).isNotNull()), "_link"),
         platform=F.lit("stackoverflow"),
@@ -147,6 +216,15 @@ def harvest_questions(
     )
 
 
+def _micro_top(posts: DataFrame, as_of, hours: int, k: int, keywords: list[str]):
+    recent = times.with_instant(posts, "record.createdAt", "_at").filter(
+        _since(F.col("_at"), as_of, hours, strict=False)
+    )
+    words = F.col("record.text").alias("_words")
+    matched = match_phrases(recent.select("uri", "_at", words), "_words", keywords)
+    return recent, newest_per_query(matched, k, "uri")
+
+
 def harvest_micro_posts(
     posts: DataFrame,
     as_of: str | dt.datetime,
@@ -157,11 +235,7 @@ def harvest_micro_posts(
 ) -> DataFrame:
     """Microblog posts by keyword, without accounts labelled as bots. Here a post
     without text does not mark its link."""
-    recent = times.with_instant(posts, "record.createdAt", "_at").filter(
-        _since(F.col("_at"), as_of, hours, strict=False)
-    )
-    words = F.col("record.text").alias("_words")
-    matched = match_phrases(recent.select("uri", "_at", words), "_words", keywords)
+    recent, top = _micro_top(posts, as_of, hours, k, keywords)
     human = ~F.coalesce(
         F.exists("author.labels", lambda label: label["val"] == "bot"), F.lit(False)
     )
@@ -171,7 +245,7 @@ def harvest_micro_posts(
         & text.blank_to_null(F.col("record.text")).isNotNull()
     )
     found = _skeleton(
-        pick_items(recent, newest_per_query(matched, k, "uri"), "uri").filter(human & complete),
+        pick_items(recent, top, "uri").filter(human & complete),
         platform=F.lit("bluesky"),
         post_url=text.micro_link(F.col("uri"), F.col("author.handle")),
         post_title=text.title(F.col("record.text")),
@@ -182,6 +256,38 @@ def harvest_micro_posts(
     return first_seen(found, "post_url", "query", "rank", "post_title")
 
 
+def _winners(items: DataFrame, recent: DataFrame, top: DataFrame, key: str) -> DataFrame:
+    """The landed rows behind the top keys, a missing key among them, as they landed."""
+    wanted = top.select(F.col(key).alias("_key"), F.col("_at").alias("_when")).distinct()
+    met = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_at") == F.col("_when"))
+    return recent.join(wanted, met, "left_semi").select(*items.columns).distinct()
+
+
+def story_winners(hits: DataFrame, as_of, *, hours=refdata.HARVEST_HOURS, k=refdata.STORY_TOP,
+                  keywords=refdata.KEYWORDS) -> DataFrame:
+    """The landed stories that the harvest needs of all these: the ``k`` newest of each
+    query. A harvest of the winners of some landings and of new landings together is
+    the harvest of everything that landed, so a stream keeps the winners only. Windows
+    may move forward in between: what leaves one is older than what stays. Rows of one
+    item at one time are taken to say the same."""
+    recent, top = _story_top(hits, as_of, hours, k, keywords)
+    return _winners(hits, recent, top, "objectID")
+
+
+def question_winners(items: DataFrame, as_of, *, hours=refdata.HARVEST_HOURS, k=refdata.QUESTION_TOP,
+                     tags=refdata.TAGS, phrases=refdata.TITLE_PHRASES) -> DataFrame:
+    """The same of questions."""
+    recent, top = _question_top(items, as_of, hours, k, tags, phrases)
+    return _winners(items, recent, top, "_link")
+
+
+def micro_winners(posts: DataFrame, as_of, *, hours=refdata.HARVEST_HOURS, k=refdata.MICRO_TOP,
+                  keywords=refdata.KEYWORDS) -> DataFrame:
+    """The same of microblog posts."""
+    recent, top = _micro_top(posts, as_of, hours, k, keywords)
+    return _winners(posts, recent, top, "uri")
+
+
 def in_source_order(*pools: DataFrame) -> DataFrame:
     """All pools one after the other. Each must bear its ``seq`` (see ``sequence``),
     which carries the order; the union itself moves no rows."""

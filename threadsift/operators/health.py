@@ -72,11 +72,17 @@ def scan_log(
 
 
 def latest_lines(hits: DataFrame, column: str = "value", k: int = 15) -> DataFrame:
-    """The last lines by date and text; files in many splits have no other order."""
+    """The last lines by date and text, for tables without another order."""
     dated = F.regexp_extract(F.col(column), r"(\d{4}-\d{2}-\d{2})", 1)
     return hits.orderBy(F.desc(dated), F.desc(column)).limit(k)
 
 
+def tail_lines(hits: DataFrame, place: str = "place", k: int = 15) -> DataFrame:
+    """The last lines in the order of the files, from lines with their ``place``
+    (see ``landed.placed_lines``); every task keeps k lines only."""
+    return hits.orderBy(F.desc(place)).limit(k)
+
+
 def _finding(df: DataFrame, check: str, detail: Column) -> DataFrame:
     """At most one finding: a row only where ``detail`` is not NULL."""
     return df.agg(detail.alias("detail")).filter(F.col("detail").isNotNull()).select(

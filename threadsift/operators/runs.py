@@ -2,41 +2,73 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import refdata
 
 
-def fold_steps(events: DataFrame) -> DataFrame:
-    """One row per (run, step): first event gives the start, the last one the
-    status, the last one that is not ``running`` the end; count and note keep
-    their last non-null value. ``sequence`` is the first event's, else the
-    step's position in the run. Expects ``seq`` to order events of one instant."""
-    when = F.struct("at", "seq")
-    ended = F.col("status") != "running"
-    steps = events.groupBy("run_id", "name").agg(
-        F.min(F.struct("at", "seq", "sequence")).alias("_first"),
-        F.max_by("status", when).alias("status"),
-        F.max(F.when(ended, F.struct("at", "seq"))).alias("_ended"),
-        F.max_by("count", F.when(F.col("count").isNotNull(), when)).alias("count"),
-        F.max_by("note", F.when(F.col("note").isNotNull(), when)).alias("note"),
+_MOMENT = "struct(at, seq)"
+
+
+def _last(value: str, when: str = "true") -> Column:
+    """The latest (at, seq, value) of the rows where ``when`` holds. It is a maximum by
+    (at, seq), so maxima of parts are merged by another maximum."""
+    return F.expr(f"max_by(struct(at, seq, {value}), {_MOMENT}) FILTER (WHERE {when})").alias(f"last_{value}")
+
+
+def _merged(states: DataFrame, keys: list[str]) -> DataFrame:
+    """One state for each key out of states of parts of its events."""
+    merged = [
+        F.expr(f"{'min' if c.startswith('first') else 'max'}_by({c}, struct({c}.at, {c}.seq)) FILTER (WHERE {c} IS NOT NULL)").alias(c)
+        for c in states.columns if c not in keys
+    ]
+    return states.groupBy(*keys).agg(*merged)
+
+
+def step_states(events: DataFrame) -> DataFrame:
+    """What later events can still change of each (run, step), from any part of the
+    events: a first event, and the latest ones with a status, an ended status, a count
+    and a note. States merge in any order, and taking in an event twice changes nothing.
+    Expects ``seq`` to order events of one instant."""
+    return events.groupBy("run_id", "name").agg(
+        F.expr(f"min_by(struct(at, seq, sequence), {_MOMENT})").alias("first_sequence"),
+        _last("status"),
+        F.expr(f"max_by({_MOMENT}, {_MOMENT}) FILTER (WHERE status <> 'running')").alias("last_end"),
+        _last("count", "count IS NOT NULL"),
+        _last("note", "note IS NOT NULL"),
     )
+
+
+def merge_steps(states: DataFrame) -> DataFrame:
+    return _merged(states, ["run_id", "name"])
+
+
+def steps_of(states: DataFrame) -> DataFrame:
+    """The step rows of merged states."""
     place = F.row_number().over(
-        Window.partitionBy("run_id").orderBy("_first.at", "_first.seq")
+        Window.partitionBy("run_id").orderBy("first_sequence.at", "first_sequence.seq")
     )
-    return steps.withColumn("position", place).select(
+    return states.withColumn("position", place).select(
         "run_id",
         "position",
         "name",
-        F.col("_first.at").alias("started_at"),
-        F.col("_ended.at").alias("ended_at"),
-        "status",
-        "count",
-        "note",
-        F.coalesce(F.col("_first.sequence"), F.col("position")).alias("sequence"),
+        F.col("first_sequence.at").alias("started_at"),
+        F.col("last_end.at").alias("ended_at"),
+        F.col("last_status.status").alias("status"),
+        F.col("last_count.count").alias("count"),
+        F.col("last_note.note").alias("note"),
+        F.coalesce(F.col("first_sequence.sequence"), F.col("position")).alias("sequence"),
     )
 
 
+def fold_steps(events: DataFrame) -> DataFrame:
+    """One row per (run, step): first event gives the start, the last one the
+    status, the last one that is not ``running`` the end; count and note keep
+    their last non-null value. ``sequence`` is the first event's, else the
+    step's position in the run. Expects ``seq`` to order events of one instant."""
+    return steps_of(step_states(events))
+
+
 def steps_array(steps: DataFrame) -> DataFrame:
     """One row per run with its steps in the order they were appended."""
     step = F.struct(
@@ -62,15 +94,26 @@ def started(starts: DataFrame) -> DataFrame:
     )
 
 
-def last_end(ends: DataFrame) -> DataFrame:
-    """One row per run from its end events: last status and time; stats and error
-    id keep the last value that was given."""
-    when = F.struct("at", "seq")
+def end_states(ends: DataFrame) -> DataFrame:
+    """The same for end events of runs: the latest status, stats and error id."""
     return ends.groupBy("run_id").agg(
-        F.max_by("status", when).alias("_status"),
-        F.max("at").alias("_ended_at"),
-        F.max_by("stats", F.when(F.col("stats").isNotNull(), when)).alias("_stats"),
-        F.max_by("error_id", F.when(F.col("error_id").isNotNull(), when)).alias("_error_id"),
+        _last("status"), _last("stats", "stats IS NOT NULL"), _last("error_id", "error_id IS NOT NULL")
+    )
+
+
+def merge_ends(states: DataFrame) -> DataFrame:
+    return _merged(states, ["run_id"])
+
+
+def ends_of(states: DataFrame) -> DataFrame:
+    """One row per ended run: last status and time; stats and error id keep the last
+    value that was given."""
+    return states.select(
+        "run_id",
+        F.col("last_status.status").alias("_status"),
+        F.col("last_status.at").alias("_ended_at"),
+        F.col("last_stats.stats").alias("_stats"),
+        F.col("last_error_id.error_id").alias("_error_id"),
     )
 
 
@@ -79,12 +122,17 @@ def fold_runs(
 ) -> DataFrame:
     """The run table. Runs without an end event stay ``running``; error ids that
     no error row bears become NULL."""
+    return runs_of(starts, end_states(ends), step_states(step_events), errors)
+
+
+def runs_of(starts: DataFrame, ends: DataFrame, steps: DataFrame, errors: DataFrame) -> DataFrame:
+    """The run table out of merged states of end and step events."""
     known = errors.select(F.col("id").alias("_known"))
     folded = (
         started(starts)
-        .join(last_end(ends).withColumnRenamed("run_id", "id"), "id", "left")
+        .join(ends_of(ends).withColumnRenamed("run_id", "id"), "id", "left")
         .join(
-            steps_array(fold_steps(step_events)).withColumnRenamed("run_id", "id"),
+            steps_array(steps_of(steps)).withColumnRenamed("run_id", "id"),
             "id", "left",
         )
     )

@@ -14,7 +14,7 @@ from ..operators import (
 from ..functions.stage import once
 from ..session import work_dir, written
 from ..sources import landed
-from ..streaming import ingest, intake
+from ..streaming import folding, ingest, intake
 from . import fixtures as fx, jobs
 
 AS_OF = fx.AS_OF
@@ -27,6 +27,15 @@ STORY_WORDS = [*refdata.KEYWORDS, "tion", "und ", "Entre", "les ", "the "]
 QUESTION_TAGS = ["click", "error", "k1", "k42", "purchase"]
 QUESTION_PHRASES = ["does click", "SIGNUP work", "question 1", "view", "PDF"]
 MICRO_WORDS = ["click", "Purchase", '"k": 7', "error with", "OCR"]
+COMMON_WORDS = [
+    "the", "of", "and", "is", "in", "on", "with", "der", "die", "das", "und", "zu", "ist", "de", "la", "les", "par",
+    "sur", "el", "los", "que", "a", "y", "é",
+]
+SYLLABLES = ["tion", "ement", "keit", "sch", "ción", "er", "an", "re", "th", "ou", "ai", "ent", "in", "on", "o", "ß"]
+MANY_PHRASES = [
+    *(f"{a} {b}" for a in COMMON_WORDS for b in COMMON_WORDS), *(a + b for a in SYLLABLES for b in SYLLABLES),
+    *(f"{a}. {b}" for a in SYLLABLES for b in COMMON_WORDS), *(f" {a}{b} " for a in SYLLABLES for b in SYLLABLES),
+]
 CLASS_RULES = {"OCR": ["story 1", "the "], "IDP": ["und "], "NLP": ["tion"]}
 DRILL_KEYS = [
     "total", "completed", "replied", "archived", "deleted", "competitors",
@@ -372,6 +381,17 @@ def _run_tables(spark, sf):
     return folded, table
 
 
+def _shown_runs(folded):
+    return plain(
+        folded.withColumns(
+            {
+                "steps": F.transform("steps", lambda s: F.concat_ws(":", s["name"], s["status"])),
+                "stats": F.try_element_at("stats", F.lit("inserted")),
+            }
+        )
+    )
+
+
 @query
 def fold_steps(spark, sf):
     steps = runs.fold_steps(fx.step_events(spark, sf))
@@ -381,14 +401,7 @@ def fold_steps(spark, sf):
 @query
 def fold_runs(spark, sf):
     folded, _ = _run_tables(spark, sf)
-    return plain(
-        folded.withColumns(
-            {
-                "steps": F.transform("steps", lambda s: F.concat_ws(":", s["name"], s["status"])),
-                "stats": F.try_element_at("stats", F.lit("inserted")),
-            }
-        )
-    )
+    return _shown_runs(folded)
 
 
 @query
@@ -455,6 +468,17 @@ def log_tail(spark, sf):
     return health.latest_lines(health.scan_log(fx.log_lines(spark, sf), AS_OF))
 
 
+@query
+def log_tail_landed(spark, sf):
+    """The last lines of landed text files, in the files' own order."""
+    work = work_dir(spark, "logs")
+    lines = fx.log_lines(spark, sf, "event_id")
+    files = lines.repartitionByRange(5, "event_id").sortWithinPartitions("event_id")
+    files.select("value").write.text(work)
+    placed = landed.placed_lines(spark, work)
+    return health.tail_lines(health.scan_log(placed, AS_OF)).select("value")
+
+
 @query
 def error_volume(spark, sf):
     recent = fx.client_errors(spark, sf).filter(F.col("occurred_at") >= views.ago(AS_OF, 7, "DAYS"))
@@ -477,6 +501,14 @@ def health_job(spark, sf):
 # Harvest and model output ----------------------------------------------------------
 
 
+@query
+def phrase_index(spark, sf):
+    """How many documents contain each of more than a thousand phrases."""
+    docs = fx.table(spark, sf, "documents").select("doc_id", "text")
+    hits = harvest.match_many_phrases(docs, "text", MANY_PHRASES)
+    return plain(hits.groupBy("query").agg(F.count("*").alias("n_docs"), F.sum("doc_id").alias("ids")))
+
+
 @query
 def harvest_keyword_topk(spark, sf):
     found = harvest.harvest_stories(
@@ -762,3 +794,62 @@ def stream_digest_marks(spark, sf):
             deliver=lambda groups: groups.filter(F.col("message") != "Boom 3"),
         ).awaitTermination()
     return plain(kept.read().select("id", "fingerprint", "alerted_at"))
+
+
+def _landed_halves(df: DataFrame, folder: str, fmt: str):
+    """Writes half of the rows, of any time, yields, then writes the others."""
+    second = F.xxhash64(F.to_json(F.struct("*"))) % 2 == 0
+    for part in (df.filter(~second), df.filter(second)):
+        part.write.mode("append").format(fmt).save(folder)
+        yield
+
+
+def _state_of(spark, events: DataFrame, state, work: str) -> DataFrame:
+    """States of two landings of events, of which the second has earlier ones, too."""
+    for _ in _landed_halves(events, f"{work}/landing", "parquet"):
+        stream = landed.report_stream(spark, f"{work}/landing", events.schema)
+        folding.state_stream(stream, state, f"{work}/states", f"{work}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{work}/states").drop("batch")
+
+
+@query
+def stream_fold_steps(spark, sf):
+    states = _state_of(spark, fx.step_events(spark, sf), runs.step_states, work_dir(spark, "steps"))
+    steps = runs.steps_of(runs.merge_steps(states))
+    return plain(steps.withColumn("count", F.col("count").cast("string")))
+
+
+@query
+def stream_fold_runs(spark, sf):
+    """The run table out of the states that two landings of steps and ends left."""
+    reported = fx.error_log(spark, sf)
+    ends = fx.run_ends(spark, sf).unionByName(runs.failed_ends(reported))
+    folded = runs.runs_of(
+        fx.run_starts(spark, sf),
+        runs.merge_ends(_state_of(spark, ends, runs.end_states, work_dir(spark, "ends"))),
+        runs.merge_steps(_state_of(spark, fx.step_events(spark, sf), runs.step_states, work_dir(spark, "steps"))),
+        runs.error_rows(reported),
+    )
+    return _shown_runs(folded)
+
+
+@query
+def stream_harvest(spark, sf):
+    """All harvests of two landings each, of which only the winners were kept."""
+    pools = []
+    for member, item, items, winners in (
+        ("hits", schemas.STORY_HIT, fx.story_hits(spark, sf),
+         lambda df: harvest.story_winners(df, AS_OF, hours=ALL_HOURS, keywords=STORY_WORDS)),
+        ("items", schemas.QUESTION, fx.question_items(spark, sf),
+         lambda df: harvest.question_winners(
+             df, AS_OF, hours=MONTH_HOURS, tags=QUESTION_TAGS, phrases=QUESTION_PHRASES)),
+        ("posts", schemas.MICRO_POST, fx.micro_posts(spark, sf),
+         lambda df: harvest.micro_winners(df, AS_OF, hours=MONTH_HOURS, keywords=MICRO_WORDS)),
+    ):
+        work = work_dir(spark, member)
+        pages = items.select(F.array(F.struct("*")).alias(member))
+        for _ in _landed_halves(pages, f"{work}/landing", "json"):
+            stream = landed.page_stream(spark, f"{work}/landing", member, item)
+            folding.winner_stream(stream, winners, f"{work}/winners", f"{work}/checkpoint").awaitTermination()
+        pools.append(folding.latest(spark, f"{work}/winners", stream.schema))
+    return _source_pool(*pools)

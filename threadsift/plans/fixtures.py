@@ -251,7 +251,7 @@ def resolutions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def log_lines(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     """Log lines: mostly dated, some undated, some with a date that is none."""
     n = F.col("event_id")
     stamp = (
@@ -261,7 +261,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     level = pick(["INFO", "ERROR", "info error", "BROKEN"], n % 4)
     return events(spark, sf_dir).select(
-        F.concat(stamp, level, _str(" line ", n)).alias("value")
+        F.concat(stamp, level, _str(" line ", n)).alias("value"), *more
     )
 
 

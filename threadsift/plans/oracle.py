@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .. import refdata
 from .catalog import (
-    CLASS_RULES, DRILL_KEYS, MICRO_WORDS, QUESTION_PHRASES, QUESTION_TAGS, STORY_WORDS,
+    CLASS_RULES, DRILL_KEYS, MANY_PHRASES, MICRO_WORDS, QUESTION_PHRASES, QUESTION_TAGS, STORY_WORDS,
 )
 
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
@@ -643,6 +643,12 @@ SELECT CASE WHEN count(*) > 0 THEN 'NEEDS_ATTENTION' ELSE 'HEALTHY' END AS verdi
   count(*) AS findings FROM findings""",
         "log_scan": f"WITH {LOG} SELECT value FROM log_hits",
         "log_tail": f"WITH {LOG} SELECT value FROM log_hits ORDER BY day DESC, value DESC LIMIT 15",
+        "log_tail_landed": f"""WITH {LOG} SELECT value FROM log_hits
+ORDER BY CAST(regexp_extract(value, 'line ([0-9]+)', 1) AS BIGINT) DESC LIMIT 15""",
+        "phrase_index": f"""WITH phrases AS (SELECT {_list(MANY_PHRASES)} AS p),
+each AS (SELECT i - 1 AS query, lower(p[i]) AS phrase FROM phrases, range(1, len(p) + 1) r(i))
+SELECT query, count(*) AS n_docs, CAST(sum(doc_id) AS BIGINT) AS ids
+FROM (SELECT doc_id, lower(text) AS low FROM documents), each WHERE contains(low, phrase) GROUP BY query""",
         "error_volume": f"""WITH {CLIENT} SELECT count(*) AS n FROM client
 WHERE occurred_at >= {AS_OF} - INTERVAL 7 DAYS""",
         "harvest_keyword_topk": f"""WITH {STORIES} SELECT query, rank, post_url, post_title,
@@ -747,7 +753,8 @@ FROM client WHERE alerted_at IS NULL GROUP BY ALL""",
     # the same results by way of kept tables, landed files and streams
     for name, same in (
         ("harvest_landed", "harvest_pool"), ("summary_job", "daily_summary"), ("health_job", "health_findings"),
-        ("stream_digest_marks", "mark_alerted"),
+        ("stream_digest_marks", "mark_alerted"), ("stream_fold_steps", "fold_steps"),
+        ("stream_fold_runs", "fold_runs"), ("stream_harvest", "harvest_pool"),
     ):
         queries[name] = queries[same]
     return queries

@@ -16,8 +16,12 @@ BATCH_BYTES = 256 << 20
 
 def _page_items(spark: SparkSession, path: str, member: str, item: str) -> DataFrame:
     """Items of pages such as {"hits": [...]}, one page per line."""
+    return _items(spark.read, path, member, item)
+
+
+def _items(reader, path: str, member: str, item: str) -> DataFrame:
     fields = ", ".join(f"{f.strip().replace(' ', ':', 1)}" for f in _split(item))
-    pages = spark.read.schema(f"{member} array<struct<{fields}>>").json(path)
+    pages = reader.schema(f"{member} array<struct<{fields}>>").json(path)
     return pages.select(F.explode(member).alias("item")).select("item.*")
 
 
@@ -55,6 +59,25 @@ def log_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their ``place``: file, start of the split in it, and a number that
+    rises inside a split, since a split is read from its start to its end by one task.
+    Places order the lines as the files have them, however the files are cut."""
+    return spark.read.text(path).select(
+        "value",
+        F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("row"),
+        ).alias("place"),
+    )
+
+
+def page_stream(spark: SparkSession, path: str, member: str, item: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """Items of landed pages as a stream."""
+    return _items(spark.readStream.option("maxBytesPerTrigger", batch_bytes), path, member, item)
+
+
 def candidates(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.CANDIDATE).json(path)
 
