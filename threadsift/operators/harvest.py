@@ -37,8 +37,12 @@ def match_phrases(df: DataFrame, on: str, phrases: list[str]) -> DataFrame:
     )
 
 
-#: Letters of an anchor: of a part of a word, and on either side of a gap.
-GRAM, SIDE = 5, 4
+#: Letters that anchors may have: in a part of a word, and on either side of a gap.
+WIDTHS = (0, 1, 2, 4)
+
+
+def _width(part: str) -> int:
+    return max(w for w in WIDTHS if w <= len(part))
 
 
 def _anchor(phrase: str) -> tuple[tuple[int, ...], str]:
@@ -47,10 +51,10 @@ def _anchor(phrase: str) -> tuple[tuple[int, ...], str]:
     part of a word, of which the first letters serve."""
     parts = re.split(r"\s+", phrase, flags=re.ASCII)
     if len(parts) == 1:
-        size = min(len(phrase), GRAM)
+        size = _width(phrase)
         return (size,), f"{size}:{phrase[:size]}"
     left, right = max(
-        ((a[-SIDE:], b[:SIDE]) for a, b in zip(parts, parts[1:])), key=lambda gap: (min(map(len, gap)), sum(map(len, gap)))
+        ((a[len(a) - _width(a) :], b[: _width(b)]) for a, b in zip(parts, parts[1:])), key=lambda gap: (min(map(len, gap)), sum(map(len, gap)))
     )
     return (len(left), len(right)), f"{len(left)},{len(right)}:{left} {right}"
 
@@ -91,7 +95,8 @@ def match_many_phrases(df: DataFrame, on: str, phrases: list[str]) -> DataFrame:
     keys = listed(sorted({key for _, _, _, key in rows}))
     low = once(df, {"_low": F.lower(on)}).withColumn("_parts", F.expr(r"split(_low, '\\s+', -1)"))
     anchored = low.withColumn("_keys", _text_keys({kind for _, _, kind, _ in rows}))
-    hits = anchored.select(*kept, "_low", F.explode(F.expr(f"filter(_keys, k -> k IN ({keys}))")).alias("_anchor"))
+    found = once(anchored, {"_found": F.expr(f"filter(_keys, k -> k IN ({keys}))")})
+    hits = found.select(*kept, "_low", F.explode("_found").alias("_anchor"))
     return hits.join(F.broadcast(listed_), "_anchor").filter(F.contains("_low", "_phrase")).select(*kept, "query")
 
 
