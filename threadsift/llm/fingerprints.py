@@ -154,7 +154,7 @@ def compare_edits(docs: DataFrame, key: str = "doc_id", text: str = "text", part
     ).select(F.col("to").alias("r"), F.lit(True).alias("head"), key, "tie", text)
     heads = heads.dropDuplicates(["r"])
     every = rows.select("r", F.lit(False).alias("head"), key, "tie", text).unionByName(heads)
-    ordered = every.repartition(parts, "r").sortWithinPartitions("r", "head", key, "tie").select("r", "head", key, text)
+    ordered = every.repartitionById(parts, F.col("r")).sortWithinPartitions("r", "head", key, "tie").select("r", "head", key, text)
 
     def run(batches):
         held = None  # range, key, text and fingerprint of the row before

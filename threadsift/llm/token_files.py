@@ -123,7 +123,7 @@ def write(
     own = texts(docs, key, text)
     bucket = range_bucket(key, range_bounds(own, key, parts))
     ordered = (
-        own.withColumn("r", bucket).repartition(parts, "r").withColumn("tie", F.xxhash64(text))
+        own.withColumn("r", bucket).repartitionById(parts, F.col("r")).withColumn("tie", F.xxhash64(text))
         .sortWithinPartitions("r", key, "tie").select("r", key, text)
     )
 
