@@ -4,13 +4,19 @@ Strict patterns give the base spans, which always stay. High-recall generators p
 further, possibly overlapping spans: loosely written addresses, runs of digits with any
 separators. Every candidate has a few features with few values each: its format
 (digits, signs, separators, checks) and its context (a telling word before it, the
-sign on either side). Boosted trees of depth two are trained on how often candidates of
-each feature combination are base spans, over the whole corpus: the combinations are
-counted by Spark, and since the features' values are bounded, so is the table of counts
-(``COMBINATIONS`` rows at most) that the trees are fitted to. Documents whose key's
-checksum is 0 modulo 5 are held out; on them each kind's threshold is the lowest score
-above which at least ``PRECISION`` of the candidates are base spans. Candidates that
-reach it and do not overlap a base span become spans, too.
+sign on either side). Nobody labels personal data here, so labels are weak ones that do
+not depend on the strict form (``LABELS``): the value without its disguise passes a
+check (a top-level domain, parts, a checksum and an issuer's digit), or a telling word
+or an international prefix says what it is. Boosted trees of depth two are trained on
+how often candidates of each feature combination are labelled, over the whole corpus:
+the combinations are counted by Spark, and since the features' values are bounded, so
+is the table of counts (``COMBINATIONS`` rows at most) that the trees are fitted to.
+Documents whose key's checksum is 0 modulo 5 are held out. On them each kind's scores
+are taken from the highest down in groups of at least ``LEAST`` candidates, and each
+group by itself must be precise (``PRECISION``), so that many sure candidates cannot
+carry a few bad ones; the threshold is the last such group's lowest score. Candidates
+that reach it and do not overlap a base span become spans, too. Digits that may be a
+card as well as a phone number are proposed as both.
 
 DataFrame functions only, the texts are read once and not shuffled; trees become SQL.
 """
@@ -28,7 +34,7 @@ from .common import texts
 from .spans import listed, quoted, sha256, with_matches
 
 KINDS = ["email", "ip", "card", "phone"]
-ROUNDS, RATE, PRECISION, LEAST = 20, 0.3, 0.95, 20
+ROUNDS, RATE, PRECISION, LEAST = 30, 0.3, 0.95, 20
 
 _LOCAL = "A-Za-z0-9._%+-"
 # Patterns of the base spans. They match what the plain patterns would match, written
@@ -63,7 +69,7 @@ KEEP = {
 WIDE = {
     "email": (
         rf"(?i)(?<![{_LOCAL}])[{_LOCAL}]++\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]++"
-        r"(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]++)++",
+        r"(?:(?:\.|\x20\.\x20|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]++)++",
         r"__text RLIKE '@|(?i)[(\\[]at[)\\]]'",
     ),
     "ip": (r"(?<![0-9.])[0-9]++(?:[.,][0-9]++){3,7}+", r"__text RLIKE '[0-9][.,][0-9]'"),
@@ -72,20 +78,37 @@ WIDE = {
         "__text RLIKE '[0-9][0-9 ().-]{6}'",
     ),
 }
-_TELLING = "(?i)(mail|phone|call|tel|mobil|fax|card|visa|pay|ip|host|server|address|contact)"
+_TELLING = r"(?i)\b(e-?mail|card|visa|pay|payment|ip|host|server|address|contact)\b"
+_CALLING = r"(?iu)\b(t[eé]l[eé]f\w*|t[eé]l[eé]phone|phone|call|tel|mobile?|cell|fax|sms|whatsapp)\b"
+_TELLS = f"CASE WHEN s.before RLIKE {quoted(_CALLING)} THEN 2 WHEN s.before RLIKE {quoted(_TELLING)} THEN 1 ELSE 0 END"
+_ABROAD = f"s.value RLIKE {quoted(r'^(\+|00[1-9])')}"
+#: Whether the value without its disguise looks like one of its kind. An address ends
+#: in a top-level domain, an IP address has four parts of at most 255, a card number
+#: starts with an issuer's digit.
+_PLAIN = f"regexp_replace(s.value, {quoted(r'(?i)[(\[]dot[)\]]|\x20')}, '.')"
+_WHOLE = f"""CASE s.kind
+    WHEN 0 THEN {_PLAIN} RLIKE {quoted(r'^[^@(\[]*[A-Za-z].*\.([a-z]{2,24}|[A-Z]{2,24})$')}
+    WHEN 1 THEN s.value RLIKE {quoted(r'^[0-9]+([.,])[0-9]+(\1[0-9]+){2}$')} AND {_PARTS.replace("s.value", "replace(s.value, ',', '.')")}
+    WHEN 2 THEN {_DIGITS} RLIKE '^[3-6]' ELSE false END"""
+#: Weak labels by kind, over a candidate ``s``.
+LABELS = f"""CASE s.kind
+    WHEN 0 THEN {_WHOLE}
+    WHEN 1 THEN {_WHOLE} AND (NOT contains(s.value, ',') OR s.before RLIKE {quoted(_TELLING)})
+    WHEN 2 THEN {_WHOLE} AND char_length({_DIGITS}) BETWEEN 13 AND 19 AND {_LUHN}
+    ELSE char_length({_DIGITS}) BETWEEN 8 AND 15 AND ({_ABROAD} OR s.before RLIKE {quoted(_CALLING)}) END"""
 #: Feature -> (SQL over a candidate ``s`` with value, before and after, number of values).
 FEATURES = {
     "digits": (
         f"""CASE WHEN char_length({_DIGITS}) < 4 THEN 0 WHEN char_length({_DIGITS}) < 8 THEN 1
-        WHEN char_length({_DIGITS}) < 12 THEN 2 WHEN char_length({_DIGITS}) < 16 THEN 3
+        WHEN char_length({_DIGITS}) < 13 THEN 2 WHEN char_length({_DIGITS}) < 16 THEN 3
         WHEN char_length({_DIGITS}) < 20 THEN 4 ELSE 5 END""", 6),
-    "plus": ("cast(startswith(s.value, '+') AS int)", 2),
+    "abroad": (f"cast({_ABROAD} AS int)", 2),
     "at": ("cast(contains(s.value, '@') AS int)", 2),
     "signs": ("least(size(array_distinct(regexp_extract_all(s.value, '[^A-Za-z0-9+@]', 0))), 3)", 4),
     "dots": ("least(char_length(s.value) - char_length(replace(s.value, '.', '')), 4)", 5),
     "luhn": (f"cast({_LUHN} AS int)", 2),
-    "parts": (f"CASE WHEN s.value RLIKE '^[0-9.]+$' THEN cast({_PARTS} AS int) ELSE 0 END", 2),
-    "telling": (f"cast(s.before RLIKE {quoted(_TELLING)} AS int)", 2),
+    "whole": (f"cast({_WHOLE} AS int)", 2),
+    "telling": (_TELLS, 3),
     "bare": ("cast((s.before = '' OR s.before RLIKE '[ (:,]$') AND (s.after = '' OR s.after RLIKE '^[ ).,;]') AS int)", 2),
 }
 COMBINATIONS = len(KINDS) * math.prod(n for _, n in FEATURES.values())
@@ -147,44 +170,48 @@ def boost(rows: list[dict], rounds: int = ROUNDS) -> list[Tree]:
 
 
 def thresholds(trees: list[Tree], rows: list[dict], precision: float = PRECISION) -> dict[int, float]:
-    """Kind -> lowest score from which on the held-out candidates are precise enough."""
-    by_kind, found = defaultdict(list), {}
+    """Kind -> lowest score of the last group, from the highest scores down, that is
+    precise enough by itself. Candidates of one score are never parted."""
+    by_kind, found = defaultdict(lambda: defaultdict(lambda: [0, 0])), {}
     for r in rows:
-        by_kind[r["kind"]].append((sum(t.value(r) for t in trees), r["n"], r["positives"]))
+        counts = by_kind[r["kind"]][round(sum(t.value(r) for t in trees), 9)]
+        counts[0] += r["n"]
+        counts[1] += r["positives"]
     for kind, scored in by_kind.items():
         n = positives = 0
-        for score in sorted({s for s, _, _ in scored}, reverse=True):
-            n += sum(c for s, c, _ in scored if s == score)
-            positives += sum(p for s, _, p in scored if s == score)
-            if n >= LEAST and positives >= precision * n:
-                found[kind] = score
+        for score in sorted(scored, reverse=True):
+            n, positives = n + scored[score][0], positives + scored[score][1]
+            if n >= LEAST:
+                if positives < precision * n:
+                    break
+                found[kind], n, positives = score - 1e-8, 0, 0
     return found
 
 
 def with_candidates(docs: DataFrame, text: str) -> DataFrame:
     """Adds ``base`` (kind, start, end) and ``wide``: candidates with kind, place,
-    features and whether they are base spans."""
+    features and weak labels, which base spans have anyway."""
     found = with_matches(docs, text, {f"__{k}": BASE[k] for k in KINDS} | {f"__wide_{k}": w for k, w in WIDE.items()})
     base = ", ".join(
         f"transform(filter(__{k}, s -> {KEEP[k]}), s -> named_struct("
         f"'rank', {i}, 'start', s.start, 'kind', {quoted(k)}, 'end', s.end))"
         for i, k in enumerate(KINDS)
     )
-    kind = {
-        "email": "0", "ip": "1",
-        "digits": f"CASE WHEN char_length({_DIGITS}) >= 13 THEN 2 ELSE 3 END",
-    }
+    proposed = [  # pattern, kind and the condition on which it is proposed
+        ("email", 0, "true"), ("ip", 1, "true"),
+        ("digits", 2, f"char_length({_DIGITS}) >= 13"), ("digits", 3, f"char_length({_DIGITS}) < 16"),
+    ]
     wide = ", ".join(
-        f"transform(__wide_{w}, s -> named_struct('kind', {kind[w]}, 'start', s.start, 'end', s.end, "
+        f"transform(filter(__wide_{w}, s -> {when}), s -> named_struct('kind', {kind}, 'start', s.start, 'end', s.end, "
         f"'value', s.value, 'before', substring({text}, greatest(s.start - 23, 1), least(s.start, 24)), "
         f"'after', substring({text}, s.end + 1, 1)))"
-        for w in WIDE
+        for w, kind, when in proposed
     )
     found = found.withColumns({"base": F.expr(f"array_sort(concat({base}))"), "__wide": F.expr(f"concat({wide})")})
     features = ", ".join(f"'{f}', {sql}" for f, (sql, _) in FEATURES.items())
     found = found.withColumn("wide", F.expr(
         f"""transform(__wide, s -> named_struct('kind', s.kind, 'start', s.start, 'end', s.end, {features},
-        'positive', exists(base, b -> b.rank = s.kind AND b.start = s.start AND b.end = s.end)))"""
+        'positive', ({LABELS}) OR exists(base, b -> b.rank = s.kind AND b.start = s.start AND b.end = s.end)))"""
     ))
     return found.select(*(F.col(f"`{c}`") for c in docs.columns), "base", "wide")
 
@@ -210,8 +237,8 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     own = texts(docs, key, text).withColumnRenamed(text, "__text")
     found = written(with_candidates(own, "__text").drop("__text"), "pii")
     trees, least = fit(found, key)
-    score = " + ".join(t.sql() for t in trees)
-    chosen = " OR ".join(f"(c.kind = {k} AND {score} >= {v - 1e-9!r}D)" for k, v in least.items()) or "false"
+    cutoffs = " ".join(f"WHEN {k} THEN {v!r}D" for k, v in least.items())
+    chosen = f"{' + '.join(t.sql() for t in trees)} >= CASE c.kind {cutoffs} END" if least else "false"
     names = f"array({', '.join(map(quoted, KINDS))})"
     more = f"""transform(filter(wide, c -> ({chosen}) AND NOT exists(base, b -> b.start < c.end AND c.start < b.end)),
         c -> named_struct('rank', c.kind, 'start', c.start, 'kind', {names}[c.kind], 'end', c.end))"""
