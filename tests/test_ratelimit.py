@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from threadsift.operators import ratelimit as R
+from threadsift.operators import errors, ratelimit as R
 from threadsift.streaming import intake
 
 SECOND = 1_000_000
@@ -172,3 +172,23 @@ def test_a_hot_key_is_walked_in_several_tasks(spark):
     ).collect()
     assert len(tasks) > 4 and sum(r["segments"] for r in tasks) == 200 and max(r["segments"] for r in tasks) < 100
     assert ids(R.accepted_keys(frame(spark, rows), 5, 60)) == loop(rows, 5, 60 * SECOND)
+
+
+def test_the_key_is_computed_once(spark, monkeypatch):
+    """The decisions read (key, time, id) of the shared folder, not what the key is made of."""
+    given, keep = [], R.accepted_keys
+    monkeypatch.setattr(R, "accepted_keys", lambda events, *a, **o: (given.append(events), keep(events, *a, **o))[1])
+    df = spark.range(50).select(F.col("id").alias("n"), F.col("id").cast("timestamp").alias("at"), F.md5(F.lit("x")).alias("k"))
+    assert R.rate_limit(df, ["k"], "at", "n", 3, 10).count() == 15
+    plan = given[0]._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "StructsToJson" not in plan and "Range" not in plan
+
+
+def test_the_fingerprint_is_computed_once(spark):
+    rows = [(i, "m" * (i % 3), "a\n  at f", "f") for i in range(9)]
+    df = spark.createDataFrame(rows, "seq long, message string, stack string, page string")
+    df = df.withColumn("occurred_at", F.col("seq").cast("timestamp"))
+    valid = errors.valid_reports(errors.with_fingerprint(df))
+    keyed = R.keyed(valid, ["fingerprint"], "occurred_at", "seq").filter("_k IS NOT NULL")
+    optimized = keyed._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("static_invoke(Base64.encode(") == 1 and keyed.count() == 6

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import refdata
 from ..functions import text, times
+from ..functions.stage import once
 from . import ratelimit
 
 DIGEST_COLUMNS = [
@@ -18,7 +19,8 @@ PLACEHOLDERS = {
 
 
 def with_fingerprint(reports: DataFrame) -> DataFrame:
-    return reports.withColumn("fingerprint", text.fingerprint(F.col("message"), F.col("stack")))
+    """Later filters, keys and cuts use the fingerprint without computing it again."""
+    return once(reports, {"fingerprint": text.fingerprint(F.col("message"), F.col("stack"))})
 
 
 def suppress_repeats(

@@ -18,7 +18,9 @@ Gaps are found among cells of several slots, a row for each cell that has events
 in a running maximum that Spark takes; only gapless stretches are sequential. What a
 task walks of one grows with its time and not with the number of its events, and it
 is walked as a stream of batches, so that memory does not grow with the key. All
-keys and sizes take this one path, and no job runs while the plan is made.
+keys and sizes take this one path. ``accepted_keys`` reads its events three times, so
+``rate_limit`` writes (key, time, id) to the shared folder first, and what the key costs
+is paid once.
 """
 
 from __future__ import annotations
@@ -208,7 +210,8 @@ def rate_limit(
     same instant. Payload rows meet the decisions in a semi-join on ``order``,
     which no key can skew. With ``reused`` the decisions are written to the shared
     folder, so that further steps do not take them again."""
-    accepted = accepted_keys(keyed(df, keys, at, order), cap, window_seconds, **options)
+    events = written(keyed(df, keys, at, order), "keyed")
+    accepted = accepted_keys(events, cap, window_seconds, **options)
     ids = accepted.select(F.col("_id").alias(order))
     return df.join(written(ids, "accepted") if reused else ids, order, "left_semi")
 
